@@ -1,0 +1,191 @@
+"""Versioned table without a table-format jar (overwrite, append, update, history).
+
+Layout under ``path``::
+
+    batch=<n>/part-*.parquet     immutable data written by version n
+    _history/<n:020d>/part-*.json one record per version: operation, parameters,
+                                  live batches and row metrics
+
+A version's rows are the union of its live batches.  Overwrite makes the new
+batch the only live one; append adds it; update rewrites only the batches
+that hold a matching row (copy-on-write) and leaves the others live.  Data is
+written first and the history record last, so a failed write leaves no
+version.  One writer at a time: concurrent writers are not coordinated.
+
+If the Delta Lake format is on the classpath, prefer it; this class is the
+fallback with the same user-level operations.
+"""
+
+from __future__ import annotations
+
+import datetime as _dt
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import (
+    ArrayType,
+    LongType,
+    MapType,
+    StringType,
+    StructField,
+    StructType,
+)
+
+HISTORY_RECORD = StructType(
+    [
+        StructField("version", LongType()),
+        StructField("timestamp", StringType()),
+        StructField("operation", StringType()),
+        StructField("operationParameters", MapType(StringType(), StringType())),
+        StructField("live_batches", ArrayType(LongType())),
+        StructField("num_output_rows", LongType()),
+        StructField("num_updated_rows", LongType()),
+        StructField("num_copied_rows", LongType()),
+        StructField("num_removed_batches", LongType()),
+    ]
+)
+
+
+@dataclass(frozen=True)
+class Commit:
+    version: int
+    operation: str
+    live_batches: tuple[int, ...]
+
+
+def _expr(value) -> Column:
+    return F.expr(value) if isinstance(value, str) else value
+
+
+class VersionedTable:
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark = spark
+        self.path = path.rstrip("/")
+
+    # -- metadata -----------------------------------------------------------------
+
+    def _history_raw(self) -> DataFrame | None:
+        try:
+            return self.spark.read.schema(HISTORY_RECORD).json(f"{self.path}/_history/*")
+        except Exception as exc:  # noqa: BLE001 - missing path means an empty table
+            if "PATH_NOT_FOUND" in str(exc) or "does not exist" in str(exc):
+                return None
+            raise
+
+    def latest(self, version: int | None = None) -> Commit | None:
+        """The newest commit (or ``version``); collects one row."""
+        hist = self._history_raw()
+        if hist is None:
+            return None
+        if version is not None:
+            hist = hist.filter(F.col("version") == version)
+        rows = hist.orderBy(F.col("version").desc()).limit(1).collect()
+        if not rows:
+            return None
+        r = rows[0]
+        return Commit(r.version, r.operation, tuple(r.live_batches or ()))
+
+    def history(self) -> DataFrame:
+        """V2 / V4: version, timestamp, operation, operationParameters and row metrics."""
+        hist = self._history_raw()
+        if hist is None:
+            return self.spark.createDataFrame([], HISTORY_RECORD).drop("live_batches")
+        return hist.drop("live_batches").orderBy(F.col("version").desc())
+
+    # -- reads --------------------------------------------------------------------
+
+    def _batches(self, batches, with_batch: bool = False) -> DataFrame:
+        paths = [f"{self.path}/batch={b}" for b in batches]
+        df = self.spark.read.option("basePath", self.path).parquet(*paths)
+        return df if with_batch else df.drop("batch")
+
+    def read(self, version: int | None = None) -> DataFrame:
+        """Rows of the latest version (or of ``version``)."""
+        commit = self.latest(version)
+        if commit is None:
+            raise ValueError(f"no table at {self.path}" + ("" if version is None else f" version {version}"))
+        return self._batches(commit.live_batches)
+
+    # -- writes -------------------------------------------------------------------
+
+    def _commit(self, version, operation, params, live, output=None, updated=None, copied=None, removed=0):
+        record = (
+            version,
+            _dt.datetime.now(_dt.timezone.utc).isoformat(timespec="milliseconds"),
+            operation,
+            params,
+            list(live),
+            output,
+            updated,
+            copied,
+            removed,
+        )
+        self.spark.createDataFrame([record], HISTORY_RECORD).coalesce(1).write.mode("errorifexists").json(
+            f"{self.path}/_history/{version:020d}"
+        )
+        return Commit(version, operation, tuple(live))
+
+    def _write_batch(self, df: DataFrame, version: int) -> int:
+        target = f"{self.path}/batch={version}"
+        df.write.mode("errorifexists").parquet(target)
+        return self.spark.read.parquet(target).count()
+
+    def overwrite(self, df: DataFrame) -> Commit:
+        """K2: new version whose only live batch is ``df``."""
+        prev = self.latest()
+        version = 0 if prev is None else prev.version + 1
+        rows = self._write_batch(df, version)
+        removed = 0 if prev is None else len(prev.live_batches)
+        return self._commit(version, "WRITE", {"mode": "Overwrite"}, [version], output=rows, removed=removed)
+
+    def append(self, df: DataFrame) -> Commit:
+        """K3: blind append; existing batches stay live."""
+        prev = self.latest()
+        version = 0 if prev is None else prev.version + 1
+        rows = self._write_batch(df, version)
+        live = (prev.live_batches if prev else ()) + (version,)
+        return self._commit(version, "WRITE", {"mode": "Append"}, live, output=rows)
+
+    def update(self, assignments: dict[str, str | Column], where: str | Column) -> Commit:
+        """V1: ``SET col = expr, ... WHERE cond`` with copy-on-write of matching batches.
+
+        All SET expressions read the old row.  Rows whose condition is false or
+        NULL keep their values.  Batches without a match are not touched.
+        """
+        prev = self.latest()
+        if prev is None:
+            raise ValueError(f"no table at {self.path}")
+        cond = _expr(where)
+        where_text = where if isinstance(where, str) else str(where)
+        table = self._batches(prev.live_batches, with_batch=True)
+        # Scan phase: the predicate is pushed to the parquet reader; the result
+        # is one row per matching batch, bounded by the number of live batches.
+        matches = {r["batch"]: r["count"] for r in table.filter(cond).groupBy("batch").count().collect()}
+        version = prev.version + 1
+        if not matches:
+            return self._commit(version, "UPDATE", {"predicate": where_text}, prev.live_batches, updated=0, copied=0)
+        touched = sorted(matches)
+        source = self._batches(touched)
+        types = dict((f.name, f.dataType) for f in source.schema.fields)
+        rewritten = source.select(
+            *[
+                F.when(cond, _expr(assignments[c]).cast(types[c])).otherwise(F.col(c)).alias(c)
+                if c in assignments
+                else F.col(c)
+                for c in source.columns
+            ]
+        )
+        rows = self._write_batch(rewritten, version)
+        updated = int(sum(matches.values()))
+        live = tuple(b for b in prev.live_batches if b not in matches) + (version,)
+        return self._commit(
+            version,
+            "UPDATE",
+            {"predicate": where_text},
+            live,
+            output=rows,
+            updated=updated,
+            copied=rows - updated,
+            removed=len(touched),
+        )

@@ -167,3 +167,148 @@ SELECT s.product_id, c.name AS product_name, COUNT(*) AS order_count, CAST(SUM(s
 FROM {SAMPLE} s JOIN custs c ON s.product_id = c.product_id
 GROUP BY s.product_id, c.name""",
 }
+
+KEY_SUMMARY = with_(LINES) + """
+SELECT product_id, COUNT(*) AS order_count, CAST(SUM(amount) AS BIGINT) AS revenue,
+       CAST(SUM(amount) AS BIGINT) / COUNT(*) AS average_order_amount
+FROM lines GROUP BY product_id"""
+
+REVENUE_BY_PRODUCT = with_(LINES) + """
+SELECT product_id, CAST(SUM(amount) AS BIGINT) AS revenue FROM lines GROUP BY product_id"""
+
+SPLIT = "DATE '1998-01-01'"
+ORDER_COLS = f"""order_id, product_id, quantity, unit_price, strftime(ordered_at, {SECONDS}) AS ordered_at,
+       amount, CAST(order_date AS VARCHAR) AS order_date"""
+UPDATED = """upd AS (
+  SELECT order_id, product_id,
+         CASE WHEN order_id = 1 THEN 2 ELSE quantity END AS quantity, unit_price, ordered_at,
+         CASE WHEN order_id = 1 THEN unit_price * 2 ELSE amount END AS amount, order_date
+  FROM ords)"""
+# Rows of the batch that holds order 1 (the update rewrites only that batch).
+TOUCHED = f"""(SELECT COUNT(*) FROM ords o
+   WHERE (o.order_date < {SPLIT}) = (SELECT order_date < {SPLIT} FROM ords WHERE order_id = 1))"""
+
+REQS = r"""reqs AS (
+  SELECT event_id AS request_id, CAST(user_id AS VARCHAR) AS product_id,
+         CASE WHEN event_type = 'view' THEN k
+              WHEN event_type = 'click' THEN ' ' || k || ' '
+              WHEN event_type = 'purchase' THEN '-' || k
+              WHEN event_type = 'signup' THEN k || '00000000'
+              ELSE 'x' || k END AS quantity
+  FROM (SELECT *, regexp_extract(props, '(\d+)', 1) AS k FROM events)),
+menu AS (
+  SELECT CAST(s_suppkey AS VARCHAR) AS product_id, CAST(ROUND(s_acctbal * 100) AS BIGINT) AS unit_price
+  FROM supplier),
+checked AS (
+  SELECT r.request_id, r.product_id, r.quantity, m.unit_price, m.product_id IS NOT NULL AS known,
+         CASE WHEN regexp_full_match(trim(r.quantity), '[+-]?[0-9]+')
+              THEN TRY_CAST(trim(r.quantity) AS INTEGER) END AS quantity_value
+  FROM reqs r LEFT JOIN menu m ON r.product_id = m.product_id),
+validated AS (
+  SELECT *, reason IS NULL AS accepted FROM (
+    SELECT *, CASE WHEN NOT known THEN 'unknown_product'
+                   WHEN quantity_value BETWEEN 1 AND 2147483647 THEN NULL
+                   ELSE 'bad_quantity' END AS reason
+    FROM checked))"""
+
+RECENT = """recent AS (
+  SELECT o.product_id, o.order_id, o.quantity, o.unit_price, o.ordered_at, o.amount, o.order_date,
+         c.name, c.category
+  FROM (SELECT * FROM ords ORDER BY order_id DESC LIMIT 50) o JOIN custs c ON o.product_id = c.product_id)"""
+RECENT_COLS = f"""product_id, order_id, quantity, unit_price, strftime(ordered_at, {SECONDS}) AS ordered_at,
+       amount, CAST(order_date AS VARCHAR) AS order_date, name, category"""
+
+ISO = "strftime(ordered_at, '%Y-%m-%dT%H:%M:%S') || '+09:00'"
+
+SQL.update({
+    "q_benchmark_sales": with_(LINES) + """
+SELECT product_id, CAST(GROUPING(product_id) AS INTEGER) AS is_total, COUNT(*) AS order_count,
+       CAST(SUM(amount) AS BIGINT) AS revenue
+FROM lines GROUP BY ROLLUP (product_id)""",
+    "q_map_reduce_sales": KEY_SUMMARY,
+    "q_partial_final_sales": KEY_SUMMARY,
+    "q_repartition_sales": REVENUE_BY_PRODUCT,
+    "q_coalesce_sales": REVENUE_BY_PRODUCT,
+    "q_keyed_partition_sales": with_(LINES) + """
+SELECT product_id, CAST(1 AS INTEGER) AS partition_count, COUNT(*) AS order_count,
+       CAST(SUM(amount) AS BIGINT) AS revenue
+FROM lines GROUP BY product_id""",
+    "q_synthetic_sales": """
+WITH g AS (SELECT row_number() OVER () - 1 AS i FROM lineitem),
+o AS (SELECT printf('P%03d', i % 100) AS product_id, CAST(i % 5 + 1 AS INTEGER) AS quantity,
+             CAST((i % 10 + 1) * 100 AS BIGINT) AS unit_price FROM g),
+p AS (SELECT printf('P%03d', i) AS product_id, printf('분류 %d', i % 5) AS category FROM range(100) t(i))
+SELECT p.category, COUNT(*) AS order_count, CAST(SUM(o.quantity * o.unit_price) AS BIGINT) AS revenue
+FROM o JOIN p ON o.product_id = p.product_id GROUP BY p.category""",
+    "q_versioned_overwrite": with_(ORDERS) + f"SELECT {ORDER_COLS} FROM ords WHERE order_date < {SPLIT}",
+    "q_versioned_append": with_(ORDERS) + f"SELECT {ORDER_COLS} FROM ords",
+    "q_versioned_current": with_(ORDERS, UPDATED) + f"SELECT {ORDER_COLS} FROM upd",
+    "q_versioned_update_sales": with_(ORDERS, UPDATED) + """
+SELECT product_id, CAST(SUM(amount) AS BIGINT) AS revenue FROM upd GROUP BY product_id""",
+    "q_versioned_update": with_(ORDERS) + f"""
+SELECT CAST(2 AS BIGINT) AS version, 'UPDATE' AS operation, {TOUCHED} AS num_output_rows,
+       (SELECT COUNT(*) FROM ords WHERE order_id = 1) AS num_updated_rows,
+       {TOUCHED} - (SELECT COUNT(*) FROM ords WHERE order_id = 1) AS num_copied_rows""",
+    "q_version_history": with_(ORDERS) + f"""
+SELECT CAST(0 AS BIGINT) AS version, 'WRITE' AS operation, '{{"mode":"Overwrite"}}' AS operation_parameters,
+       (SELECT COUNT(*) FROM ords WHERE order_date < {SPLIT}) AS num_output_rows,
+       CAST(NULL AS BIGINT) AS num_updated_rows, CAST(NULL AS BIGINT) AS num_copied_rows,
+       CAST(0 AS BIGINT) AS num_removed_batches
+UNION ALL
+SELECT 1, 'WRITE', '{{"mode":"Append"}}', (SELECT COUNT(*) FROM ords WHERE order_date >= {SPLIT}),
+       NULL, NULL, 0
+UNION ALL
+SELECT 2, 'UPDATE', '{{"predicate":"order_id = 1"}}', {TOUCHED},
+       (SELECT COUNT(*) FROM ords WHERE order_id = 1),
+       {TOUCHED} - (SELECT COUNT(*) FROM ords WHERE order_id = 1), 1""",
+    "q_validate_orders": with_(REQS) + """
+SELECT request_id, product_id, quantity, quantity_value, accepted, reason FROM validated""",
+    "q_price_snapshot": with_(REQS) + """
+SELECT request_id, product_id, quantity_value AS quantity, unit_price,
+       quantity_value * unit_price AS amount
+FROM validated WHERE accepted""",
+    "q_recent_orders": with_(ORDERS, CUSTOMERS, RECENT) + f"SELECT {RECENT_COLS} FROM recent",
+    "q_recent_order_totals": with_(ORDERS, CUSTOMERS, RECENT) + """
+SELECT COUNT(*) AS order_rows, CAST(SUM(quantity) AS BIGINT) AS quantity_total,
+       CAST(SUM(amount) AS BIGINT) AS amount_total
+FROM recent""",
+    "q_received_order": with_(ORDERS, CUSTOMERS, RECENT) + f"""
+SELECT {RECENT_COLS} FROM recent WHERE order_id = (SELECT MAX(order_id) FROM ords) - 6""",
+    "q_order_search": with_(ORDERS, CUSTOMERS) + """
+SELECT o.order_id, o.product_id, c.name, o.quantity, o.amount
+FROM ords o JOIN custs c ON o.product_id = c.product_id
+WHERE contains(lower(printf('%04d', o.order_id) || ' ' || CAST(o.order_id AS VARCHAR) || ' ' || c.name), '12')""",
+    "q_menu_by_category": with_(PRODUCTS) + """
+SELECT product_id, name, category, unit_price FROM products WHERE category = 'ECONOMY'""",
+    "q_menu_categories": with_(PRODUCTS) + """
+SELECT category, MIN(product_id) AS first_product_id FROM products
+WHERE category IS NOT NULL AND category <> '' GROUP BY category""",
+    "q_export_orders": with_(ORDERS) + f"""
+SELECT order_id, product_id, quantity, unit_price, {ISO} AS ordered_at FROM ords""",
+    "q_export_products": with_(PRODUCTS) + "SELECT product_id, name, category FROM products",
+    "q_order_events": with_(ORDERS) + f"""
+SELECT order_id, to_json({{'event_type': 'order.created', 'order_id': order_id, 'product_id': product_id,
+       'quantity': quantity, 'unit_price': unit_price, 'amount': amount, 'ordered_at': {ISO}}})::VARCHAR AS event
+FROM ords""",
+    "q_order_items_decimal": f"""
+SELECT CAST(l_orderkey AS VARCHAR) AS order_id, l_linenumber AS order_item_id,
+       CAST(l_partkey AS VARCHAR) AS product_id, CAST(l_suppkey AS VARCHAR) AS seller_id,
+       strftime(l_shipdate, {SECONDS}) AS shipping_limit_date,
+       CAST(CAST(l_extendedprice AS DECIMAL(10,2)) AS VARCHAR) AS price,
+       CAST(CAST(CAST(l_extendedprice AS DECIMAL(10,2)) * CAST(l_tax AS DECIMAL(4,2)) AS DECIMAL(10,2)) AS VARCHAR)
+         AS freight_value
+FROM lineitem""",
+    "q_dashboard_doc": with_(LINES, PRODUCTS, BY_CATEGORY) + """
+SELECT 'order_count' AS section, COUNT(*) AS "rows" FROM lines
+UNION ALL SELECT 'preview', LEAST(COUNT(*), 10) FROM lines
+UNION ALL SELECT 'by_product', COUNT(*) FROM products p
+  LEFT JOIN (SELECT DISTINCT l.product_id, p2.name, p2.category FROM lines l
+             JOIN products p2 ON l.product_id = p2.product_id) b ON p.product_id = b.product_id
+UNION ALL SELECT 'by_day', COUNT(*) FROM (SELECT order_date FROM lines GROUP BY order_date)
+UNION ALL SELECT 'page_views', COUNT(*) FROM (SELECT CAST(ts AS DATE) FROM events GROUP BY 1)
+UNION ALL SELECT 'by_category', COUNT(*) FROM by_category
+UNION ALL SELECT 'by_hour', COUNT(*) FROM (SELECT hour(ordered_at) FROM lines GROUP BY 1)""",
+    "q_refresh_counts": with_(ORDERS) + f"""
+SELECT (SELECT COUNT(*) FROM ords WHERE order_date < {SPLIT}) AS before_count,
+       (SELECT COUNT(*) FROM ords) AS after_count""",
+})

@@ -7,6 +7,7 @@ rendered as text so results do not depend on a client's time zone.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,8 +15,12 @@ from pyspark.sql import functions as F
 
 from salesmart.functions import labels
 from salesmart.functions.logs import parse_requests
-from salesmart.operators import marts
-from salesmart.session import DEFAULT_ZONE
+from salesmart.functions.refine import refine_orders
+from salesmart.operators import exports, intake, marts, partitions
+from salesmart.operators.versioned import VersionedTable
+from salesmart.plans import batch, dashboard, refresh
+from salesmart.session import DEFAULT_ZONE, work_dir
+from salesmart.sources import files, synth
 from salesmart.sources import testdata as td
 
 SECONDS = "yyyy-MM-dd HH:mm:ss"
@@ -240,3 +245,262 @@ def q_sample_sales_by_product(spark, sf_dir):
         .agg(F.count(F.lit(1)).alias("order_count"), F.sum("amount").alias("revenue"))
         .withColumnRenamed("name", "product_name")
     )
+
+
+# --- aggregation walk-throughs and partitions -------------------------------------
+
+
+@query
+def q_benchmark_sales(spark, sf_dir):
+    """A10: count and revenue per product plus the grand-total row."""
+    return partitions.benchmark_sales(td.order_lines(spark, sf_dir))
+
+
+@query
+def q_map_reduce_sales(spark, sf_dir):
+    """Count, sum and average per product."""
+    return marts.key_summary(td.order_lines(spark, sf_dir))
+
+
+@query
+def q_partial_final_sales(spark, sf_dir):
+    """Explicit partial (per slice) and final aggregate."""
+    return partitions.partial_final_sales(td.order_lines(spark, sf_dir))
+
+
+@query
+def q_partition_sizes(spark, sf_dir):
+    """Rows per partition of the order lines (layout-dependent: rows-only check)."""
+    return partitions.partition_sizes(td.order_lines(spark, sf_dir))
+
+
+@query
+def q_repartition_sales(spark, sf_dir):
+    """Revenue per product after a round-robin repartition(4)."""
+    return marts.revenue_by_product(partitions.round_robin(td.order_lines(spark, sf_dir), 4))
+
+
+@query
+def q_coalesce_sales(spark, sf_dir):
+    """Revenue per product after coalesce(2)."""
+    return marts.revenue_by_product(partitions.merged(td.order_lines(spark, sf_dir), 2))
+
+
+@query
+def q_keyed_partition_sales(spark, sf_dir):
+    """After repartition(4, product_id) every product sits in one partition."""
+    lines = partitions.keyed(td.order_lines(spark, sf_dir), 4, "product_id")
+    return partitions.key_locality(lines, "product_id")
+
+
+@query
+def q_synthetic_sales(spark, sf_dir):
+    """One synthetic order per order line, rolled up by synthetic category."""
+    n = td.table(spark, sf_dir, "lineitem").count()
+    orders = refine_orders(synth.orders(spark, n))
+    return marts.sales_by_category(orders, synth.products(spark))
+
+
+# --- versioned table --------------------------------------------------------------
+
+DEMO_SPLIT_DAY = "1998-01-01"
+UPDATE_SET = {"quantity": "2", "amount": "unit_price * 2"}
+UPDATE_WHERE = "order_id = 1"
+
+
+def versioned_demo(spark: SparkSession, sf_dir: str, steps: int = 3) -> VersionedTable:
+    """V5: overwrite with orders before the split day, append the rest, update order 1."""
+    table = VersionedTable(spark, f"{work_dir(spark)}/versioned/{uuid.uuid4().hex}")
+    orders = td.orders(spark, sf_dir)
+    split = F.lit(DEMO_SPLIT_DAY).cast("date")
+    table.overwrite(orders.filter(F.col("order_date") < split))
+    if steps >= 2:
+        table.append(orders.filter(F.col("order_date") >= split))
+    if steps >= 3:
+        table.update(UPDATE_SET, UPDATE_WHERE)
+    return table
+
+
+def _order_rows(df: DataFrame) -> DataFrame:
+    return as_text(df, ordered_at=SECONDS, order_date=DAY)
+
+
+@query
+def q_versioned_overwrite(spark, sf_dir):
+    """K2: table content after the first overwrite."""
+    return _order_rows(versioned_demo(spark, sf_dir, 1).read())
+
+
+@query
+def q_versioned_append(spark, sf_dir):
+    """K3: table content after overwrite + append."""
+    return _order_rows(versioned_demo(spark, sf_dir, 2).read())
+
+
+@query
+def q_versioned_update(spark, sf_dir):
+    """V1/V4: metrics of the conditional update commit."""
+    hist = versioned_demo(spark, sf_dir, 3).history()
+    return hist.filter(F.col("operation") == "UPDATE").select(
+        "version", "operation", "num_output_rows", "num_updated_rows", "num_copied_rows"
+    )
+
+
+@query
+def q_versioned_current(spark, sf_dir):
+    """V3: latest version after overwrite, append and update."""
+    return _order_rows(versioned_demo(spark, sf_dir, 3).read())
+
+
+@query
+def q_versioned_update_sales(spark, sf_dir):
+    """V5 + A9: revenue per product of the latest version."""
+    return marts.revenue_by_product(versioned_demo(spark, sf_dir, 3).read())
+
+
+@query
+def q_version_history(spark, sf_dir):
+    """V2/V4: history with operation parameters (as JSON text) and row metrics."""
+    hist = versioned_demo(spark, sf_dir, 3).history()
+    return hist.select(
+        "version",
+        "operation",
+        F.to_json("operationParameters").alias("operation_parameters"),
+        "num_output_rows",
+        "num_updated_rows",
+        "num_copied_rows",
+        "num_removed_batches",
+    )
+
+
+# --- intake and lookups -------------------------------------------------------------
+
+SEARCH_TERM = " #12 "
+RECEIVED_ID_RANK = 7  # the received order is the 7th newest
+
+
+@query
+def q_validate_orders(spark, sf_dir):
+    """Accept or reject every order request."""
+    checked = intake.validate_orders(td.order_requests(spark, sf_dir), td.menu(spark, sf_dir))
+    return checked.select("request_id", "product_id", "quantity", "quantity_value", "accepted", "reason")
+
+
+@query
+def q_price_snapshot(spark, sf_dir):
+    """Accepted requests priced at the product's unit price."""
+    checked = intake.validate_orders(td.order_requests(spark, sf_dir), td.menu(spark, sf_dir))
+    return intake.price_snapshot(checked, keep=("request_id",))
+
+
+@query
+def q_recent_orders(spark, sf_dir):
+    """Fifty newest orders with their product."""
+    recent = intake.recent_orders(td.orders(spark, sf_dir), td.customers_as_products(spark, sf_dir))
+    return _order_rows(recent)
+
+
+@query
+def q_recent_order_totals(spark, sf_dir):
+    """Totals of the fifty newest orders."""
+    recent = intake.recent_orders(td.orders(spark, sf_dir), td.customers_as_products(spark, sf_dir))
+    return intake.recent_order_totals(recent)
+
+
+@query
+def q_received_order(spark, sf_dir):
+    """The received order picked out of the recent list by its id text."""
+    orders = td.orders(spark, sf_dir)
+    recent = intake.recent_orders(orders, td.customers_as_products(spark, sf_dir))
+    newest = orders.agg(F.max("order_id")).first()[0]
+    received = None if newest is None else str(newest - (RECEIVED_ID_RANK - 1))
+    return _order_rows(intake.received_order(recent, received))
+
+
+@query
+def q_order_search(spark, sf_dir):
+    """P20: search all orders by order number, id or product name."""
+    named = marts.enrich(td.orders(spark, sf_dir), td.customers_as_products(spark, sf_dir))
+    found = intake.search_orders(named, SEARCH_TERM)
+    return found.select("order_id", "product_id", "name", "quantity", "amount")
+
+
+@query
+def q_menu_by_category(spark, sf_dir):
+    """Menu filtered to one category."""
+    return intake.menu_by_category(td.products(spark, sf_dir, with_price=True), DEMO_CATEGORY)
+
+
+@query
+def q_menu_categories(spark, sf_dir):
+    """Distinct non-empty categories and the first product showing each."""
+    return intake.menu_categories(td.products(spark, sf_dir))
+
+
+# --- exports ------------------------------------------------------------------------
+
+
+@query
+def q_export_orders(spark, sf_dir):
+    """Orders snapshot with local ISO-8601 instants."""
+    return exports.orders_snapshot(td.orders(spark, sf_dir))
+
+
+@query
+def q_export_products(spark, sf_dir):
+    """Products snapshot without the price."""
+    return exports.products_snapshot(td.products(spark, sf_dir, with_price=True))
+
+
+@query
+def q_order_events(spark, sf_dir):
+    """K7: one order.created JSON record per order."""
+    return exports.order_events(td.orders(spark, sf_dir))
+
+
+@query
+def q_order_items_decimal(spark, sf_dir):
+    """Order items written as CSV, read back with decimal(10,2), stored as parquet."""
+    base = f"{work_dir(spark)}/order_items/{uuid.uuid4().hex}"
+    items = td.table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").cast("string").alias("order_id"),
+        F.col("l_linenumber").alias("order_item_id"),
+        F.col("l_partkey").cast("string").alias("product_id"),
+        F.col("l_suppkey").cast("string").alias("seller_id"),
+        F.date_format("l_shipdate", SECONDS).alias("shipping_limit_date"),
+        F.col("l_extendedprice").cast("decimal(10,2)").cast("string").alias("price"),
+        (F.col("l_extendedprice").cast("decimal(10,2)") * F.col("l_tax").cast("decimal(4,2)"))
+        .cast("decimal(10,2)")
+        .cast("string")
+        .alias("freight_value"),
+    )
+    items.write.option("header", True).csv(f"{base}/raw")
+    typed = files.read_order_items(spark, f"{base}/raw")
+    typed.write.parquet(f"{base}/bronze")
+    stored = files.read_bronze(spark, f"{base}/bronze")
+    money = {c: F.col(c).cast("string") for c in ("price", "freight_value")}
+    return as_text(stored, shipping_limit_date=SECONDS).withColumns(money)
+
+
+# --- dashboard and refresh ---------------------------------------------------------
+
+
+@query
+def q_dashboard_doc(spark, sf_dir):
+    """Order count and the row count of every dashboard section."""
+    orders = td.order_lines(spark, sf_dir)
+    products = td.products(spark, sf_dir)
+    requests = parse_requests(td.access_log_lines(spark, sf_dir))
+    sections = batch.build_marts(orders, products, requests)
+    return dashboard.section_sizes(marts.order_count(orders), sections)
+
+
+@query
+def q_refresh_counts(spark, sf_dir):
+    """L2: silver holds the orders before the split day; refresh reloads all orders."""
+    data_dir = f"{work_dir(spark)}/refresh/{uuid.uuid4().hex}"
+    zones = batch.Zones(data_dir)
+    orders = td.orders(spark, sf_dir)
+    first = orders.filter(F.col("order_date") < F.lit(DEMO_SPLIT_DAY).cast("date"))
+    VersionedTable(spark, zones.silver).overwrite(first)
+    return refresh.refresh(spark, data_dir, orders)
