@@ -13,9 +13,9 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Section name -> sort order used in the document.
+# Section name -> sort order used in the document ("-" means descending).
 SECTION_ORDER = {
-    "preview": [F.col("order_id").desc()],
+    "preview": ["-order_id"],
     "by_product": ["product_id"],
     "by_day": ["order_date"],
     "page_views": ["visit_date"],
@@ -42,6 +42,10 @@ def _plain(value):
     return value
 
 
+def _sort_key(spec: str):
+    return F.col(spec[1:]).desc() if spec.startswith("-") else F.col(spec).asc()
+
+
 def document(
     spark: SparkSession,
     marts_dir: str,
@@ -56,7 +60,8 @@ def document(
         rows = table.count()
         if rows <= row_limit:
             doc[name] = [
-                {k: _plain(v) for k, v in r.asDict().items()} for r in table.orderBy(*order).collect()
+                {k: _plain(v) for k, v in r.asDict().items()}
+                for r in table.orderBy(*[_sort_key(c) for c in order]).collect()
             ]
         else:
             doc[name] = {"path": f"{marts_dir}/{name}", "rows": rows}
