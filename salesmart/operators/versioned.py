@@ -6,10 +6,12 @@ Layout under ``path``::
     _history/<n:020d>/part-*.json one record per version: operation, parameters,
                                   live batches and row metrics
 
-A version's rows are the union of its live batches.  Overwrite makes the new
-batch the only live one; append adds it; update rewrites only the batches
-that hold a matching row (copy-on-write) and leaves the others live.  Data is
-written first and the history record last, so a failed write leaves no
+A version's rows are the files of its live batches minus the files that a
+later update replaced.  Overwrite makes the new batch the only live one;
+append adds it; update rewrites only the *files* that hold a matching row
+(copy-on-write, like a table format) into a new batch and records the
+replaced files, so one changed row never rewrites a whole large batch.  Data
+is written first and the history record last, so a failed write leaves no
 version.  One writer at a time: concurrent writers are not coordinated.
 
 If the Delta Lake format is on the classpath, prefer it; this class is the
@@ -19,6 +21,7 @@ fallback with the same user-level operations.
 from __future__ import annotations
 
 import datetime as _dt
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -39,10 +42,11 @@ HISTORY_RECORD = StructType(
         StructField("operation", StringType()),
         StructField("operationParameters", MapType(StringType(), StringType())),
         StructField("live_batches", ArrayType(LongType())),
+        StructField("removed_files", ArrayType(StringType())),
         StructField("num_output_rows", LongType()),
         StructField("num_updated_rows", LongType()),
         StructField("num_copied_rows", LongType()),
-        StructField("num_removed_batches", LongType()),
+        StructField("num_removed_files", LongType()),
     ]
 )
 
@@ -52,6 +56,22 @@ class Commit:
     version: int
     operation: str
     live_batches: tuple[int, ...]
+    removed_files: tuple[str, ...] = ()
+
+
+_BATCH_FILE = re.compile(r"(batch=(\d+)/[^/]+)$")
+
+
+def _relative(file_path: str) -> str:
+    """``.../batch=<n>/<part file>`` -> ``batch=<n>/<part file>`` (scheme-independent)."""
+    m = _BATCH_FILE.search(file_path)
+    if not m:
+        raise ValueError(f"not a table data file: {file_path}")
+    return m.group(1)
+
+
+def _batch_of(relative: str) -> int:
+    return int(relative.split("/")[0].split("=")[1])
 
 
 def _expr(value) -> Column:
@@ -84,38 +104,53 @@ class VersionedTable:
         if not rows:
             return None
         r = rows[0]
-        return Commit(r.version, r.operation, tuple(r.live_batches or ()))
+        return Commit(r.version, r.operation, tuple(r.live_batches or ()), tuple(r.removed_files or ()))
 
     def history(self) -> DataFrame:
         """V2 / V4: version, timestamp, operation, operationParameters and row metrics."""
         hist = self._history_raw()
         if hist is None:
-            return self.spark.createDataFrame([], HISTORY_RECORD).drop("live_batches")
-        return hist.drop("live_batches").orderBy(F.col("version").desc())
+            return self.spark.createDataFrame([], HISTORY_RECORD).drop("live_batches", "removed_files")
+        return hist.drop("live_batches", "removed_files").orderBy(F.col("version").desc())
 
     # -- reads --------------------------------------------------------------------
 
-    def _batches(self, batches, with_batch: bool = False) -> DataFrame:
-        paths = [f"{self.path}/batch={b}" for b in batches]
-        df = self.spark.read.option("basePath", self.path).parquet(*paths)
-        return df if with_batch else df.drop("batch")
+    def _paths(self, commit: Commit) -> list[str]:
+        """Batch directories, or the remaining files of batches with replaced files."""
+        removed = set(commit.removed_files)
+        partly = {_batch_of(f) for f in removed}
+        paths = []
+        for b in commit.live_batches:
+            batch_dir = f"{self.path}/batch={b}"
+            if b not in partly:
+                paths.append(batch_dir)
+                continue
+            for f in self.spark.read.parquet(batch_dir).inputFiles():
+                if _relative(f) not in removed:
+                    paths.append(f)
+        return paths
+
+    def _load(self, paths: list[str]) -> DataFrame:
+        return self.spark.read.option("basePath", self.path).parquet(*paths)
 
     def read(self, version: int | None = None) -> DataFrame:
         """Rows of the latest version (or of ``version``)."""
         commit = self.latest(version)
         if commit is None:
             raise ValueError(f"no table at {self.path}" + ("" if version is None else f" version {version}"))
-        return self._batches(commit.live_batches)
+        return self._load(self._paths(commit)).drop("batch")
 
     # -- writes -------------------------------------------------------------------
 
-    def _commit(self, version, operation, params, live, output=None, updated=None, copied=None, removed=0):
+    def _commit(self, version, operation, params, live, removed_files=(), output=None, updated=None, copied=None,
+                removed=0):
         record = (
             version,
             _dt.datetime.now(_dt.timezone.utc).isoformat(timespec="milliseconds"),
             operation,
             params,
             list(live),
+            list(removed_files),
             output,
             updated,
             copied,
@@ -124,7 +159,7 @@ class VersionedTable:
         self.spark.createDataFrame([record], HISTORY_RECORD).coalesce(1).write.mode("errorifexists").json(
             f"{self.path}/_history/{version:020d}"
         )
-        return Commit(version, operation, tuple(live))
+        return Commit(version, operation, tuple(live), tuple(removed_files))
 
     def _write_batch(self, df: DataFrame, version: int) -> int:
         target = f"{self.path}/batch={version}"
@@ -136,7 +171,7 @@ class VersionedTable:
         prev = self.latest()
         version = 0 if prev is None else prev.version + 1
         rows = self._write_batch(df, version)
-        removed = 0 if prev is None else len(prev.live_batches)
+        removed = 0 if prev is None else len(self._load(self._paths(prev)).inputFiles())
         return self._commit(version, "WRITE", {"mode": "Overwrite"}, [version], output=rows, removed=removed)
 
     def append(self, df: DataFrame) -> Commit:
@@ -145,29 +180,38 @@ class VersionedTable:
         version = 0 if prev is None else prev.version + 1
         rows = self._write_batch(df, version)
         live = (prev.live_batches if prev else ()) + (version,)
-        return self._commit(version, "WRITE", {"mode": "Append"}, live, output=rows)
+        removed_files = prev.removed_files if prev else ()
+        return self._commit(version, "WRITE", {"mode": "Append"}, live, removed_files, output=rows)
 
     def update(self, assignments: dict[str, str | Column], where: str | Column) -> Commit:
-        """V1: ``SET col = expr, ... WHERE cond`` with copy-on-write of matching batches.
+        """V1: ``SET col = expr, ... WHERE cond``, copy-on-write of the matching files.
 
         All SET expressions read the old row.  Rows whose condition is false or
-        NULL keep their values.  Batches without a match are not touched.
+        NULL keep their values.  Files without a match are not touched.
         """
         prev = self.latest()
         if prev is None:
             raise ValueError(f"no table at {self.path}")
         cond = _expr(where)
         where_text = where if isinstance(where, str) else str(where)
-        table = self._batches(prev.live_batches, with_batch=True)
-        # Scan phase: the predicate is pushed to the parquet reader; the result
-        # is one row per matching batch, bounded by the number of live batches.
-        matches = {r["batch"]: r["count"] for r in table.filter(cond).groupBy("batch").count().collect()}
+        table = self._load(self._paths(prev)).drop("batch")
+        # Scan phase: the predicate is pushed to the parquet reader and the
+        # result is one row per data file that holds a match (file names only).
+        hits = (
+            table.filter(cond)
+            .groupBy(F.col("_metadata.file_path").alias("file"))
+            .count()
+            .collect()
+        )
         version = prev.version + 1
-        if not matches:
-            return self._commit(version, "UPDATE", {"predicate": where_text}, prev.live_batches, updated=0, copied=0)
-        touched = sorted(matches)
-        source = self._batches(touched)
-        types = dict((f.name, f.dataType) for f in source.schema.fields)
+        if not hits:
+            return self._commit(
+                version, "UPDATE", {"predicate": where_text}, prev.live_batches, prev.removed_files,
+                updated=0, copied=0,
+            )
+        touched = sorted(r["file"] for r in hits)
+        source = self._load(touched).drop("batch")
+        types = {f.name: f.dataType for f in source.schema.fields}
         rewritten = source.select(
             *[
                 F.when(cond, _expr(assignments[c]).cast(types[c])).otherwise(F.col(c)).alias(c)
@@ -177,13 +221,14 @@ class VersionedTable:
             ]
         )
         rows = self._write_batch(rewritten, version)
-        updated = int(sum(matches.values()))
-        live = tuple(b for b in prev.live_batches if b not in matches) + (version,)
+        updated = int(sum(r["count"] for r in hits))
+        removed_files = tuple(sorted(set(prev.removed_files) | {_relative(f) for f in touched}))
         return self._commit(
             version,
             "UPDATE",
             {"predicate": where_text},
-            live,
+            prev.live_batches + (version,),
+            removed_files,
             output=rows,
             updated=updated,
             copied=rows - updated,

@@ -18,6 +18,7 @@ import datetime as _dt
 from time import perf_counter
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from salesmart.functions.logs import parse_requests
 from salesmart.functions.refine import refine_orders
@@ -47,16 +48,25 @@ def load_silver(spark: SparkSession, zones: Zones, strict: bool = False) -> Vers
     return silver
 
 
-def build_marts(orders: DataFrame, products: DataFrame, requests: DataFrame) -> dict[str, DataFrame]:
-    """All mart sections from refined orders, products and parsed requests."""
-    by_product = marts.sales_by_product(orders, products)
+def build_marts(orders: DataFrame, products: DataFrame, requests: DataFrame, totals: DataFrame | None = None) -> dict[str, DataFrame]:
+    """All mart sections from refined orders, products and parsed requests.
+
+    ``totals`` is :func:`marts.fact_totals` of ``orders`` (computed here when
+    not given): product, day and hour marts all come from that one scan.
+    """
+    if totals is None:
+        totals = marts.fact_totals(orders)
+    per_product = marts.totals_of(totals, marts.BY_PRODUCT_ID, "product_id")
+    by_product = marts.sales_by_product_from_totals(per_product, products)
+    per_day = marts.totals_of(totals, marts.BY_DAY_ID, "order_date").drop("sold_quantity")
+    per_hour = marts.totals_of(totals, marts.BY_HOUR_ID, "order_hour").drop("sold_quantity")
     return {
         "preview": marts.order_preview(orders),
         "by_product": marts.dashboard_products(products, by_product),
-        "by_day": marts.sales_by_day(orders),
+        "by_day": marts.day_text(per_day),
         "page_views": marts.page_views(requests),
-        "by_category": marts.sales_by_category(orders, products),
-        "by_hour": marts.sales_by_hour(orders),
+        "by_category": marts.sales_by_category_from_totals(per_product, products),
+        "by_hour": marts.with_revenue_share(per_hour),
     }
 
 
@@ -74,11 +84,16 @@ def run(
     orders = silver.read()
     products = files.read_products_jsonl(spark, f"{zones.raw}/products.jsonl")
     requests = parse_requests(files.read_access_log(spark, f"{zones.raw}/access.log"), strict=strict)
-    for name, df in build_marts(orders, products, requests).items():
+    # One scan of silver for every product / day / hour total; the small result
+    # is written so the marts below do not re-scan the facts.
+    marts.fact_totals(orders).write.mode("overwrite").parquet(f"{zones.marts}/_fact_totals")
+    totals = spark.read.parquet(f"{zones.marts}/_fact_totals")
+    for name, df in build_marts(orders, products, requests, totals).items():
         df.write.mode("overwrite").parquet(f"{zones.marts}/{name}")
     if generated_at is None:
         generated_at = _dt.datetime.now(_dt.timezone.utc).astimezone().isoformat(timespec="seconds")
-    doc = dashboard.document(spark, zones.marts, orders.count(), generated_at, row_limit)
+    order_count = totals.filter(F.col("gid") == marts.BY_DAY_ID).agg(F.sum("order_count")).first()[0] or 0
+    doc = dashboard.document(spark, zones.marts, order_count, generated_at, row_limit)
     doc["pipeline_seconds"] = round(perf_counter() - started, 3)
     dashboard.write_document(spark, doc, zones.document)
     return doc

@@ -57,14 +57,13 @@ def document(
     doc: dict = {"generated_at": generated_at, "order_count": order_count}
     for name, order in SECTION_ORDER.items():
         table = spark.read.parquet(f"{marts_dir}/{name}")
-        rows = table.count()
-        if rows <= row_limit:
-            doc[name] = [
-                {k: _plain(v) for k, v in r.asDict().items()}
-                for r in table.orderBy(*[_sort_key(c) for c in order]).collect()
-            ]
+        # Fetch at most row_limit + 1 rows: that both checks the size and
+        # returns the rows when the section is small enough to inline.
+        head = table.orderBy(*[_sort_key(c) for c in order]).limit(row_limit + 1).collect()
+        if len(head) <= row_limit:
+            doc[name] = [{k: _plain(v) for k, v in r.asDict().items()} for r in head]
         else:
-            doc[name] = {"path": f"{marts_dir}/{name}", "rows": rows}
+            doc[name] = {"path": f"{marts_dir}/{name}", "rows": table.count()}
     return doc
 
 

@@ -184,9 +184,6 @@ UPDATED = """upd AS (
          CASE WHEN order_id = 1 THEN 2 ELSE quantity END AS quantity, unit_price, ordered_at,
          CASE WHEN order_id = 1 THEN unit_price * 2 ELSE amount END AS amount, order_date
   FROM ords)"""
-# Rows of the batch that holds order 1 (the update rewrites only that batch).
-TOUCHED = f"""(SELECT COUNT(*) FROM ords o
-   WHERE (o.order_date < {SPLIT}) = (SELECT order_date < {SPLIT} FROM ords WHERE order_id = 1))"""
 
 REQS = r"""reqs AS (
   SELECT event_id AS request_id, CAST(user_id AS VARCHAR) AS product_id,
@@ -245,22 +242,18 @@ FROM o JOIN p ON o.product_id = p.product_id GROUP BY p.category""",
     "q_versioned_current": with_(ORDERS, UPDATED) + f"SELECT {ORDER_COLS} FROM upd",
     "q_versioned_update_sales": with_(ORDERS, UPDATED) + """
 SELECT product_id, CAST(SUM(amount) AS BIGINT) AS revenue FROM upd GROUP BY product_id""",
-    "q_versioned_update": with_(ORDERS) + f"""
-SELECT CAST(2 AS BIGINT) AS version, 'UPDATE' AS operation, {TOUCHED} AS num_output_rows,
+    "q_versioned_update": with_(ORDERS) + """
+SELECT CAST(2 AS BIGINT) AS version, 'UPDATE' AS operation,
        (SELECT COUNT(*) FROM ords WHERE order_id = 1) AS num_updated_rows,
-       {TOUCHED} - (SELECT COUNT(*) FROM ords WHERE order_id = 1) AS num_copied_rows""",
+       CAST(1 AS BIGINT) AS num_removed_files""",
     "q_version_history": with_(ORDERS) + f"""
 SELECT CAST(0 AS BIGINT) AS version, 'WRITE' AS operation, '{{"mode":"Overwrite"}}' AS operation_parameters,
-       (SELECT COUNT(*) FROM ords WHERE order_date < {SPLIT}) AS num_output_rows,
-       CAST(NULL AS BIGINT) AS num_updated_rows, CAST(NULL AS BIGINT) AS num_copied_rows,
-       CAST(0 AS BIGINT) AS num_removed_batches
+       (SELECT COUNT(*) FROM ords WHERE order_date < {SPLIT}) AS num_written_rows,
+       CAST(NULL AS BIGINT) AS num_updated_rows, CAST(0 AS BIGINT) AS num_removed_files
 UNION ALL
-SELECT 1, 'WRITE', '{{"mode":"Append"}}', (SELECT COUNT(*) FROM ords WHERE order_date >= {SPLIT}),
-       NULL, NULL, 0
+SELECT 1, 'WRITE', '{{"mode":"Append"}}', (SELECT COUNT(*) FROM ords WHERE order_date >= {SPLIT}), NULL, 0
 UNION ALL
-SELECT 2, 'UPDATE', '{{"predicate":"order_id = 1"}}', {TOUCHED},
-       (SELECT COUNT(*) FROM ords WHERE order_id = 1),
-       {TOUCHED} - (SELECT COUNT(*) FROM ords WHERE order_id = 1), 1""",
+SELECT 2, 'UPDATE', '{{"predicate":"order_id = 1"}}', NULL, (SELECT COUNT(*) FROM ords WHERE order_id = 1), 1""",
     "q_validate_orders": with_(REQS) + """
 SELECT request_id, product_id, quantity, quantity_value, accepted, reason FROM validated""",
     "q_price_snapshot": with_(REQS) + """

@@ -30,8 +30,9 @@ def test_overwrite_append_update_sequence(spark, scratch):
     one = cur.filter("order_id = 1").select("order_id", "quantity", "amount").first()
     assert (one.order_id, one.quantity, one.amount) == (1, 2, 200)
     assert cur.schema == orders.schema
-    # Only the batch holding order 1 was rewritten; the appended batch is still live.
-    assert commit.live_batches == (1, 2)
+    # Only the file holding order 1 was rewritten; the appended batch is untouched.
+    assert commit.live_batches == (0, 1, 2)
+    assert len(commit.removed_files) == 1 and commit.removed_files[0].startswith("batch=0/")
 
     hist = table.history().collect()
     assert [(h.version, h.operation, h.operationParameters) for h in hist] == [
@@ -39,8 +40,9 @@ def test_overwrite_append_update_sequence(spark, scratch):
         (1, "WRITE", {"mode": "Append"}),
         (0, "WRITE", {"mode": "Overwrite"}),
     ]
-    assert (hist[0].num_updated_rows, hist[0].num_copied_rows) == (1, 5)
-    assert [h.num_output_rows for h in hist] == [6, 6, 6]
+    assert hist[0].num_updated_rows == 1 and hist[0].num_removed_files == 1
+    assert hist[0].num_output_rows == hist[0].num_updated_rows + hist[0].num_copied_rows
+    assert [h.num_output_rows for h in hist[1:]] == [6, 6]
 
     # Earlier versions stay readable.
     assert table.read(version=0).count() == 6
@@ -71,6 +73,22 @@ def test_rerun_is_idempotent_because_overwrite_comes_first(spark, scratch):
     assert table.latest().version == 5
 
 
+def test_update_rewrites_only_files_with_a_match(spark, scratch):
+    orders = orders_frame(spark).repartition(4)
+    table = VersionedTable(spark, f"{scratch}/orders")
+    table.overwrite(orders)
+    files_before = len(table.read().inputFiles())
+    table.update({"amount": "amount * 10"}, "order_id IN (1, 2)")
+    table.update({"amount": "amount + 1"}, "order_id = 1")
+    cur = {r.order_id: r.amount for r in table.read().collect()}
+    assert len(cur) == 22 and cur[1] == 1001 and cur[2] == 2000 and cur[3] == 300
+    c = table.latest()
+    assert len(c.removed_files) <= 3
+    assert files_before >= 1
+    # Time travel still sees the original rows.
+    assert {r.order_id: r.amount for r in table.read(version=0).collect()}[1] == 100
+
+
 def test_missing_table(spark, scratch):
     table = VersionedTable(spark, f"{scratch}/none")
     assert table.latest() is None
