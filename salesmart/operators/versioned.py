@@ -113,6 +113,16 @@ class VersionedTable:
             return self.spark.createDataFrame([], HISTORY_RECORD).drop("live_batches", "removed_files")
         return hist.drop("live_batches", "removed_files").orderBy(F.col("version").desc())
 
+    def has_commit(self, **params: str) -> bool:
+        """Whether some version was written with all of the given parameters."""
+        hist = self._history_raw()
+        if hist is None:
+            return False
+        cond = F.lit(True)
+        for k, v in params.items():
+            cond = cond & (F.col("operationParameters").getItem(k) == F.lit(v))
+        return bool(hist.filter(cond).limit(1).count())
+
     # -- reads --------------------------------------------------------------------
 
     def _paths(self, commit: Commit) -> list[str]:
@@ -166,22 +176,23 @@ class VersionedTable:
         df.write.mode("errorifexists").parquet(target)
         return self.spark.read.parquet(target).count()
 
-    def overwrite(self, df: DataFrame) -> Commit:
+    def overwrite(self, df: DataFrame, params: dict[str, str] | None = None) -> Commit:
         """K2: new version whose only live batch is ``df``."""
         prev = self.latest()
         version = 0 if prev is None else prev.version + 1
         rows = self._write_batch(df, version)
         removed = 0 if prev is None else len(self._load(self._paths(prev)).inputFiles())
-        return self._commit(version, "WRITE", {"mode": "Overwrite"}, [version], output=rows, removed=removed)
+        return self._commit(version, "WRITE", {"mode": "Overwrite", **(params or {})}, [version], output=rows,
+                            removed=removed)
 
-    def append(self, df: DataFrame) -> Commit:
+    def append(self, df: DataFrame, params: dict[str, str] | None = None) -> Commit:
         """K3: blind append; existing batches stay live."""
         prev = self.latest()
         version = 0 if prev is None else prev.version + 1
         rows = self._write_batch(df, version)
         live = (prev.live_batches if prev else ()) + (version,)
         removed_files = prev.removed_files if prev else ()
-        return self._commit(version, "WRITE", {"mode": "Append"}, live, removed_files, output=rows)
+        return self._commit(version, "WRITE", {"mode": "Append", **(params or {})}, live, removed_files, output=rows)
 
     def update(self, assignments: dict[str, str | Column], where: str | Column) -> Commit:
         """V1: ``SET col = expr, ... WHERE cond``, copy-on-write of the matching files.

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from salesmart.functions.logs import parse_requests
 from salesmart.functions.refine import refine_orders
-from salesmart.operators import marts
+from salesmart.operators import joins, marts
 from salesmart.operators.versioned import VersionedTable
 from salesmart.plans import dashboard
 from salesmart.sources import files
@@ -76,13 +76,20 @@ def run(
     generated_at: str | None = None,
     strict: bool = False,
     row_limit: int = dashboard.DEFAULT_ROW_LIMIT,
+    unique_products: bool = False,
 ) -> dict:
-    """Run the whole batch and return the dashboard document."""
+    """Run the whole batch and return the dashboard document.
+
+    ``unique_products`` fails the run when a product id repeats (it would fan
+    out orders in the joins); off by default, as in the reference.
+    """
     started = perf_counter()
     zones = Zones(data_dir)
     silver = load_silver(spark, zones, strict)
     orders = silver.read()
     products = files.read_products_jsonl(spark, f"{zones.raw}/products.jsonl")
+    if unique_products:
+        joins.assert_unique(products, "product_id")
     requests = parse_requests(files.read_access_log(spark, f"{zones.raw}/access.log"), strict=strict)
     # One scan of silver for every product / day / hour total; the small result
     # is written so the marts below do not re-scan the facts.

@@ -97,6 +97,7 @@ SELECT l.product_id, l.order_id, l.quantity, l.unit_price, strftime(l.ordered_at
        l.amount, CAST(l.order_date AS VARCHAR) AS order_date, p.name, p.category
 FROM lines l JOIN products p ON l.product_id = p.product_id""",
     "q_sales_by_product": BY_PRODUCT,
+    "q_broadcast_join_sales": BY_PRODUCT,
     "q_sales_by_category": with_(LINES, PRODUCTS, BY_CATEGORY) + "SELECT * FROM by_category",
     "q_sales_by_product_in_category": "SELECT * FROM (" + BY_PRODUCT + ") WHERE category = 'ECONOMY'",
     "q_sales_by_day": with_(LINES) + """

@@ -1,0 +1 @@
+"""Incremental ingest of order events with Structured Streaming."""

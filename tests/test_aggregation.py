@@ -74,3 +74,24 @@ def test_generator_writes_raw_zone(spark, scratch):
 
     assert files.read_orders_csv(spark, f"{scratch}/raw/orders.csv").count() == 50
     assert files.read_products_jsonl(spark, f"{scratch}/raw/products.jsonl").count() == 100
+
+
+def test_size_checked_broadcast(spark):
+    from salesmart.operators import joins
+
+    products = products_frame(spark)
+    _, hinted = joins.broadcast_if_small(products, max_rows=4)
+    assert hinted
+    _, hinted = joins.broadcast_if_small(products, max_rows=3)
+    assert not hinted
+
+
+def test_duplicate_key_check(spark):
+    import pytest
+
+    from salesmart.operators import joins
+
+    products = products_frame(spark)
+    joins.assert_unique(products, "product_id")
+    with pytest.raises(ValueError, match="duplicate"):
+        joins.assert_unique(products.unionByName(products.limit(1)), "product_id")
