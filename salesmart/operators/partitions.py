@@ -71,3 +71,14 @@ def partial_final_sales(orders: DataFrame) -> DataFrame:
         .agg(F.sum("n").alias("order_count"), F.sum("s").alias("revenue"))
         .withColumn("average_order_amount", F.col("revenue") / F.col("order_count"))
     )
+
+
+def explain_text(df: DataFrame, mode: str = "formatted") -> str:
+    """The physical plan as text (what ``df.explain(mode)`` prints)."""
+    import contextlib
+    import io
+
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain(mode)
+    return buf.getvalue()

@@ -66,3 +66,12 @@ def test_keyed_repartition_is_reused_by_the_aggregate(spark):
 def test_enrich_hint_broadcasts(spark):
     orders, products = td.order_lines(spark, SF), td.products(spark, SF)
     assert "BroadcastHashJoin" in plan(marts.enrich(orders, products, broadcast_products=True))
+
+
+def test_count_and_sum_run_partial_shuffle_final(spark):
+    from salesmart.operators import partitions
+
+    text = partitions.explain_text(marts.key_summary(td.order_lines(spark, SF)))
+    assert "partial_count(1)" in text and "partial_sum" in text
+    assert "hashpartitioning(product_id" in text
+    assert "Functions [2]: [count(1), sum(amount" in text
