@@ -16,19 +16,37 @@ def partition_count(df: DataFrame) -> int:
     return df.rdd.getNumPartitions()
 
 
-def round_robin(df: DataFrame, n: int) -> DataFrame:
-    """R2: spread rows evenly over ``n`` partitions (a full shuffle)."""
-    return df.repartition(n)
+def _shuffle_partitions(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def merged(df: DataFrame, n: int) -> DataFrame:
-    """Merge into at most ``n`` partitions without a shuffle."""
+def round_robin(df: DataFrame, n: int | None = None) -> DataFrame:
+    """R2: spread rows evenly over ``n`` partitions (a full shuffle).
+
+    Without ``n`` the session's ``spark.sql.shuffle.partitions`` is used, which
+    is the count sized for the data; a small fixed count only suits small data.
+    """
+    return df.repartition(n or _shuffle_partitions(df))
+
+
+def merged(df: DataFrame, n: int | None = None) -> DataFrame:
+    """Merge into at most ``n`` partitions without a shuffle.
+
+    Without ``n`` the partition count is halved, so the scan keeps half its
+    parallelism instead of collapsing into a fixed handful of tasks.
+    """
+    if n is None:
+        n = max(1, partition_count(df) // 2)
     return df.coalesce(n)
 
 
-def keyed(df: DataFrame, n: int, *keys: str) -> DataFrame:
-    """Hash-partition on ``keys`` so all rows of a key share one partition."""
-    return df.repartition(n, *keys)
+def keyed(df: DataFrame, n: int | None, *keys: str) -> DataFrame:
+    """Hash-partition on ``keys`` so all rows of a key share one partition.
+
+    A hot key puts all its rows in one task; for totals use
+    :func:`keyed_totals`, which pre-aggregates before the keyed shuffle.
+    """
+    return df.repartition(n, *keys) if n else df.repartition(*keys)
 
 
 def key_locality(df: DataFrame, key: str) -> DataFrame:
@@ -44,6 +62,24 @@ def key_locality(df: DataFrame, key: str) -> DataFrame:
     )
 
 
+def keyed_totals(orders: DataFrame, n: int | None = None, key: str = "product_id") -> DataFrame:
+    """R4 for totals: partial totals per input slice and key, then a keyed shuffle.
+
+    Each key's partial rows (at most one per input partition) land in one
+    partition, so every key is still owned by exactly one partition, but a key
+    holding a third of all rows moves only its partial rows, not its orders.
+    """
+    partial = orders.groupBy(F.spark_partition_id().alias("_slice"), key).agg(
+        F.count(F.lit(1)).alias("_n"), F.sum("amount").alias("_s")
+    )
+    owned = keyed(partial, n, key).withColumn("_partition", F.spark_partition_id())
+    return owned.groupBy(key).agg(
+        F.size(F.collect_set("_partition")).alias("partition_count"),
+        F.sum("_n").alias("order_count"),
+        F.sum("_s").alias("revenue"),
+    )
+
+
 def benchmark_sales(orders: DataFrame) -> DataFrame:
     """A10: count and revenue per product plus one grand-total row (``is_total`` = 1).
 

@@ -293,21 +293,20 @@ def q_partition_sizes(spark, sf_dir):
 
 @query
 def q_repartition_sales(spark, sf_dir):
-    """Revenue per product after a round-robin repartition(4)."""
-    return marts.revenue_by_product(partitions.round_robin(td.order_lines(spark, sf_dir), 4))
+    """Revenue per product after a round-robin repartition."""
+    return marts.revenue_by_product(partitions.round_robin(td.order_lines(spark, sf_dir)))
 
 
 @query
 def q_coalesce_sales(spark, sf_dir):
-    """Revenue per product after coalesce(2)."""
-    return marts.revenue_by_product(partitions.merged(td.order_lines(spark, sf_dir), 2))
+    """Revenue per product after a coalesce that halves the partitions."""
+    return marts.revenue_by_product(partitions.merged(td.order_lines(spark, sf_dir)))
 
 
 @query
 def q_keyed_partition_sales(spark, sf_dir):
-    """After repartition(4, product_id) every product sits in one partition."""
-    lines = partitions.keyed(td.order_lines(spark, sf_dir), 4, "product_id")
-    return partitions.key_locality(lines, "product_id")
+    """After a keyed repartition every product sits in one partition."""
+    return partitions.keyed_totals(td.order_lines(spark, sf_dir))
 
 
 @query

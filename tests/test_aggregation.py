@@ -39,6 +39,18 @@ def test_repartition_and_coalesce_keep_revenue(spark):
 def test_keyed_partition_puts_each_key_in_one_partition(spark):
     keyed = partitions.keyed(orders_frame(spark), 4, "product_id")
     assert {r.partition_count for r in partitions.key_locality(keyed, "product_id").collect()} == {1}
+    totals = partitions.keyed_totals(orders_frame(spark).repartition(3), 4).collect()
+    assert {r.partition_count for r in totals} == {1}
+    assert {r.product_id: (r.order_count, r.revenue) for r in totals} == {
+        r.product_id: (r.order_count, r.revenue) for r in marts.product_totals(orders_frame(spark)).collect()
+    }
+
+
+def test_default_partition_counts_follow_the_data(spark):
+    orders = orders_frame(spark).repartition(6)
+    assert partitions.partition_count(partitions.merged(orders)) == 3
+    shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert partitions.partition_count(partitions.round_robin(orders)) == shuffle
 
 
 def test_broadcast_hint_gives_same_rows(spark):
