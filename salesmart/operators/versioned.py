@@ -12,7 +12,9 @@ append adds it; update rewrites only the *files* that hold a matching row
 (copy-on-write, like a table format) into a new batch and records the
 replaced files, so one changed row never rewrites a whole large batch.  Data
 is written first and the history record last, so a failed write leaves no
-version.  One writer at a time: concurrent writers are not coordinated.
+version, and a rerun replaces the orphaned files.  One writer at a time: a
+second writer is detected at commit time (the version exists) and fails, but
+writers are not otherwise coordinated.
 
 If the Delta Lake format is on the classpath, prefer it; this class is the
 fallback with the same user-level operations.
@@ -166,14 +168,21 @@ class VersionedTable:
             copied,
             removed,
         )
-        self.spark.createDataFrame([record], HISTORY_RECORD).coalesce(1).write.mode("errorifexists").json(
+        current = self.latest()
+        if current is not None and current.version >= version:
+            raise RuntimeError(f"version {version} of {self.path} was committed by another writer")
+        # The record is the commit point.  A directory left by a failed earlier
+        # attempt at this version holds no visible record, so it is replaced.
+        self.spark.createDataFrame([record], HISTORY_RECORD).coalesce(1).write.mode("overwrite").json(
             f"{self.path}/_history/{version:020d}"
         )
         return Commit(version, operation, tuple(live), tuple(removed_files))
 
     def _write_batch(self, df: DataFrame, version: int) -> int:
+        # No committed version references batch=<version> yet, so files left
+        # by a failed attempt are orphans and may be replaced.
         target = f"{self.path}/batch={version}"
-        df.write.mode("errorifexists").parquet(target)
+        df.write.mode("overwrite").parquet(target)
         return self.spark.read.parquet(target).count()
 
     def overwrite(self, df: DataFrame, params: dict[str, str] | None = None) -> Commit:

@@ -94,3 +94,15 @@ def test_missing_table(spark, scratch):
     assert table.latest() is None
     with pytest.raises(ValueError):
         table.read()
+
+
+def test_rerun_after_a_failed_write_replaces_orphan_files(spark, scratch):
+    orders = orders_frame(spark)
+    table = VersionedTable(spark, f"{scratch}/orders")
+    table.overwrite(orders.filter("order_id <= 6"))
+    # A crashed append left data for version 1 but no history record.
+    orders.filter("order_id > 20").write.parquet(f"{scratch}/orders/batch=1")
+    assert table.latest().version == 0 and table.read().count() == 6
+    table.append(orders.filter("order_id BETWEEN 7 AND 12"))
+    assert table.latest().version == 1
+    assert sorted(r.order_id for r in table.read().collect()) == list(range(1, 13))
