@@ -14,8 +14,8 @@ import json
 import os
 import re
 import sys
-import tempfile
 import time
+import uuid
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -26,7 +26,7 @@ from salesmart.operators import exports, marts  # noqa: E402
 from salesmart.operators.versioned import VersionedTable  # noqa: E402
 from salesmart.plans import batch  # noqa: E402
 from salesmart.plans.queries import REGISTRY  # noqa: E402
-from salesmart.session import BENCHMARK_SCAN_CONF, build_session  # noqa: E402
+from salesmart.session import BENCHMARK_SCAN_CONF, build_session, work_dir  # noqa: E402
 from salesmart.sources import files, synth  # noqa: E402
 from salesmart.sources import testdata as td  # noqa: E402
 
@@ -67,7 +67,7 @@ def main():
     m = re.search(r"sf([0-9.]+)", sf_dir)
     sf = float(m.group(1)) if m else None
     spark = build_session(f"local[{cpus}]", app_name="salesmart-bench", shuffle_partitions=int(cpus) * 2)
-    scratch = tempfile.mkdtemp(prefix="salesmart-bench-")
+    scratch = f"{work_dir(spark)}/bench-{uuid.uuid4().hex}"
 
     run_noop(REGISTRY["q_order_count"](spark, sf_dir))  # JVM / reader warm-up, not timed
 
