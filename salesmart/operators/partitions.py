@@ -11,6 +11,16 @@ def partition_sizes(df: DataFrame) -> DataFrame:
     return df.groupBy(F.spark_partition_id().alias("partition_id")).agg(F.count(F.lit(1)).alias("rows"))
 
 
+def partition_report(df: DataFrame, key: str) -> DataFrame:
+    """R1/R4 + T4: rows per (partition_id, key), sorted by partition then key.
+
+    One row per partition and key (an aggregate), so the sorted report is as
+    small as the number of partitions times keys per partition.
+    """
+    tagged = df.withColumn("partition_id", F.spark_partition_id())
+    return tagged.groupBy("partition_id", key).agg(F.count(F.lit(1)).alias("rows")).orderBy("partition_id", key)
+
+
 def partition_count(df: DataFrame) -> int:
     """Number of partitions of the plan's output (no job is run)."""
     return df.rdd.getNumPartitions()

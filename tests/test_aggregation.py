@@ -107,3 +107,10 @@ def test_duplicate_key_check(spark):
     joins.assert_unique(products, "product_id")
     with pytest.raises(ValueError, match="duplicate"):
         joins.assert_unique(products.unionByName(products.limit(1)), "product_id")
+
+
+def test_partition_report_is_sorted_and_complete(spark):
+    keyed = partitions.keyed(orders_frame(spark), 4, "product_id")
+    rows = partitions.partition_report(keyed, "product_id").collect()
+    assert [(r.partition_id, r.product_id) for r in rows] == sorted((r.partition_id, r.product_id) for r in rows)
+    assert sum(r.rows for r in rows) == 22 and len({r.product_id for r in rows}) == 4
