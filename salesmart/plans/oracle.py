@@ -302,6 +302,10 @@ UNION ALL SELECT 'by_day', COUNT(*) FROM (SELECT order_date FROM lines GROUP BY
 UNION ALL SELECT 'page_views', COUNT(*) FROM (SELECT CAST(ts AS DATE) FROM events GROUP BY 1)
 UNION ALL SELECT 'by_category', COUNT(*) FROM by_category
 UNION ALL SELECT 'by_hour', COUNT(*) FROM (SELECT hour(ordered_at) FROM lines GROUP BY 1)""",
+    "q_event_ingest": with_(ORDERS) + f"""
+SELECT order_id, CAST(product_id AS VARCHAR) AS product_id, quantity, unit_price,
+       strftime(ordered_at, {SECONDS}) AS ordered_at, amount, CAST(order_date AS VARCHAR) AS order_date
+FROM ords""",
     "q_refresh_counts": with_(ORDERS) + f"""
 SELECT (SELECT COUNT(*) FROM ords WHERE order_date < {SPLIT}) AS before_count,
        (SELECT COUNT(*) FROM ords) AS after_count""",

@@ -21,6 +21,7 @@ from salesmart.operators.versioned import VersionedTable
 from salesmart.plans import batch, dashboard, refresh
 from salesmart.session import DEFAULT_ZONE, work_dir
 from salesmart.sources import files, synth
+from salesmart.streaming import order_events
 from salesmart.sources import testdata as td
 
 SECONDS = "yyyy-MM-dd HH:mm:ss"
@@ -500,6 +501,27 @@ def q_order_items_decimal(spark, sf_dir):
     return as_text(stored, shipping_limit_date=SECONDS).withColumns(money)
 
 
+# --- streaming ingest -----------------------------------------------------------------
+
+
+@query
+def q_event_ingest(spark, sf_dir):
+    """K7 + streaming: order events of every order, ingested incrementally into a table.
+
+    The events are written as two file sets; two availableNow runs pick up one
+    set each (the second run sees only the new files).
+    """
+    base = f"{work_dir(spark)}/event_ingest/{uuid.uuid4().hex}"
+    orders = td.orders(spark, sf_dir)
+    split = F.lit(DEMO_SPLIT_DAY).cast("date")
+    table_path, checkpoint = f"{base}/silver", f"{base}/checkpoint"
+    name = f"order_events_{uuid.uuid4().hex[:8]}"
+    for i, part in enumerate([orders.filter(F.col("order_date") < split), orders.filter(F.col("order_date") >= split)]):
+        exports.write_events(exports.order_events(part), f"{base}/events/part{i}")
+        order_events.ingest(spark, f"{base}/events/*", table_path, checkpoint, name=name)
+    return _order_rows(VersionedTable(spark, table_path).read())
+
+
 # --- dashboard and refresh ---------------------------------------------------------
 
 
