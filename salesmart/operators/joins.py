@@ -34,3 +34,48 @@ def assert_unique(df: DataFrame, *keys: str) -> None:
     dups = duplicate_keys(df, *keys).limit(5).collect()
     if dups:
         raise ValueError(f"duplicate key {keys}: " + ", ".join(str(tuple(r)) for r in dups))
+
+
+def hot_keys(df: DataFrame, key: str, min_rows: int, max_keys: int = 100) -> list:
+    """Keys with at least ``min_rows`` rows (at most ``max_keys`` of them, collected).
+
+    One aggregate over the key column; partial aggregation keeps the shuffle at
+    one row per key and task.
+    """
+    rows = (
+        df.groupBy(key).count().filter(F.col("count") >= min_rows)
+        .orderBy(F.col("count").desc()).limit(max_keys).collect()
+    )
+    return [r[key] for r in rows]
+
+
+def salted_join(
+    left: DataFrame,
+    right: DataFrame,
+    key: str,
+    how: str = "inner",
+    buckets: int = 16,
+    keys: list | None = None,
+    min_rows: int = 1_000_000,
+) -> DataFrame:
+    """Equi-join that splits hot keys of ``left`` over ``buckets`` tasks.
+
+    Rows of ``left`` with a hot key get a salt from a hash of the whole row
+    (deterministic, so task retries see the same split); the matching ``right``
+    rows are replicated once per salt.  Other keys keep salt 0 and are not
+    replicated.  ``keys`` are the hot keys, or they are found with
+    :func:`hot_keys` (keys holding at least ``min_rows`` rows).  Only join
+    types that keep ``right`` rows once per match are allowed.
+    """
+    if how not in ("inner", "left", "left_outer", "left_semi", "left_anti"):
+        raise ValueError(f"salted join does not support {how!r}")
+    if keys is None:
+        keys = hot_keys(left, key, min_rows)
+    if not keys:
+        return left.join(right, on=key, how=how)
+    is_hot = F.col(key).isin(keys)
+    salt = F.when(is_hot, F.pmod(F.xxhash64(*[F.col(c) for c in left.columns]), F.lit(buckets))).otherwise(F.lit(0))
+    salted_left = left.withColumn("_salt", salt.cast("int"))
+    spread = F.when(is_hot, F.sequence(F.lit(0), F.lit(buckets - 1))).otherwise(F.array(F.lit(0)))
+    salted_right = right.withColumn("_salt", F.explode(spread))
+    return salted_left.join(salted_right, on=[key, "_salt"], how=how).drop("_salt")

@@ -114,3 +114,25 @@ def test_partition_report_is_sorted_and_complete(spark):
     rows = partitions.partition_report(keyed, "product_id").collect()
     assert [(r.partition_id, r.product_id) for r in rows] == sorted((r.partition_id, r.product_id) for r in rows)
     assert sum(r.rows for r in rows) == 22 and len({r.product_id for r in rows}) == 4
+
+
+def test_salted_join_equals_plain_join_on_a_hot_key(spark):
+    from salesmart.operators import joins
+
+    rows = [(i, "A" if i % 3 else "B", 1, 100, "2026-09-07T10:00:00+09:00") for i in range(300)]
+    rows += [(1000, "Z", 1, 100, "2026-09-07T10:00:00+09:00")]
+    from salesmart import schemas
+
+    orders = refine_orders(spark.createDataFrame(rows, schemas.RAW_ORDER))
+    products = products_frame(spark)
+    assert joins.hot_keys(orders, "product_id", min_rows=150) == ["A"]
+    plain = marts.enrich(orders, products)
+    salted = marts.enrich(orders, products, salt_buckets=8, hot_products=["A"])
+    assert salted.columns == plain.columns
+    assert plain.exceptAll(salted).count() == 0 and salted.exceptAll(plain).count() == 0
+    left = joins.salted_join(orders, products, "product_id", "left", buckets=4, min_rows=150)
+    assert left.count() == 301 and left.filter("product_id = 'Z'").first().name is None
+    import pytest
+
+    with pytest.raises(ValueError):
+        joins.salted_join(orders, products, "product_id", "full")
