@@ -59,8 +59,10 @@ class Commit:
     operation: str
     live_batches: tuple[int, ...]
     removed_files: tuple[str, ...] = ()
+    params: dict | None = None
 
 
+_RECORD_FILE = re.compile(r"_history/(\d{20})/[^/]+$")
 _BATCH_FILE = re.compile(r"(batch=(\d+)/[^/]+)$")
 
 
@@ -95,18 +97,35 @@ class VersionedTable:
                 return None
             raise
 
-    def latest(self, version: int | None = None) -> Commit | None:
-        """The newest commit (or ``version``); collects one row."""
+    def _records(self) -> dict[int, str]:
+        """Version -> record file, from a listing only (no record is read)."""
         hist = self._history_raw()
         if hist is None:
+            return {}
+        out = {}
+        for f in hist.inputFiles():
+            m = _RECORD_FILE.search(f)
+            if m:
+                out[int(m.group(1))] = f
+        return out
+
+    def latest(self, version: int | None = None) -> Commit | None:
+        """The newest commit (or ``version``).
+
+        Every record holds the whole live state, so only one record is read
+        however many versions exist; finding it is a directory listing.
+        """
+        records = self._records()
+        if not records:
             return None
-        if version is not None:
-            hist = hist.filter(F.col("version") == version)
-        rows = hist.orderBy(F.col("version").desc()).limit(1).collect()
-        if not rows:
+        v = max(records) if version is None else version
+        if v not in records:
             return None
-        r = rows[0]
-        return Commit(r.version, r.operation, tuple(r.live_batches or ()), tuple(r.removed_files or ()))
+        r = self.spark.read.schema(HISTORY_RECORD).json(records[v]).first()
+        return Commit(
+            r.version, r.operation, tuple(r.live_batches or ()), tuple(r.removed_files or ()),
+            dict(r.operationParameters or {}),
+        )
 
     def history(self) -> DataFrame:
         """V2 / V4: version, timestamp, operation, operationParameters and row metrics."""
@@ -176,7 +195,7 @@ class VersionedTable:
         self.spark.createDataFrame([record], HISTORY_RECORD).coalesce(1).write.mode("overwrite").json(
             f"{self.path}/_history/{version:020d}"
         )
-        return Commit(version, operation, tuple(live), tuple(removed_files))
+        return Commit(version, operation, tuple(live), tuple(removed_files), dict(params))
 
     def _write_batch(self, df: DataFrame, version: int) -> int:
         # No committed version references batch=<version> yet, so files left
