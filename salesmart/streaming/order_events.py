@@ -48,6 +48,20 @@ def ingest(
     """Append all new event files to the table and stop (availableNow)."""
     table = VersionedTable(spark, table_path)
     checkpoint = checkpoint or f"{work_dir(spark)}/streams/{name}"
+    query = (
+        order_event_stream(spark, events_dir)
+        .writeStream.queryName(name)
+        .foreachBatch(epoch_writer(table, name))
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    return query
+
+
+def epoch_writer(table: VersionedTable, name: str):
+    """foreachBatch function: append each epoch once, skipping replays."""
 
     def commit(batch: DataFrame, epoch_id: int) -> None:
         # A replayed epoch is the last one this stream committed; look there
@@ -61,13 +75,4 @@ def ingest(
             return
         table.append(batch, params={"stream": name, "epoch": str(epoch_id)})
 
-    query = (
-        order_event_stream(spark, events_dir)
-        .writeStream.queryName(name)
-        .foreachBatch(commit)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
-    return query
+    return commit
