@@ -19,13 +19,11 @@ import uuid
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from pyspark.sql import functions as F  # noqa: E402
-
 from salesmart.functions.refine import refine_orders  # noqa: E402
-from salesmart.operators import exports, marts  # noqa: E402
+from salesmart.operators import marts  # noqa: E402
 from salesmart.operators.versioned import VersionedTable  # noqa: E402
 from salesmart.plans import batch  # noqa: E402
-from salesmart.plans.queries import REGISTRY  # noqa: E402
+from salesmart.plans.queries import REGISTRY, write_raw_zone  # noqa: E402
 from salesmart.session import BENCHMARK_SCAN_CONF, build_session, work_dir  # noqa: E402
 from salesmart.sources import files, synth  # noqa: E402
 from salesmart.sources import testdata as td  # noqa: E402
@@ -76,12 +74,7 @@ def main():
         times[name] = timed(lambda: run_noop(REGISTRY[name](spark, sf_dir)))
 
     # Raw zone from the order lines (setup, not timed).
-    raw = f"{scratch}/batch/raw"
-    lines = td.raw_order_lines(spark, sf_dir).withColumn("product_id", F.col("product_id").cast("string"))
-    exports.write_csv(exports.orders_snapshot(lines), f"{raw}/orders.csv")
-    products = td.products(spark, sf_dir).withColumn("product_id", F.col("product_id").cast("string"))
-    exports.write_json_lines(products, f"{raw}/products.jsonl")
-    exports.copy_text(td.access_log_lines(spark, sf_dir), f"{raw}/access.log")
+    write_raw_zone(spark, sf_dir, f"{scratch}/batch")
     times["batch_full"] = timed(lambda: batch.run(spark, f"{scratch}/batch", generated_at="bench"))
 
     # One conditional update of the versioned orders table.

@@ -306,6 +306,18 @@ UNION ALL SELECT 'by_hour', COUNT(*) FROM (SELECT hour(ordered_at) FROM lines GR
 SELECT order_id, CAST(product_id AS VARCHAR) AS product_id, quantity, unit_price,
        strftime(ordered_at, {SECONDS}) AS ordered_at, amount, CAST(order_date AS VARCHAR) AS order_date
 FROM ords""",
+    "q_batch_products": with_(LINES, PRODUCTS) + """,
+bp AS (
+  SELECT l.product_id, p.name AS product_name, p.category, COUNT(*) AS order_count,
+         CAST(SUM(l.amount) AS BIGINT) AS revenue, CAST(SUM(l.quantity) AS BIGINT) AS sold_quantity,
+         CAST(SUM(l.amount) AS BIGINT) / COUNT(*) AS average_order_amount
+  FROM lines l JOIN products p ON l.product_id = p.product_id
+  GROUP BY l.product_id, p.name, p.category)
+SELECT CAST(p.product_id AS VARCHAR) AS product_id, p.name, p.category,
+       COALESCE(bp.product_name, p.name) AS product_name,
+       COALESCE(bp.order_count, 0) AS order_count, COALESCE(bp.revenue, 0) AS revenue,
+       COALESCE(bp.sold_quantity, 0) AS sold_quantity, bp.average_order_amount
+FROM products p LEFT JOIN bp ON p.product_id = bp.product_id""",
     "q_refresh_counts": with_(ORDERS) + f"""
 SELECT (SELECT COUNT(*) FROM ords WHERE order_date < {SPLIT}) AS before_count,
        (SELECT COUNT(*) FROM ords) AS after_count""",

@@ -545,6 +545,25 @@ def q_dashboard_doc(spark, sf_dir):
     return dashboard.section_sizes(order_count, sections)
 
 
+def write_raw_zone(spark: SparkSession, sf_dir: str, data_dir: str) -> None:
+    """Export the order lines, products and access log as the batch's raw zone."""
+    raw = f"{data_dir}/raw"
+    lines = td.raw_order_lines(spark, sf_dir).withColumn("product_id", F.col("product_id").cast("string"))
+    exports.write_csv(exports.orders_snapshot(lines), f"{raw}/orders.csv")
+    products = td.products(spark, sf_dir).withColumn("product_id", F.col("product_id").cast("string"))
+    exports.write_json_lines(products, f"{raw}/products.jsonl")
+    exports.copy_text(td.access_log_lines(spark, sf_dir), f"{raw}/access.log")
+
+
+@query
+def q_batch_products(spark, sf_dir):
+    """L1: the whole raw -> bronze -> silver -> marts batch; its product mart as written."""
+    data_dir = f"{work_dir(spark)}/batch/{uuid.uuid4().hex}"
+    write_raw_zone(spark, sf_dir, data_dir)
+    batch.run(spark, data_dir, generated_at="query")
+    return spark.read.parquet(f"{batch.Zones(data_dir).marts}/by_product")
+
+
 @query
 def q_refresh_counts(spark, sf_dir):
     """L2: silver holds the orders before the split day; refresh reloads all orders."""
