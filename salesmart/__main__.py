@@ -1,7 +1,7 @@
 """Command line: ``python -m salesmart <command> ...``.
 
 Commands:
-  batch     --data-dir D [--strict] [--unique-products]   raw -> bronze -> silver -> marts
+  batch     --data-dir D [--strict] [--unique-products] [--partition-by-day]
   generate  --data-dir D [--rows N]                      synthetic raw zone (parallel)
   ingest    --events E --table T [--checkpoint C]         order-event files -> table
 """
@@ -21,6 +21,7 @@ def main(argv=None):
     b.add_argument("--data-dir", required=True)
     b.add_argument("--strict", action="store_true")
     b.add_argument("--unique-products", action="store_true")
+    b.add_argument("--partition-by-day", action="store_true", help="partition silver by order_date")
     g = sub.add_parser("generate")
     g.add_argument("--data-dir", required=True)
     g.add_argument("--rows", type=int, default=1_000_000)
@@ -34,7 +35,13 @@ def main(argv=None):
     if args.command == "batch":
         from salesmart.plans import batch
 
-        doc = batch.run(spark, args.data_dir, strict=args.strict, unique_products=args.unique_products)
+        doc = batch.run(
+            spark,
+            args.data_dir,
+            strict=args.strict,
+            unique_products=args.unique_products,
+            partition_by=("order_date",) if args.partition_by_day else (),
+        )
         print(json.dumps({"order_count": doc["order_count"], "pipeline_seconds": doc["pipeline_seconds"]}))
     elif args.command == "generate":
         from salesmart.sources import synth

@@ -23,6 +23,7 @@ fallback with the same user-level operations.
 from __future__ import annotations
 
 import datetime as _dt
+import json
 import re
 from dataclasses import dataclass
 
@@ -45,6 +46,7 @@ HISTORY_RECORD = StructType(
         StructField("operationParameters", MapType(StringType(), StringType())),
         StructField("live_batches", ArrayType(LongType())),
         StructField("removed_files", ArrayType(StringType())),
+        StructField("schema", StringType()),
         StructField("num_output_rows", LongType()),
         StructField("num_updated_rows", LongType()),
         StructField("num_copied_rows", LongType()),
@@ -60,14 +62,15 @@ class Commit:
     live_batches: tuple[int, ...]
     removed_files: tuple[str, ...] = ()
     params: dict | None = None
+    schema: str | None = None
 
 
 _RECORD_FILE = re.compile(r"_history/(\d{20})/[^/]+$")
-_BATCH_FILE = re.compile(r"(batch=(\d+)/[^/]+)$")
+_BATCH_FILE = re.compile(r"(batch=\d+/.+)$")
 
 
 def _relative(file_path: str) -> str:
-    """``.../batch=<n>/<part file>`` -> ``batch=<n>/<part file>`` (scheme-independent)."""
+    """``.../batch=<n>/[<col>=<v>/]<part>`` -> ``batch=<n>/...`` (scheme-independent)."""
     m = _BATCH_FILE.search(file_path)
     if not m:
         raise ValueError(f"not a table data file: {file_path}")
@@ -83,9 +86,21 @@ def _expr(value) -> Column:
 
 
 class VersionedTable:
-    def __init__(self, spark: SparkSession, path: str):
+    """A versioned table at ``path``.
+
+    ``partition_by`` lays each batch out in ``<col>=<value>`` folders, so
+    filters on those columns prune whole folders; ``cluster_by`` sorts rows
+    within each file so parquet min/max statistics let point predicates skip
+    row groups.  With ``partition_by`` the rows are rebalanced on those columns
+    before writing (AQE splits large values and merges small ones), which keeps
+    file counts and sizes even.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, partition_by=(), cluster_by=()):
         self.spark = spark
         self.path = path.rstrip("/")
+        self.partition_by = tuple(partition_by)
+        self.cluster_by = tuple(cluster_by)
 
     # -- metadata -----------------------------------------------------------------
 
@@ -124,7 +139,7 @@ class VersionedTable:
         r = self.spark.read.schema(HISTORY_RECORD).json(records[v]).first()
         return Commit(
             r.version, r.operation, tuple(r.live_batches or ()), tuple(r.removed_files or ()),
-            dict(r.operationParameters or {}),
+            dict(r.operationParameters or {}), r.schema,
         )
 
     def history(self) -> DataFrame:
@@ -161,20 +176,34 @@ class VersionedTable:
                     paths.append(f)
         return paths
 
-    def _load(self, paths: list[str]) -> DataFrame:
-        return self.spark.read.option("basePath", self.path).parquet(*paths)
+    def _load(self, paths: list[str], schema: str | None, with_file: bool = False) -> DataFrame:
+        """Rows of the given batch folders / files in the stored column order.
+
+        The stored schema fixes the types of partition columns too (no type
+        inference from folder names).  ``with_file`` adds ``_file``, the data
+        file of each row.
+        """
+        reader = self.spark.read.option("basePath", self.path)
+        if schema:
+            stored = StructType.fromJson(json.loads(schema))
+            reader = reader.schema(StructType(stored.fields + [StructField("batch", LongType())]))
+        df = reader.parquet(*paths)
+        cols = [F.col(c) for c in (stored.fieldNames() if schema else [c for c in df.columns if c != "batch"])]
+        if with_file:
+            cols.append(F.col("_metadata.file_path").alias("_file"))
+        return df.select(*cols)
 
     def read(self, version: int | None = None) -> DataFrame:
         """Rows of the latest version (or of ``version``)."""
         commit = self.latest(version)
         if commit is None:
             raise ValueError(f"no table at {self.path}" + ("" if version is None else f" version {version}"))
-        return self._load(self._paths(commit)).drop("batch")
+        return self._load(self._paths(commit), commit.schema)
 
     # -- writes -------------------------------------------------------------------
 
     def _commit(self, version, operation, params, live, removed_files=(), output=None, updated=None, copied=None,
-                removed=0):
+                removed=0, schema=None):
         record = (
             version,
             _dt.datetime.now(_dt.timezone.utc).isoformat(timespec="milliseconds"),
@@ -182,6 +211,7 @@ class VersionedTable:
             params,
             list(live),
             list(removed_files),
+            schema,
             output,
             updated,
             copied,
@@ -195,13 +225,22 @@ class VersionedTable:
         self.spark.createDataFrame([record], HISTORY_RECORD).coalesce(1).write.mode("overwrite").json(
             f"{self.path}/_history/{version:020d}"
         )
-        return Commit(version, operation, tuple(live), tuple(removed_files), dict(params))
+        return Commit(version, operation, tuple(live), tuple(removed_files), dict(params), schema)
 
     def _write_batch(self, df: DataFrame, version: int) -> int:
         # No committed version references batch=<version> yet, so files left
         # by a failed attempt are orphans and may be replaced.
         target = f"{self.path}/batch={version}"
-        df.write.mode("overwrite").parquet(target)
+        out = df
+        if self.partition_by:
+            out = out.hint("rebalance", *self.partition_by)
+        sort = list(dict.fromkeys(self.partition_by + self.cluster_by))
+        if sort:
+            out = out.sortWithinPartitions(*sort)
+        writer = out.write.mode("overwrite")
+        if self.partition_by:
+            writer = writer.partitionBy(*self.partition_by)
+        writer.parquet(target)
         return self.spark.read.parquet(target).count()
 
     def overwrite(self, df: DataFrame, params: dict[str, str] | None = None) -> Commit:
@@ -209,9 +248,9 @@ class VersionedTable:
         prev = self.latest()
         version = 0 if prev is None else prev.version + 1
         rows = self._write_batch(df, version)
-        removed = 0 if prev is None else len(self._load(self._paths(prev)).inputFiles())
+        removed = 0 if prev is None else len(self._load(self._paths(prev), prev.schema).inputFiles())
         return self._commit(version, "WRITE", {"mode": "Overwrite", **(params or {})}, [version], output=rows,
-                            removed=removed)
+                            removed=removed, schema=df.schema.json())
 
     def append(self, df: DataFrame, params: dict[str, str] | None = None) -> Commit:
         """K3: blind append; existing batches stay live."""
@@ -220,7 +259,9 @@ class VersionedTable:
         rows = self._write_batch(df, version)
         live = (prev.live_batches if prev else ()) + (version,)
         removed_files = prev.removed_files if prev else ()
-        return self._commit(version, "WRITE", {"mode": "Append", **(params or {})}, live, removed_files, output=rows)
+        schema = prev.schema if prev and prev.schema else df.schema.json()
+        return self._commit(version, "WRITE", {"mode": "Append", **(params or {})}, live, removed_files, output=rows,
+                            schema=schema)
 
     def update(self, assignments: dict[str, str | Column], where: str | Column) -> Commit:
         """V1: ``SET col = expr, ... WHERE cond``, copy-on-write of the matching files.
@@ -233,23 +274,19 @@ class VersionedTable:
             raise ValueError(f"no table at {self.path}")
         cond = _expr(where)
         where_text = where if isinstance(where, str) else str(where)
-        table = self._load(self._paths(prev)).drop("batch")
-        # Scan phase: the predicate is pushed to the parquet reader and the
-        # result is one row per data file that holds a match (file names only).
-        hits = (
-            table.filter(cond)
-            .groupBy(F.col("_metadata.file_path").alias("file"))
-            .count()
-            .collect()
-        )
+        table = self._load(self._paths(prev), prev.schema, with_file=True)
+        # Scan phase: the predicate is pushed to the parquet reader (and prunes
+        # partition folders); the result is one row per data file that holds a
+        # match (file names only).
+        hits = table.filter(cond).groupBy(F.col("_file").alias("file")).count().collect()
         version = prev.version + 1
         if not hits:
             return self._commit(
                 version, "UPDATE", {"predicate": where_text}, prev.live_batches, prev.removed_files,
-                updated=0, copied=0,
+                updated=0, copied=0, schema=prev.schema,
             )
         touched = sorted(r["file"] for r in hits)
-        source = self._load(touched).drop("batch")
+        source = self._load(touched, prev.schema)
         types = {f.name: f.dataType for f in source.schema.fields}
         rewritten = source.select(
             *[
@@ -272,4 +309,5 @@ class VersionedTable:
             updated=updated,
             copied=rows - updated,
             removed=len(touched),
+            schema=prev.schema,
         )

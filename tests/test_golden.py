@@ -49,3 +49,16 @@ def test_document_references_large_marts(spark, scratch):
 def test_empty_document_has_no_hour_section():
     doc = dashboard.empty_document()
     assert doc["order_count"] == 0 and "by_hour" not in doc and "pipeline_seconds" not in doc
+
+
+def test_day_partitioned_silver_gives_the_same_document(spark, scratch):
+    from salesmart.operators.versioned import VersionedTable
+
+    data_dir = write_raw(scratch)
+    doc = batch.run(spark, data_dir, generated_at="x", partition_by=("order_date",))
+    assert doc["order_count"] == 22
+    assert [(r["order_date"], r["revenue"]) for r in doc["by_day"]] == [
+        ("2026-09-07", 1900), ("2026-09-08", 4100), ("2026-09-10", 1900), ("2026-09-11", 800),
+    ]
+    files = VersionedTable(spark, batch.Zones(data_dir).silver).read().inputFiles()
+    assert all("order_date=2026-09-" in f for f in files)

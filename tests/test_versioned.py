@@ -106,3 +106,22 @@ def test_rerun_after_a_failed_write_replaces_orphan_files(spark, scratch):
     table.append(orders.filter("order_id BETWEEN 7 AND 12"))
     assert table.latest().version == 1
     assert sorted(r.order_id for r in table.read().collect()) == list(range(1, 13))
+
+
+def test_partitioned_table_prunes_days_and_updates_in_place(spark, scratch):
+    from salesmart.operators.partitions import explain_text
+
+    orders = orders_frame(spark)
+    table = VersionedTable(spark, f"{scratch}/orders", partition_by=("order_date",), cluster_by=("order_id",))
+    table.overwrite(orders.filter("order_id <= 12"))
+    table.append(orders.filter("order_id > 12"))
+    cur = table.read()
+    assert cur.columns == orders.columns and cur.schema == orders.schema
+    day = cur.filter(F.col("order_date") == F.lit("2026-09-10").cast("date"))
+    assert "PartitionFilters: [isnotnull(order_date" in explain_text(day)
+    assert sorted(r.order_id for r in day.collect()) == [18, 19, 20]
+    table.update({"quantity": "2", "amount": "unit_price * 2"}, "order_id = 19")
+    assert revenue(table.read())["C"] == 200 + 300
+    c = table.latest()
+    assert len(c.removed_files) == 1 and "order_date=2026-09-10" in c.removed_files[0]
+    assert table.read().count() == 22
