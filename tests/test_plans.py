@@ -76,3 +76,13 @@ def test_count_and_sum_run_partial_shuffle_final(spark):
     assert "partial_count(1)" in text and "partial_sum" in text
     assert "hashpartitioning(product_id" in text
     assert "Functions [2]: [count(1), sum(amount" in text
+
+
+def test_day_literal_becomes_a_pushed_timestamp_range(spark):
+    p = plan(REGISTRY["q_orders_on_day"](spark, SF))
+    assert "GreaterThanOrEqual(o_orderdate,1998-10-03T00:00)" in p and "LessThan(o_orderdate,1998-10-04T00:00)" in p
+
+
+def test_inner_join_adds_null_key_filter(spark):
+    p = plan(REGISTRY["q_enriched_orders"](spark, SF))
+    assert "IsNotNull(l_partkey)" in p and "IsNotNull(p_partkey)" in p

@@ -125,3 +125,13 @@ def test_partitioned_table_prunes_days_and_updates_in_place(spark, scratch):
     c = table.latest()
     assert len(c.removed_files) == 1 and "order_date=2026-09-10" in c.removed_files[0]
     assert table.read().count() == 22
+
+
+def test_append_in_two_parts_equals_one_write(spark, scratch):
+    orders = orders_frame(spark)
+    one = VersionedTable(spark, f"{scratch}/one")
+    one.overwrite(orders)
+    two = VersionedTable(spark, f"{scratch}/two")
+    two.overwrite(orders.filter("order_id % 2 = 0"))
+    two.append(orders.filter("order_id % 2 = 1"))
+    assert sorted(one.read().collect()) == sorted(two.read().collect())
