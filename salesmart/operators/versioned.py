@@ -311,3 +311,64 @@ class VersionedTable:
             removed=len(touched),
             schema=prev.schema,
         )
+
+
+class DeltaVersionedTable:
+    """The same operations on a Delta Lake table, used when Delta is installed.
+
+    Delta records the history, file statistics and copy-on-write itself; this
+    class only maps the calls.  ``history()`` keeps the columns the callers use.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, partition_by=(), cluster_by=()):
+        from delta.tables import DeltaTable  # noqa: F401 - fails when Delta is absent
+
+        self.spark = spark
+        self.path = path.rstrip("/")
+        self.partition_by = tuple(partition_by)
+
+    def _write(self, df: DataFrame, mode: str) -> None:
+        writer = df.write.format("delta").mode(mode)
+        if self.partition_by:
+            writer = writer.partitionBy(*self.partition_by)
+        writer.save(self.path)
+
+    def overwrite(self, df: DataFrame, params=None) -> None:
+        self._write(df, "overwrite")
+
+    def append(self, df: DataFrame, params=None) -> None:
+        self._write(df, "append")
+
+    def update(self, assignments: dict, where) -> None:
+        from delta.tables import DeltaTable
+
+        DeltaTable.forPath(self.spark, self.path).update(where, {k: _expr(v) for k, v in assignments.items()})
+
+    def read(self, version: int | None = None) -> DataFrame:
+        reader = self.spark.read.format("delta")
+        if version is not None:
+            reader = reader.option("versionAsOf", version)
+        return reader.load(self.path)
+
+    def history(self) -> DataFrame:
+        from delta.tables import DeltaTable
+
+        return DeltaTable.forPath(self.spark, self.path).history().select(
+            "version", "timestamp", "operation", "operationParameters", "operationMetrics"
+        )
+
+
+def delta_available(spark: SparkSession) -> bool:
+    """Delta's Python module is importable and its SQL extension is configured."""
+    try:
+        import delta  # noqa: F401
+    except ImportError:
+        return False
+    return "delta" in (spark.conf.get("spark.sql.extensions", "") or "").lower()
+
+
+def open_table(spark: SparkSession, path: str, partition_by=(), cluster_by=(), prefer_delta: bool = True):
+    """A Delta-backed table when Delta is set up, else :class:`VersionedTable`."""
+    if prefer_delta and delta_available(spark):
+        return DeltaVersionedTable(spark, path, partition_by, cluster_by)
+    return VersionedTable(spark, path, partition_by, cluster_by)

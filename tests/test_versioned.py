@@ -135,3 +135,10 @@ def test_append_in_two_parts_equals_one_write(spark, scratch):
     two.overwrite(orders.filter("order_id % 2 = 0"))
     two.append(orders.filter("order_id % 2 = 1"))
     assert sorted(one.read().collect()) == sorted(two.read().collect())
+
+
+def test_open_table_falls_back_without_delta(spark, scratch):
+    from salesmart.operators.versioned import delta_available, open_table
+
+    assert not delta_available(spark)
+    assert isinstance(open_table(spark, f"{scratch}/t"), VersionedTable)
