@@ -344,6 +344,17 @@ class DeltaVersionedTable:
 
         DeltaTable.forPath(self.spark, self.path).update(where, {k: _expr(v) for k, v in assignments.items()})
 
+    def latest(self, version: int | None = None) -> Commit | None:
+        from delta.tables import DeltaTable
+
+        if not DeltaTable.isDeltaTable(self.spark, self.path):
+            return None
+        hist = DeltaTable.forPath(self.spark, self.path).history()
+        if version is not None:
+            hist = hist.filter(F.col("version") == version)
+        r = hist.orderBy(F.col("version").desc()).limit(1).collect()
+        return Commit(r[0].version, r[0].operation, (), (), dict(r[0].operationParameters or {})) if r else None
+
     def read(self, version: int | None = None) -> DataFrame:
         reader = self.spark.read.format("delta")
         if version is not None:

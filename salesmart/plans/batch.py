@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from salesmart.functions.logs import parse_requests
 from salesmart.functions.refine import refine_orders
 from salesmart.operators import joins, marts
-from salesmart.operators.versioned import VersionedTable
+from salesmart.operators.versioned import VersionedTable, open_table
 from salesmart.plans import dashboard
 from salesmart.sources import files
 
@@ -52,7 +52,7 @@ def load_silver(
     raw = files.read_orders_csv(spark, f"{zones.raw}/orders.csv")
     raw.write.mode("overwrite").parquet(zones.bronze)
     bronze = files.read_bronze(spark, zones.bronze)
-    silver = VersionedTable(spark, zones.silver, partition_by=partition_by, cluster_by=SILVER_CLUSTER_BY)
+    silver = open_table(spark, zones.silver, partition_by=partition_by, cluster_by=SILVER_CLUSTER_BY)
     silver.overwrite(refine_orders(bronze, strict=strict))
     return silver
 

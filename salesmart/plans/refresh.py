@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from salesmart.operators import exports
-from salesmart.operators.versioned import VersionedTable
+from salesmart.operators.versioned import open_table
 from salesmart.plans.batch import Zones, load_silver
 
 
 def current_count(spark: SparkSession, zones: Zones) -> int:
-    table = VersionedTable(spark, zones.silver)
+    table = open_table(spark, zones.silver)
     return 0 if table.latest() is None else table.read().count()
 
 
