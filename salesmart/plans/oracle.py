@@ -85,7 +85,7 @@ dash AS (
          COALESCE(bp.sold_quantity, 0) AS sold_quantity, bp.average_order_amount
   FROM products p LEFT JOIN bp ON p.product_id = bp.product_id)"""
 
-SAMPLE = "(SELECT * FROM ords WHERE order_id <= 12)"
+SAMPLE = "(SELECT * FROM ords WHERE order_id <= (SELECT MAX(order_id) FROM ords) // 2)"
 
 SQL: dict[str, str] = {
     "q_refined_orders": with_(LINES) + f"""
@@ -158,7 +158,7 @@ FROM {SAMPLE}""",
     "q_orders_on_day": with_(ORDERS) + f"""
 SELECT order_id, product_id, quantity, unit_price, strftime(ordered_at, {SECONDS}) AS ordered_at,
        amount, CAST(order_date AS VARCHAR) AS order_date
-FROM ords WHERE order_date = DATE '1998-10-03'""",
+FROM ords WHERE order_date = (SELECT MIN(order_date) FROM ords)""",
     "q_point_lookup": with_(ORDERS) + "SELECT order_id, quantity, amount FROM ords WHERE order_id = 1",
     "q_sample_sales_by_day": with_(ORDERS) + f"""
 SELECT CAST(order_date AS VARCHAR) AS order_date, CAST(SUM(amount) AS BIGINT) AS revenue

@@ -21,16 +21,17 @@ from salesmart.operators.versioned import VersionedTable
 from salesmart.plans import batch, dashboard, refresh
 from salesmart.session import DEFAULT_ZONE, work_dir
 from salesmart.sources import files, synth
-from salesmart.streaming import order_events
 from salesmart.sources import testdata as td
+from salesmart.streaming import order_events
 
 SECONDS = "yyyy-MM-dd HH:mm:ss"
 DAY = "yyyy-MM-dd"
 
-# Fixed parameters of the reference's demo queries.
-SAMPLE_MAX_ORDER_ID = 12
+# Parameters of the demo queries.  The reference looks up order 1 and keeps
+# the first 12 of its 22 orders for its sample; here the sample is the first
+# half of the id range, so it grows with the table.  The category stands in
+# for the reference's food category.
 POINT_ORDER_ID = 1
-DEMO_DAY = "1998-10-03"
 DEMO_CATEGORY = "ECONOMY"
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -218,17 +219,25 @@ def q_menu_kind(spark, sf_dir):
 # --- filters and samples --------------------------------------------------------
 
 
+def sample_orders(orders: DataFrame) -> DataFrame:
+    """Orders whose id is in the first half of the id range (a range filter
+    that reaches the parquet scan); the bound is one scalar aggregate."""
+    top = orders.agg(F.max("order_id")).first()[0]
+    return orders.filter(F.col("order_id") <= (top or 0) // 2)
+
+
 @query
 def q_sample_orders(spark, sf_dir):
-    """The first orders by id (the reference samples ids up to 12)."""
-    sample = td.orders(spark, sf_dir).filter(F.col("order_id") <= SAMPLE_MAX_ORDER_ID)
-    return as_text(sample, ordered_at=SECONDS, order_date=DAY)
+    """The sampled orders."""
+    return as_text(sample_orders(td.orders(spark, sf_dir)), ordered_at=SECONDS, order_date=DAY)
 
 
 @query
 def q_orders_on_day(spark, sf_dir):
-    """Orders of one date literal."""
-    day = td.orders(spark, sf_dir).filter(F.col("order_date") == F.lit(DEMO_DAY).cast("date"))
+    """Orders of one date literal (the first order date, like the demo's first day)."""
+    orders = td.orders(spark, sf_dir)
+    first_day = orders.agg(F.min("order_date")).first()[0]
+    day = orders.filter(F.col("order_date") == F.lit(str(first_day)).cast("date"))
     return as_text(day, ordered_at=SECONDS, order_date=DAY)
 
 
@@ -245,7 +254,7 @@ def q_point_lookup(spark, sf_dir):
 @query
 def q_sample_sales_by_day(spark, sf_dir):
     """Daily revenue of the sampled orders."""
-    sample = td.orders(spark, sf_dir).filter(F.col("order_id") <= SAMPLE_MAX_ORDER_ID)
+    sample = sample_orders(td.orders(spark, sf_dir))
     return (
         sample.groupBy("order_date")
         .agg(F.sum("amount").alias("revenue"))
@@ -256,7 +265,7 @@ def q_sample_sales_by_day(spark, sf_dir):
 @query
 def q_sample_sales_by_product(spark, sf_dir):
     """Sampled orders joined to their product, revenue per (product_id, name)."""
-    sample = td.orders(spark, sf_dir).filter(F.col("order_id") <= SAMPLE_MAX_ORDER_ID)
+    sample = sample_orders(td.orders(spark, sf_dir))
     enriched = marts.enrich(sample, td.customers_as_products(spark, sf_dir))
     return (
         enriched.groupBy("product_id", "name")
