@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salesmart.functions.logs import parse_requests
-from salesmart.functions.refine import refine_orders
+from salesmart.functions.refine import refine_orders, rejected_instants
 from salesmart.operators import joins, marts
 from salesmart.operators.versioned import VersionedTable, open_table
 from salesmart.plans import dashboard
@@ -111,6 +111,12 @@ def run(
         generated_at = _dt.datetime.now(_dt.timezone.utc).astimezone().isoformat(timespec="seconds")
     order_count = totals.filter(F.col("gid") == marts.BY_DAY_ID).agg(F.sum("order_count")).first()[0] or 0
     doc = dashboard.document(spark, zones.marts, order_count, generated_at, row_limit)
+    # Tolerant parsing turns bad input into NULL; report how much was turned.
+    # Orders: one pass over the bronze ordered_at column.  Log lines: the
+    # NULL-day group of the page-view mart already counts them.
+    doc["rejected_orders"] = rejected_instants(files.read_bronze(spark, zones.bronze)).count()
+    null_day = spark.read.parquet(f"{zones.marts}/page_views").filter(F.col("visit_date").isNull())
+    doc["rejected_log_lines"] = null_day.agg(F.coalesce(F.sum("page_views"), F.lit(0))).first()[0]
     doc["pipeline_seconds"] = round(perf_counter() - started, 3)
     dashboard.write_document(spark, doc, zones.document)
     return doc

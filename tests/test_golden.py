@@ -34,6 +34,7 @@ def test_batch_document_matches_golden(spark, scratch):
         (10, 14, 5100, 58.62), (17, 8, 3600, 41.38),
     ]
     assert doc["pipeline_seconds"] > 0
+    assert doc["rejected_orders"] == 0 and doc["rejected_log_lines"] == 0
 
     again = dashboard.read_document(spark, f"{data_dir}/marts/dashboard.json")
     assert again["order_count"] == 22 and again["by_hour"] == doc["by_hour"]
@@ -62,3 +63,14 @@ def test_day_partitioned_silver_gives_the_same_document(spark, scratch):
     ]
     files = VersionedTable(spark, batch.Zones(data_dir).silver).read().inputFiles()
     assert all("order_date=2026-09-" in f for f in files)
+
+
+def test_tolerant_batch_reports_rejected_input(spark, scratch):
+    data_dir = write_raw(scratch)
+    with open(f"{data_dir}/raw/orders.csv", "a", encoding="utf-8") as f:
+        f.write("23,A,1,100,yesterday\n")
+    with open(f"{data_dir}/raw/access.log", "a", encoding="utf-8") as f:
+        f.write("not a log line\n")
+    doc = batch.run(spark, data_dir, generated_at="x")
+    assert doc["order_count"] == 23 and doc["rejected_orders"] == 1 and doc["rejected_log_lines"] == 1
+    assert {r["order_date"] for r in doc["by_day"]} >= {None}
