@@ -84,9 +84,12 @@ MAX_QUANTITY = 2147483647
 
 
 def parse_quantity(text: str) -> Column:
-    """Quantity text -> int, NULL when not an integer (blanks around, optional sign).
+    """Quantity text -> int, or NULL when it is not an integer literal.
 
-    Values that do not fit an int become NULL, so they are rejected too.
+    Accepted like the order form's integer parsing: surrounding whitespace, an
+    optional sign, ASCII digits with single underscores between them
+    (``1_000``).  Values that do not fit an int become NULL, so they are
+    rejected too.
     """
-    t = F.trim(F.col(text))
-    return F.when(t.rlike(r"^[+-]?[0-9]+$"), t.try_cast("int"))
+    t = F.regexp_replace(F.col(text), r"^\s+|\s+$", "")
+    return F.when(t.rlike(r"^[+-]?[0-9]+(_[0-9]+)*$"), F.regexp_replace(t, "_", "").try_cast("int"))

@@ -199,8 +199,9 @@ menu AS (
   FROM supplier),
 checked AS (
   SELECT r.request_id, r.product_id, r.quantity, m.unit_price, m.product_id IS NOT NULL AS known,
-         CASE WHEN regexp_full_match(trim(r.quantity), '[+-]?[0-9]+')
-              THEN TRY_CAST(trim(r.quantity) AS INTEGER) END AS quantity_value
+         CASE WHEN regexp_full_match(regexp_replace(r.quantity, '^\s+|\s+$', '', 'g'), '[+-]?[0-9]+(_[0-9]+)*')
+              THEN TRY_CAST(replace(regexp_replace(r.quantity, '^\s+|\s+$', '', 'g'), '_', '') AS INTEGER)
+              END AS quantity_value
   FROM reqs r LEFT JOIN menu m ON r.product_id = m.product_id),
 validated AS (
   SELECT *, reason IS NULL AS accepted FROM (

@@ -35,10 +35,11 @@ def test_menu_kind_first_match_wins(spark):
 
 
 def test_quantity_rule(spark):
-    texts = ["1", " 7 ", "+5", "-1", "0", "2147483647", "2147483648", "1.5", "1_000", "abc", "", None]
+    texts = ["1", " 7 ", "\t8\n", "+5", "-1", "0", "2147483647", "2147483648", "1.5", "1_000", "1__0", "_1",
+             "abc", "", None]
     df = spark.createDataFrame([(t,) for t in texts], "q string")
     got = [r.v for r in df.select(labels.parse_quantity("q").alias("v")).collect()]
-    assert got == [1, 7, 5, -1, 0, 2147483647, None, None, None, None, None, None]
+    assert got == [1, 7, 8, 5, -1, 0, 2147483647, None, None, 1000, None, None, None, None, None]
 
 
 def test_search_text_and_term(spark):
