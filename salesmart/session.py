@@ -27,6 +27,8 @@ BASE_CONF = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    # Remove reliable-checkpoint files once their DataFrame is garbage collected.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
