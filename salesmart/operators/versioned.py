@@ -101,6 +101,7 @@ class VersionedTable:
         self.path = path.rstrip("/")
         self.partition_by = tuple(partition_by)
         self.cluster_by = tuple(cluster_by)
+        self._known: Commit | None = None  # last commit this object wrote or read
 
     # -- metadata -----------------------------------------------------------------
 
@@ -136,11 +137,16 @@ class VersionedTable:
         v = max(records) if version is None else version
         if v not in records:
             return None
+        if self._known is not None and self._known.version == v:
+            return self._known  # records are immutable: no need to read it again
         r = self.spark.read.schema(HISTORY_RECORD).json(records[v]).first()
-        return Commit(
+        commit = Commit(
             r.version, r.operation, tuple(r.live_batches or ()), tuple(r.removed_files or ()),
             dict(r.operationParameters or {}), r.schema,
         )
+        if version is None:
+            self._known = commit
+        return commit
 
     def history(self) -> DataFrame:
         """V2 / V4: version, timestamp, operation, operationParameters and row metrics."""
@@ -225,7 +231,8 @@ class VersionedTable:
         self.spark.createDataFrame([record], HISTORY_RECORD).coalesce(1).write.mode("overwrite").json(
             f"{self.path}/_history/{version:020d}"
         )
-        return Commit(version, operation, tuple(live), tuple(removed_files), dict(params), schema)
+        self._known = Commit(version, operation, tuple(live), tuple(removed_files), dict(params), schema)
+        return self._known
 
     def _write_batch(self, df: DataFrame, version: int) -> int:
         # No committed version references batch=<version> yet, so files left
