@@ -34,14 +34,6 @@ def section_sizes(order_count: DataFrame, marts: dict[str, DataFrame]) -> DataFr
     return reduce(DataFrame.unionByName, parts)
 
 
-def _plain(value):
-    if hasattr(value, "isoformat"):
-        return value.isoformat()
-    if hasattr(value, "as_tuple"):  # Decimal
-        return float(value)
-    return value
-
-
 def _sort_key(spec: str):
     return F.col(spec[1:]).desc() if spec.startswith("-") else F.col(spec).asc()
 
@@ -53,17 +45,29 @@ def document(
     generated_at: str,
     row_limit: int = DEFAULT_ROW_LIMIT,
 ) -> dict:
-    """Assemble the document from the mart tables written under ``marts_dir``."""
-    doc: dict = {"generated_at": generated_at, "order_count": order_count}
+    """Assemble the document from the mart tables written under ``marts_dir``.
+
+    One job fetches at most ``row_limit + 1`` sorted rows of every section (a
+    top-k per section, as JSON text); that both checks each size and returns
+    the rows of the sections small enough to inline.  Each top-k yields one
+    ordered partition and the union keeps section order, so the collected
+    rows come back in document order.
+    """
+    parts = []
     for name, order in SECTION_ORDER.items():
         table = spark.read.parquet(f"{marts_dir}/{name}")
-        # Fetch at most row_limit + 1 rows: that both checks the size and
-        # returns the rows when the section is small enough to inline.
-        head = table.orderBy(*[_sort_key(c) for c in order]).limit(row_limit + 1).collect()
-        if len(head) <= row_limit:
-            doc[name] = [{k: _plain(v) for k, v in r.asDict().items()} for r in head]
+        head = table.orderBy(*[_sort_key(c) for c in order]).limit(row_limit + 1)
+        row = F.to_json(F.struct(*table.columns), {"ignoreNullFields": "false"})
+        parts.append(head.select(F.lit(name).alias("section"), row.alias("row")))
+    fetched: dict[str, list] = {name: [] for name in SECTION_ORDER}
+    for r in reduce(DataFrame.unionByName, parts).collect():
+        fetched[r.section].append(json.loads(r.row))
+    doc: dict = {"generated_at": generated_at, "order_count": order_count}
+    for name, rows in fetched.items():
+        if len(rows) <= row_limit:
+            doc[name] = rows
         else:
-            doc[name] = {"path": f"{marts_dir}/{name}", "rows": table.count()}
+            doc[name] = {"path": f"{marts_dir}/{name}", "rows": spark.read.parquet(f"{marts_dir}/{name}").count()}
     return doc
 
 
