@@ -23,6 +23,6 @@ def refresh(spark: SparkSession, data_dir: str, source_orders: DataFrame) -> Dat
     """
     zones = Zones(data_dir)
     before = current_count(spark, zones)
-    exports.write_csv(exports.orders_snapshot(source_orders), f"{zones.raw}/orders.csv")
+    exports.write_csv(exports.orders_snapshot(source_orders), f"{zones.raw}/orders.csv", order_by="order_id")
     after = load_silver(spark, zones).read().count()
     return spark.createDataFrame([(before, after)], "before_count long, after_count long")

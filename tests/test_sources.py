@@ -68,3 +68,14 @@ def test_products_and_log_readers(spark, scratch):
     products = files.read_products_jsonl(spark, f"{data_dir}/raw/products.jsonl")
     assert products.columns == ["product_id", "name", "category"] and products.count() == 4
     assert files.read_access_log(spark, f"{data_dir}/raw/access.log").count() == 68
+
+
+def test_ordered_export_writes_rows_in_id_order(spark, scratch):
+    orders = orders_frame(spark).repartition(4)
+    exports.write_csv(exports.orders_snapshot(orders), f"{scratch}/o.csv", order_by="order_id")
+    parts = sorted(f for f in os.listdir(f"{scratch}/o.csv") if f.startswith("part-"))
+    ids = []
+    for p in parts:
+        with open(f"{scratch}/o.csv/{p}", encoding="utf-8") as f:
+            ids += [int(line.split(",")[0]) for line in f.read().splitlines()[1:]]
+    assert ids == list(range(1, 23))
