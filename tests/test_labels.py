@@ -50,3 +50,32 @@ def test_search_text_and_term(spark):
     assert labels.search_term("  #0012 ") == "0012" and labels.search_term("##1") == "#1"
     assert df.filter(labels.search_text("order_id", "name").contains("latte")).count() == 1
     assert df.select(F.lit(1)).count() == 2
+
+
+def test_quantity_rule_agrees_with_python_int(spark):
+    """Property check: for text over digits, signs, underscores and blanks the
+    rule accepts exactly what Python's int() accepts (within the int range)."""
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    samples = []
+
+    @settings(max_examples=300, database=None, derandomize=True)
+    @given(st.text(alphabet=" \t\n+-_0123456789x", max_size=12))
+    def collect(text):
+        samples.append(text)
+
+    collect()
+    samples += ["1_000", "+0", "-0", "0_0", "2147483647", "2147483648", " 12 ", "1__2"]
+
+    def expected(text):
+        try:
+            v = int(text)
+        except ValueError:
+            return None
+        return v if -(2**31) <= v < 2**31 else None
+
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(samples)], "i int, q string")
+    got = {r.i: r.v for r in df.select("i", labels.parse_quantity("q").alias("v")).collect()}
+    mismatches = [(t, got[i], expected(t)) for i, t in enumerate(samples) if got[i] != expected(t)]
+    assert not mismatches, mismatches[:5]
