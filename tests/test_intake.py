@@ -74,3 +74,25 @@ def test_exports_and_events(spark, scratch):
     text = "".join(r.value for r in spark.read.text(f"{scratch}/products").collect())
     assert "커피" in text and "\\u" not in text
     assert orders.filter(F.col("order_id") == 1).count() == 1
+
+
+def test_search_agrees_with_a_plain_python_filter(spark):
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    named = orders_frame(spark).join(products_frame(spark), "product_id")
+    rows = [(r.order_id, r.name) for r in named.collect()]
+    terms = []
+
+    @settings(max_examples=60, database=None, derandomize=True)
+    @given(st.text(alphabet=" #0123456789커피빵주스AB", max_size=5))
+    def collect(term):
+        terms.append(term)
+
+    collect()
+    for term in terms[:40]:
+        t = term.strip().lower()
+        t = t[1:] if t.startswith("#") else t
+        want = sorted(i for i, name in rows if t in f"{i:04d} {i} {name}".lower())
+        got = sorted(r.order_id for r in intake.search_orders(named, term).collect())
+        assert got == want, term
