@@ -22,8 +22,16 @@ def partition_report(df: DataFrame, key: str) -> DataFrame:
 
 
 def partition_count(df: DataFrame) -> int:
-    """Number of partitions of the plan's output (no job is run)."""
-    return df.rdd.getNumPartitions()
+    """Number of partitions of the plan's output (no job is run).
+
+    Spark Connect has no RDD view; there the distinct partition ids of a
+    one-column projection are counted instead (a job, counting only
+    non-empty partitions).
+    """
+    try:
+        return df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - Connect DataFrames have no .rdd
+        return df.select(F.spark_partition_id().alias("p")).distinct().count()
 
 
 def _shuffle_partitions(df: DataFrame) -> int:

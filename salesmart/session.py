@@ -60,7 +60,15 @@ def build_session(
     return spark
 
 
-_LOCAL_WORK_DIRS: dict[int, str] = {}
+_LOCAL_WORK_DIRS: dict[str, str] = {}
+
+
+def _context(spark: SparkSession):
+    """The SparkContext, or None for a Spark Connect session."""
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 - Connect sessions have no context
+        return None
 
 
 def work_dir(spark: SparkSession) -> str:
@@ -68,18 +76,22 @@ def work_dir(spark: SparkSession) -> str:
 
     Reads ``spark.checkpoint.dir`` from the session's configuration (the
     cluster names a shared folder there).  Only when it is unset, as in local
-    tests, a private temporary folder is created once per context and used as
-    the checkpoint directory.
+    tests, a private temporary folder is created once per application and used
+    as the checkpoint directory.
     """
-    sc = spark.sparkContext
-    named = sc.getConf().get("spark.checkpoint.dir", None)
+    sc = _context(spark)
+    if sc is None:
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        key = "connect"
+    else:
+        named = sc.getConf().get("spark.checkpoint.dir", None)
+        key = sc.applicationId
     if named:
-        if sc.getCheckpointDir() is None:
+        if sc is not None and sc.getCheckpointDir() is None:
             sc.setCheckpointDir(named)
         return named.rstrip("/")
-    key = id(sc._jsc)
     if key not in _LOCAL_WORK_DIRS:
         _LOCAL_WORK_DIRS[key] = tempfile.mkdtemp(prefix="salesmart-")
-        if sc.getCheckpointDir() is None:
+        if sc is not None and sc.getCheckpointDir() is None:
             sc.setCheckpointDir(_LOCAL_WORK_DIRS[key] + "/checkpoints")
     return _LOCAL_WORK_DIRS[key]
