@@ -56,7 +56,9 @@ def build_session(
     for key, value in conf.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
-    spark.sparkContext.setLogLevel("WARN")
+    sc = _context(spark)
+    if sc is not None:
+        sc.setLogLevel("WARN")
     return spark
 
 
