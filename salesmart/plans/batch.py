@@ -15,6 +15,7 @@ the CSV scan.
 from __future__ import annotations
 
 import datetime as _dt
+from zoneinfo import ZoneInfo
 from time import perf_counter
 
 from pyspark.sql import DataFrame, SparkSession
@@ -108,7 +109,8 @@ def run(
     for name, df in build_marts(orders, products, requests, totals).items():
         df.write.mode("overwrite").parquet(f"{zones.marts}/{name}")
     if generated_at is None:
-        generated_at = _dt.datetime.now(_dt.timezone.utc).astimezone().isoformat(timespec="seconds")
+        zone = ZoneInfo(spark.conf.get("spark.sql.session.timeZone"))
+        generated_at = _dt.datetime.now(zone).isoformat(timespec="seconds")
     order_count = totals.filter(F.col("gid") == marts.BY_DAY_ID).agg(F.sum("order_count")).first()[0] or 0
     doc = dashboard.document(spark, zones.marts, order_count, generated_at, row_limit)
     # Tolerant parsing turns bad input into NULL; report how much was turned.
