@@ -260,12 +260,15 @@ def q_sample_sales_by_day(spark, sf_dir):
 
 @query
 def q_sample_sales_by_product(spark, sf_dir):
-    """Sampled orders joined to their product, revenue per (product_id, name)."""
-    sample = sample_orders(td.orders(spark, sf_dir))
-    enriched = marts.enrich(sample, td.customers_as_products(spark, sf_dir))
+    """Sampled orders with a known product, count and revenue per (product_id, name).
+
+    Aggregated per product before the join, like the product mart.
+    """
+    totals = marts.product_totals(sample_orders(td.orders(spark, sf_dir)))
+    named = totals.join(td.customers_as_products(spark, sf_dir).select("product_id", "name"), "product_id")
     return (
-        enriched.groupBy("product_id", "name")
-        .agg(F.count(F.lit(1)).alias("order_count"), F.sum("amount").alias("revenue"))
+        named.groupBy("product_id", "name")
+        .agg(F.sum("order_count").alias("order_count"), F.sum("revenue").alias("revenue"))
         .withColumnRenamed("name", "product_name")
     )
 
