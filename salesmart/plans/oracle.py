@@ -46,6 +46,16 @@ REQUESTS = """reqs AS (
 SECONDS = "'%Y-%m-%d %H:%M:%S'"
 
 
+def half_up(expr: str, digits: int = 2) -> str:
+    """Round a double HALF_UP on its shortest decimal form.
+
+    That is how Spark's round and the dashboard's display rounding treat a
+    double (4563.525 -> 4563.53); DuckDB's ROUND on the double itself works on
+    the binary value (4563.52499... -> 4563.52).
+    """
+    return f"CAST(ROUND(CAST(CAST({expr} AS VARCHAR) AS DECIMAL(38,12)), {digits}) AS DOUBLE)"
+
+
 def with_(*ctes: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n"
 
@@ -65,7 +75,7 @@ HOURLY = """hourly AS (
 by_hour AS (
   SELECT order_hour, order_count, revenue,
          CASE WHEN (SELECT SUM(revenue) FROM hourly) > 0
-              THEN ROUND(revenue / (SELECT CAST(SUM(revenue) AS BIGINT) FROM hourly) * 100, 2)
+              THEN """ + half_up("revenue / (SELECT CAST(SUM(revenue) AS BIGINT) FROM hourly) * 100") + """
               ELSE 0.0 END AS revenue_share_pct
   FROM hourly)"""
 
@@ -141,7 +151,7 @@ FROM by_category""",
 SELECT product_id,
        COALESCE(NULLIF(product_name, ''), NULLIF(name, ''), CAST(product_id AS VARCHAR)) AS display_name,
        order_count,
-       CASE WHEN order_count > 0 THEN ROUND(average_order_amount, 2) END AS average_shown
+       CASE WHEN order_count > 0 THEN """ + half_up("average_order_amount") + """ END AS average_shown
 FROM dash""",
     "q_menu_kind": with_(PRODUCTS) + """
 SELECT product_id, name, category,
