@@ -86,3 +86,15 @@ def test_day_literal_becomes_a_pushed_timestamp_range(spark):
 def test_inner_join_adds_null_key_filter(spark):
     p = plan(REGISTRY["q_enriched_orders"](spark, SF))
     assert "IsNotNull(l_partkey)" in p and "IsNotNull(p_partkey)" in p
+
+
+def test_no_registered_plan_uses_python_udfs_or_cross_joins(spark):
+    """Every registered query stays JVM-side and has no cross / nested-loop join."""
+    import __spark_entry__ as entry
+
+    banned = ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas",
+              "CartesianProduct", "BroadcastNestedLoopJoin")
+    for name, fn in entry.queries().items():
+        text = plan(fn(spark, SF))
+        found = [b for b in banned if b in text]
+        assert not found, (name, found)
