@@ -67,7 +67,10 @@ def main():
     cpus = os.environ.get("BENCH_CPUS", "8")
     m = re.search(r"sf([0-9.]+)", sf_dir)
     sf = float(m.group(1)) if m else None
-    spark = build_session(f"local[{cpus}]", app_name="salesmart-bench", shuffle_partitions=int(cpus) * 2)
+    # build_session gives a local driver 8 GiB (tasks run in the driver JVM).
+    memory = os.environ.get("BENCH_DRIVER_MEMORY", "8g")
+    spark = build_session(f"local[{cpus}]", app_name="salesmart-bench", shuffle_partitions=int(cpus) * 2,
+                          extra={"spark.driver.memory": memory})
     scratch = f"{work_dir(spark)}/bench-{uuid.uuid4().hex}"
 
     run_noop(REGISTRY["q_order_count"](spark, sf_dir))  # JVM / reader warm-up, not timed

@@ -17,6 +17,8 @@ BENCHMARK_SCAN_CONF = {
     "spark.sql.files.minPartitionNum": "4",
 }
 
+LOCAL_DRIVER_MEMORY = "8g"
+
 BASE_CONF = {
     "spark.sql.session.timeZone": DEFAULT_ZONE,
     "spark.sql.ansi.enabled": "true",
@@ -52,6 +54,11 @@ def build_session(
     conf["spark.sql.session.timeZone"] = zone
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if master and master.startswith("local"):
+        # Local mode runs all tasks inside the driver JVM: its heap is the
+        # executors' memory, and Spark's 1 GiB default makes shuffles spill
+        # and GC dominate.  (On a cluster, spark-submit sizes the processes.)
+        conf["spark.driver.memory"] = LOCAL_DRIVER_MEMORY
     conf.update(extra or {})
     for key, value in conf.items():
         builder = builder.config(key, value)
