@@ -23,14 +23,17 @@ def parse_requests(lines: DataFrame, strict: bool = False, line: str = "value")
     failing the whole job (``strict=True`` keeps the ANSI cast errors).
     Catalyst prunes unused groups, so a count by day only evaluates group 1.
     """
+    ts = F.try_to_timestamp(log_group(1, line))
+    status = log_group(4, line).try_cast("int")
+    duration = log_group(5, line).try_cast("long")
     if strict:
-        ts = F.to_timestamp(log_group(1, line))
-        status = log_group(4, line).cast("int")
-        duration = log_group(5, line).cast("long")
-    else:
-        ts = F.try_to_timestamp(log_group(1, line))
-        status = log_group(4, line).try_cast("int")
-        duration = log_group(5, line).try_cast("long")
+        # Fail on an unmatched line whatever the session's ANSI setting.
+        unmatched = F.col(line).isNotNull() & ~F.col(line).rlike(LOG_PATTERN)
+        message = F.concat(F.lit("unmatched log line: "), F.col(line))
+        ts = F.when(unmatched | ts.isNull(), F.raise_error(message).cast("timestamp")).otherwise(ts)
+        too_big = F.concat(F.lit("number out of range in log line: "), F.col(line))
+        status = F.when(status.isNull(), F.raise_error(too_big).cast("int")).otherwise(status)
+        duration = F.when(duration.isNull(), F.raise_error(too_big).cast("long")).otherwise(duration)
     return lines.select(
         ts.alias("requested_at"),
         log_group(2, line).alias("method"),

@@ -15,10 +15,16 @@ def amount(quantity: str = "quantity", unit_price: str = "unit_price") -> Column
 def parse_instant(column: Column, strict: bool = False) -> Column:
     """ISO-8601 text (with offset) -> timestamp in the session zone.
 
-    ``strict`` reproduces the plain cast, which fails the job on one malformed
-    value under ANSI mode; the default turns malformed text into NULL.
+    ``strict`` fails the job on one malformed value, as the plain cast does
+    under ANSI mode (and also when a session turns ANSI off); the default
+    turns malformed text into NULL.
     """
-    return F.to_timestamp(column) if strict else F.try_to_timestamp(column)
+    parsed = F.try_to_timestamp(column)
+    if not strict:
+        return parsed
+    bad = column.isNotNull() & parsed.isNull()
+    message = F.concat(F.lit("malformed timestamp: "), column)
+    return F.when(bad, F.raise_error(message).cast("timestamp")).otherwise(parsed)
 
 
 def refine_orders(raw: DataFrame, strict: bool = False) -> DataFrame:
