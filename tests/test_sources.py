@@ -79,3 +79,11 @@ def test_ordered_export_writes_rows_in_id_order(spark, scratch):
         with open(f"{scratch}/o.csv/{p}", encoding="utf-8") as f:
             ids += [int(line.split(",")[0]) for line in f.read().splitlines()[1:]]
     assert ids == list(range(1, 23))
+
+
+def test_access_log_copy_is_unchanged(spark, scratch):
+    data_dir = write_raw(scratch)
+    src = files.read_access_log(spark, f"{data_dir}/raw/access.log")
+    exports.copy_text(src, f"{scratch}/copy")
+    back = files.read_access_log(spark, f"{scratch}/copy")
+    assert src.exceptAll(back).count() == 0 and back.exceptAll(src).count() == 0
