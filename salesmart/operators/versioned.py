@@ -125,21 +125,60 @@ class VersionedTable:
                 out[int(m.group(1))] = f
         return out
 
-    def latest(self, version: int | None = None) -> Commit | None:
-        """The newest commit (or ``version``).
+    def _record_file(self, version: int) -> str | None:
+        """The record file of ``version`` if that version is committed."""
+        try:
+            found = self.spark.read.schema(HISTORY_RECORD).json(f"{self.path}/_history/{version:020d}").inputFiles()
+        except Exception as exc:  # noqa: BLE001
+            if "PATH_NOT_FOUND" in str(exc) or "does not exist" in str(exc):
+                return None
+            raise
+        return found[0] if found else None  # a failed attempt leaves no visible file
+
+    def _pointer(self) -> int | None:
+        """The version in the ``_latest`` hint (written after each commit), if any."""
+        try:
+            row = self.spark.read.schema("version long").json(f"{self.path}/_latest").first()
+        except Exception as exc:  # noqa: BLE001
+            if "PATH_NOT_FOUND" in str(exc) or "does not exist" in str(exc):
+                return None
+            raise
+        return None if row is None else row.version
 
-        Every record holds the whole live state, so only one record is read
-        however many versions exist; finding it is a directory listing.
+    def _newest(self) -> tuple[int, str] | None:
+        """Newest committed version and its record file.
+
+        Starts at the ``_latest`` hint and probes the following versions (the
+        hint is written after the record, so it can only lag); without a hint
+        the history folder is listed.  Either way one record is read later,
+        however many versions exist.
         """
-        records = self._records()
-        if not records:
-            return None
-        v = max(records) if version is None else version
-        if v not in records:
-            return None
+        v = self._pointer()
+        record = None if v is None else self._record_file(v)
+        if record is None:
+            records = self._records()
+            if not records:
+                return None
+            v = max(records)
+            return v, records[v]
+        while (nxt := self._record_file(v + 1)) is not None:
+            v, record = v + 1, nxt
+        return v, record
+
+    def latest(self, version: int | None = None) -> Commit | None:
+        """The newest commit (or ``version``); reads at most one record."""
+        if version is None:
+            newest = self._newest()
+            if newest is None:
+                return None
+            v, record = newest
+        else:
+            v, record = version, self._record_file(version)
+            if record is None:
+                return None
         if self._known is not None and self._known.version == v:
             return self._known  # records are immutable: no need to read it again
-        r = self.spark.read.schema(HISTORY_RECORD).json(records[v]).first()
+        r = self.spark.read.schema(HISTORY_RECORD).json(record).first()
         commit = Commit(
             r.version, r.operation, tuple(r.live_batches or ()), tuple(r.removed_files or ()),
             dict(r.operationParameters or {}), r.schema,
@@ -231,6 +270,11 @@ class VersionedTable:
         self.spark.createDataFrame([record], HISTORY_RECORD).coalesce(1).write.mode("overwrite").json(
             f"{self.path}/_history/{version:020d}"
         )
+        # Hint for readers; it may lag the records (readers probe forward) or
+        # be missing while it is rewritten (readers then list the history).
+        self.spark.createDataFrame([(version,)], "version long").coalesce(1).write.mode("overwrite").json(
+            f"{self.path}/_latest"
+        )
         self._known = Commit(version, operation, tuple(live), tuple(removed_files), dict(params), schema)
         return self._known
 

@@ -142,3 +142,20 @@ def test_open_table_falls_back_without_delta(spark, scratch):
 
     assert not delta_available(spark)
     assert isinstance(open_table(spark, f"{scratch}/t"), VersionedTable)
+
+
+def test_latest_hint_may_lag_or_be_wrong(spark, scratch):
+    orders = orders_frame(spark)
+    table = VersionedTable(spark, f"{scratch}/orders")
+    table.overwrite(orders.filter("order_id <= 6"))
+    table.append(orders.filter("order_id BETWEEN 7 AND 12"))
+    table.append(orders.filter("order_id > 12"))
+
+    def hint(v):
+        spark.createDataFrame([(v,)], "version long").write.mode("overwrite").json(f"{scratch}/orders/_latest")
+
+    hint(0)  # lagging hint: readers probe forward
+    fresh = VersionedTable(spark, f"{scratch}/orders")
+    assert fresh.latest().version == 2 and fresh.read().count() == 22
+    hint(99)  # hint without a record: readers list the history
+    assert VersionedTable(spark, f"{scratch}/orders").latest().version == 2
