@@ -65,6 +65,11 @@ class Commit:
     schema: str | None = None
 
 
+# A ``_latest`` hint is written at every HINT_EVERY-th version (like a table
+# format's periodic checkpoint), so commits rarely pay for it and readers probe
+# at most HINT_EVERY - 1 versions past it.
+HINT_EVERY = 10
+
 _RECORD_FILE = re.compile(r"_history/(\d{20})/[^/]+$")
 _BATCH_FILE = re.compile(r"(batch=\d+/.+)$")
 
@@ -148,12 +153,15 @@ class VersionedTable:
     def _newest(self) -> tuple[int, str] | None:
         """Newest committed version and its record file.
 
-        Starts at the ``_latest`` hint and probes the following versions (the
-        hint is written after the record, so it can only lag); without a hint
-        the history folder is listed.  Either way one record is read later,
+        Starts at the last version this object saw, else at the ``_latest``
+        hint, and probes the following versions (the hint is written after the
+        record every HINT_EVERY versions, so it can only lag); without a usable
+        start the history folder is listed.  Either way one record is read later,
         however many versions exist.
         """
-        v = self._pointer()
+        # A version this object already saw is committed for good: start there
+        # (no read); otherwise start at the hint.
+        v = self._known.version if self._known is not None else self._pointer()
         record = None if v is None else self._record_file(v)
         if record is None:
             records = self._records()
@@ -270,11 +278,13 @@ class VersionedTable:
         self.spark.createDataFrame([record], HISTORY_RECORD).coalesce(1).write.mode("overwrite").json(
             f"{self.path}/_history/{version:020d}"
         )
-        # Hint for readers; it may lag the records (readers probe forward) or
-        # be missing while it is rewritten (readers then list the history).
-        self.spark.createDataFrame([(version,)], "version long").coalesce(1).write.mode("overwrite").json(
-            f"{self.path}/_latest"
-        )
+        # Every HINT_EVERY versions, a hint for readers: it may lag the records
+        # (readers probe forward, at most HINT_EVERY - 1 steps) or be missing
+        # while it is rewritten (readers then list the history).
+        if version % HINT_EVERY == 0:
+            self.spark.createDataFrame([(version,)], "version long").coalesce(1).write.mode("overwrite").json(
+                f"{self.path}/_latest"
+            )
         self._known = Commit(version, operation, tuple(live), tuple(removed_files), dict(params), schema)
         return self._known
 

@@ -159,3 +159,15 @@ def test_latest_hint_may_lag_or_be_wrong(spark, scratch):
     assert fresh.latest().version == 2 and fresh.read().count() == 22
     hint(99)  # hint without a record: readers list the history
     assert VersionedTable(spark, f"{scratch}/orders").latest().version == 2
+
+
+def test_many_versions_follow_the_periodic_hint(spark, scratch):
+    from salesmart.operators.versioned import HINT_EVERY
+
+    orders = orders_frame(spark)
+    table = VersionedTable(spark, f"{scratch}/orders")
+    for i in range(1, HINT_EVERY + 3):
+        table.append(orders.filter(F.col("order_id") == i))
+    fresh = VersionedTable(spark, f"{scratch}/orders")
+    assert fresh._pointer() == HINT_EVERY
+    assert fresh.latest().version == HINT_EVERY + 1 and fresh.read().count() == HINT_EVERY + 2
