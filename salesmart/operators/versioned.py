@@ -2,9 +2,11 @@
 
 Layout under ``path``::
 
-    batch=<n>/part-*.parquet     immutable data written by version n
-    _history/<n:020d>/part-*.json one record per version: operation, parameters,
-                                  live batches and row metrics
+    batch=<n>/[<col>=<v>/]part-*.parquet  immutable data written by version n
+    _history/<n:020d>/part-*.json          one record per version: operation,
+                                           parameters, live batches, replaced
+                                           files, schema and row metrics
+    _latest/part-*.json                    hint: a recent version (every 10th)
 
 A version's rows are the files of its live batches minus the files that a
 later update replaced.  Overwrite makes the new batch the only live one;
@@ -16,8 +18,9 @@ version, and a rerun replaces the orphaned files.  One writer at a time: a
 second writer is detected at commit time (the version exists) and fails, but
 writers are not otherwise coordinated.
 
-If the Delta Lake format is on the classpath, prefer it; this class is the
-fallback with the same user-level operations.
+If Delta Lake is installed and configured, :func:`open_table` returns a
+Delta-backed table with the same user-level operations; this class is the
+fallback.
 """
 
 from __future__ import annotations
