@@ -30,7 +30,7 @@ import json
 import re
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     ArrayType,
@@ -295,7 +295,9 @@ class VersionedTable:
         # No committed version references batch=<version> yet, so files left
         # by a failed attempt are orphans and may be replaced.
         target = f"{self.path}/batch={version}"
-        out = df
+        # The row count is observed while the write runs (no second job).
+        rows = Observation(f"rows_{version}")
+        out = df.observe(rows, F.count(F.lit(1)).alias("rows"))
         if self.partition_by:
             out = out.hint("rebalance", *self.partition_by)
         sort = list(dict.fromkeys(self.partition_by + self.cluster_by))
@@ -305,7 +307,7 @@ class VersionedTable:
         if self.partition_by:
             writer = writer.partitionBy(*self.partition_by)
         writer.parquet(target)
-        return self.spark.read.parquet(target).count()
+        return int(rows.get["rows"])
 
     def overwrite(self, df: DataFrame, params: dict[str, str] | None = None) -> Commit:
         """K2: new version whose only live batch is ``df``."""
