@@ -23,8 +23,6 @@ RAW_ORDER = StructType(
     ]
 )
 
-RAW_ORDER_DDL = "order_id long, product_id string, quantity int, unit_price long, ordered_at string"
-
 PRODUCT_DDL = "product_id string, name string, category string"
 
 PARSED_REQUEST = StructType(

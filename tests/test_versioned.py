@@ -171,3 +171,12 @@ def test_many_versions_follow_the_periodic_hint(spark, scratch):
     fresh = VersionedTable(spark, f"{scratch}/orders")
     assert fresh._pointer() == HINT_EVERY
     assert fresh.latest().version == HINT_EVERY + 1 and fresh.read().count() == HINT_EVERY + 2
+
+
+def test_history_schema(spark, scratch):
+    from salesmart import schemas
+
+    table = VersionedTable(spark, f"{scratch}/orders")
+    table.overwrite(orders_frame(spark))
+    hist = table.history().select(*schemas.HISTORY.fieldNames())
+    assert [(f.name, f.dataType) for f in hist.schema.fields] == [(f.name, f.dataType) for f in schemas.HISTORY.fields]
