@@ -80,6 +80,14 @@ def _context(spark: SparkSession):
         return None
 
 
+def default_parallelism(spark: SparkSession) -> int:
+    """Cores Spark plans for (the shuffle partition count on Spark Connect)."""
+    sc = _context(spark)
+    if sc is not None:
+        return sc.defaultParallelism
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def work_dir(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and written tables.
 

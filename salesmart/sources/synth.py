@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from salesmart.session import default_parallelism
+
 # Fixed values of the generator rule.
 PRODUCT_COUNT = 100
 CATEGORY_COUNT = 5
@@ -19,8 +21,18 @@ PRODUCT_NAME_FORMAT = "상품 %03d"
 CATEGORY_FORMAT = "분류 %d"
 
 
+# Rows generated per task when no partition count is given (a few hundred MB).
+ROWS_PER_PARTITION = 10_000_000
+
+
 def orders(spark: SparkSession, n: int, num_partitions: int | None = None) -> DataFrame:
-    """``n`` raw orders; each task generates its own id range (no driver data)."""
+    """``n`` raw orders; each task generates its own id range (no driver data).
+
+    Without ``num_partitions`` there is one task per ROWS_PER_PARTITION rows,
+    and at least the session's default parallelism.
+    """
+    if num_partitions is None:
+        num_partitions = max(default_parallelism(spark), -(-n // ROWS_PER_PARTITION))
     i = F.col("id")
     return spark.range(0, n, numPartitions=num_partitions).select(
         (i + 1).alias("order_id"),
