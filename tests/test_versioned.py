@@ -180,3 +180,18 @@ def test_history_schema(spark, scratch):
     table.overwrite(orders_frame(spark))
     hist = table.history().select(*schemas.HISTORY.fieldNames())
     assert [(f.name, f.dataType) for f in hist.schema.fields] == [(f.name, f.dataType) for f in schemas.HISTORY.fields]
+
+
+def test_history_metrics_match_the_sample_log_for_one_file_batches(spark, scratch):
+    """With each day written as one file, as in the sample table's log:
+    WRITE/Overwrite 6 rows, WRITE/Append 6 rows, UPDATE 1 updated + 5 copied."""
+    orders = orders_frame(spark).filter(F.col("order_id") <= 12)
+    table = VersionedTable(spark, f"{scratch}/orders")
+    table.overwrite(orders.filter("order_date = DATE'2026-09-07'").coalesce(1))
+    table.append(orders.filter("order_date = DATE'2026-09-08'").coalesce(1))
+    table.update({"quantity": "2", "amount": "unit_price * 2"}, "order_id = 1")
+    hist = table.history().orderBy("version").collect()
+    assert [(h.operation, h.operationParameters.get("mode")) for h in hist] == [
+        ("WRITE", "Overwrite"), ("WRITE", "Append"), ("UPDATE", None)]
+    assert [h.num_output_rows for h in hist[:2]] == [6, 6]
+    assert (hist[2].num_updated_rows, hist[2].num_copied_rows, hist[2].num_removed_files) == (1, 5, 1)
