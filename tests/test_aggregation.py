@@ -139,8 +139,9 @@ def test_salted_join_equals_plain_join_on_a_hot_key(spark):
 
 
 def test_serial_fold_fixture_before_the_fix(spark):
-    """The pair list with its first A row at 500 (before the correction) sums A to 1,600."""
-    rows = [("A", 500) if i == 0 else r for i, r in enumerate(PAIRS)]
+    """The pair list with A's fourth row at 500 instead of 400 (before the
+    correction) sums A to 1,600."""
+    rows = [("A", 500) if r == ("A", 400) else r for r in PAIRS]
     df = spark.createDataFrame(rows, "product_id string, amount long")
     got = {r.product_id: (r.order_count, r.revenue) for r in partitions.partial_final_sales(df).collect()}
     assert got == {"A": (5, 1600), "B": (7, 2800)}
