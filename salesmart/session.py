@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # The reference evaluates every day / hour bucket in this zone.
 DEFAULT_ZONE = "Asia/Seoul"
@@ -92,23 +94,49 @@ def work_dir(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and written tables.
 
     Reads ``spark.checkpoint.dir`` from the session's configuration (the
-    cluster names a shared folder there).  Only when it is unset, as in local
-    tests, a private temporary folder is created once per application and used
-    as the checkpoint directory.
+    cluster names a shared folder there).  Only when it is unset on a
+    ``local[...]`` master, as in tests, a private temporary folder is created
+    once per application.  On any other master a missing setting is an error:
+    executors could not see each other's files in a machine-local folder.
     """
     sc = _context(spark)
     if sc is None:
-        named = spark.conf.get("spark.checkpoint.dir", None)
-        key = "connect"
+        named, key, master = spark.conf.get("spark.checkpoint.dir", None), "connect", "connect"
     else:
-        named = sc.getConf().get("spark.checkpoint.dir", None)
-        key = sc.applicationId
+        named, key, master = sc.getConf().get("spark.checkpoint.dir", None), sc.applicationId, sc.master
     if named:
         if sc is not None and sc.getCheckpointDir() is None:
             sc.setCheckpointDir(named)
         return named.rstrip("/")
+    if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+        raise ValueError(
+            f"master {master!r} needs spark.checkpoint.dir: a folder that the driver and all executors share"
+        )
     if key not in _LOCAL_WORK_DIRS:
         _LOCAL_WORK_DIRS[key] = tempfile.mkdtemp(prefix="salesmart-")
         if sc is not None and sc.getCheckpointDir() is None:
             sc.setCheckpointDir(_LOCAL_WORK_DIRS[key] + "/checkpoints")
     return _LOCAL_WORK_DIRS[key]
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path under :func:`work_dir`, removed when the application ends."""
+    path = f"{work_dir(spark)}/scratch/{name}-{uuid.uuid4().hex}"
+    sc = _context(spark)
+    if sc is not None:
+        jpath = sc._jvm.org.apache.hadoop.fs.Path(path)
+        jpath.getFileSystem(sc._jsc.hadoopConfiguration()).deleteOnExit(jpath)
+    return path
+
+
+def materialize(df: DataFrame, name: str = "table") -> DataFrame:
+    """Write ``df`` once as Parquet in the shared folder and read it back.
+
+    Cuts lineage (a lost executor costs no recomputation upstream), keeps
+    column pruning, and gives later joins a plain scan on either side, so AQE
+    can split a skewed key.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
