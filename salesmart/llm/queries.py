@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from salesmart.llm import decision_list, decontaminate, html_extract, quality, secrets
+from salesmart.llm import decision_list, decontaminate, html_extract, mixing, quality, secrets
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -22,6 +22,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.report(table(spark, sf_dir, "documents"))
+
+
 @query
 def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.report(table(spark, sf_dir, "pages"))
