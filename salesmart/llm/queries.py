@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from salesmart.llm import decision_list, decontaminate, html_extract, mixing, quality, secrets
+from salesmart.llm import decision_list, decontaminate, html_extract, line_dedup, mixing, quality, secrets
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -42,6 +42,34 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decision_list.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.report(table(spark, sf_dir, "documents"))
+
+
+SQL["op8_line_dedup"] = r"""
+WITH docs AS (SELECT DISTINCT doc_id, text FROM documents WHERE regexp_matches(text, '[^\x20\x09-\x0D]')),
+lines AS (SELECT doc_id, text, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM docs),
+numbered AS (SELECT *, sum(CASE WHEN regexp_matches(line, '[^\x20\x09-\x0D]') THEN 1 ELSE 0 END)
+    OVER (PARTITION BY doc_id, text ORDER BY pos) AS no FROM lines),
+piece AS (SELECT doc_id, text, dense_rank() OVER (PARTITION BY doc_id, text ORDER BY no) - 1 AS k,
+    string_agg(line, chr(10) ORDER BY pos) AS raw FROM numbered GROUP BY doc_id, text, no),
+p AS (SELECT *, trim(raw, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS line, count(*) OVER (PARTITION BY doc_id, text) AS n,
+    list(trim(raw, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))) OVER (PARTITION BY doc_id, text ORDER BY k
+      ROWS BETWEEN CURRENT ROW AND 2 FOLLOWING) AS next FROM piece),
+run AS (SELECT doc_id, text, k AS start, least(3, n) AS size, next AS content FROM p WHERE k <= n - least(3, n)
+    UNION SELECT doc_id, text, k, 1, [line] FROM p WHERE length(line) >= 250),
+later AS (SELECT doc_id, text, start, size FROM (SELECT *, row_number() OVER (PARTITION BY content ORDER BY doc_id, start) AS r FROM run) WHERE r > 1),
+dead AS (SELECT DISTINCT doc_id, text, unnest(generate_series(start, start + size - 1)) AS k FROM later),
+done AS (SELECT p.doc_id, p.text, count(*) AS n_lines, count(dead.k) AS n_deleted,
+    coalesce(string_agg(p.raw, chr(10) ORDER BY p.k) FILTER (WHERE dead.k IS NULL), '') AS shown
+    FROM p LEFT JOIN dead ON p.doc_id = dead.doc_id AND p.text = dead.text AND p.k = dead.k GROUP BY p.doc_id, p.text)
+SELECT d.doc_id, CAST(coalesce(n_lines, 0) AS BIGINT) AS n_lines, CAST(coalesce(n_deleted, 0) AS BIGINT) AS n_deleted,
+    coalesce(shown, d.text) AS text
+FROM documents d LEFT JOIN done ON d.doc_id = done.doc_id AND d.text = done.text
+"""
+
+
 @query
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
