@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from salesmart.llm import decision_list, decontaminate, html_extract, line_dedup, mixing, quality, secrets
+from salesmart.llm import decision_list, decontaminate, html_extract, line_dedup, mixing, quality, secrets, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -27,6 +27,11 @@ def op1_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.report(table(spark, sf_dir, "documents"))
 
 
+@query
+def op2_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.report(table(spark, sf_dir, "documents"))
+
+
 @query
 def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.report(table(spark, sf_dir, "pages"))
