@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from salesmart.llm import decision_list, decontaminate, html_extract, line_dedup, mixing, quality, secrets, simhash
+from salesmart.llm import decision_list, decontaminate, html_extract, line_dedup, mixing, quality, secrets, simhash, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -32,6 +32,11 @@ def op2_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.report(table(spark, sf_dir, "documents"))
 
 
+@query
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.report(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
+
+
 @query
 def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.report(table(spark, sf_dir, "pages"))
