@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from salesmart.llm import decision_list, decontaminate, html_extract, line_dedup, mixing, quality, secrets, simhash, url_filter
+from salesmart.llm import decision_list, decontaminate, html_extract, line_dedup, mixing, passages, quality, secrets, simhash, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -52,6 +52,11 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decision_list.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query
+def op7_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.report(table(spark, sf_dir, "documents"))
+
+
 @query
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.report(table(spark, sf_dir, "documents"))
