@@ -92,7 +92,8 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     dead = later.groupBy("id", "text_hash").agg(F.collect_set(F.struct("start", "size")).alias("_llm_runs"))
     dead = materialize(dead.withColumnRenamed("id", "_llm_id").withColumnRenamed("text_hash", "_llm_hash"), "dead")
     text = F.col(text_col).cast("string")
-    joined = docs.join(dead, docs[id_col].eqNullSafe(F.col("_llm_id")) & (F.xxhash64(text) == F.col("_llm_hash")), "left")
+    # A merge join at every size: whether the texts are shuffled must not depend on how few of them change.
+    joined = docs.join(dead.hint("merge"), docs[id_col].eqNullSafe(F.col("_llm_id")) & (F.xxhash64(text) == F.col("_llm_hash")), "left")
     cut = pieces(text)
     gone = F.array_distinct(F.flatten(F.transform(
         "_llm_runs", lambda r: F.sequence(r["start"], r["start"] + r["size"] - 1))))
