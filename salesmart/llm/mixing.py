@@ -56,13 +56,12 @@ def _ranked(sources: DataFrame) -> DataFrame:
     """
     order = [F.col("key").isNull(), F.col("key")]
     ranged = materialize(sources.repartitionByRange(*order).withColumn("part", F.spark_partition_id()), "sources")
-    counts = {r["part"]: r["count"] for r in ranged.groupBy("part").count().collect()}
-    before, shift = 0, F.lit(0).cast("long")
-    for part in sorted(counts):
-        shift = F.when(F.col("part") == part, F.lit(before).cast("long")).otherwise(shift)
-        before += counts[part]
+    counts = sorted((r["part"], r["count"]) for r in ranged.groupBy("part").count().collect())
+    before = [(part, sum(n for _, n in counts[:k])) for k, (part, _) in enumerate(counts)]
+    shifts = sources.sparkSession.createDataFrame(before, "part int, before long")  # a row per shuffle partition
     place = F.row_number().over(Window.partitionBy("part").orderBy(*order)) - 1
-    return ranged.withColumn("rank", place + shift).drop("part")
+    return ranged.withColumn("place", place).join(F.broadcast(shifts), "part").withColumn(
+        "rank", F.col("place") + F.col("before")).drop("part", "place", "before")
 
 
 def targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = MOST) -> DataFrame:

@@ -40,8 +40,10 @@ RADIUS = 3
 SEED = 42
 ALL = (1 << 64) - 1
 
-#: Fingerprints in one shard's tree, at most (unless they differ in fewer bits than blocks).
+#: Fingerprints in one shard's tree, at most, and how often a larger shard is cut again.  After
+#: three cuts a shard's fingerprints agree on 44 bits, so no tree can hold more than 2 ** 20.
 TREE = 2048
+SPLITS = 3
 #: Fingerprints a shard has on average, at most, when keys are evenly filled.
 SHARD = 64
 
@@ -149,35 +151,29 @@ def _signed(mask: int) -> int:
 
 
 def _finer(mask: int, radius: int) -> list[int]:
-    """Masks that contain ``mask`` and a block of the other bits; empty if there are too few bits left."""
-    free = [b for b in range(64) if not mask >> b & 1]
-    return [mask | part for part in _blocks(free, radius + 1)] if len(free) > radius else []
+    """Masks that contain ``mask`` and a block of the other bits."""
+    return [mask | part for part in _blocks([b for b in range(64) if not mask >> b & 1], radius + 1)]
 
 
 def near_links(prints: DataFrame, radius: int = RADIUS, tree_size: int = TREE) -> DataFrame:
     """Links (a, b) between distinct fingerprints ``fp``; same components as all pairs within ``radius`` bits."""
-    masks = masks_for(prints.count(), radius)
-    rows = prints.select("fp", F.explode(F.array(*[F.lit(_signed(m)) for m in masks])).alias("mask"))
+    masks = [_signed(m) for m in masks_for(prints.count(), radius)]
+    rows = prints.select("fp", F.explode(F.array(*map(F.lit, masks))).alias("mask"))
     rows = rows.withColumn("key", F.col("fp").bitwiseAND(F.col("mask")))
     ready = []
-    while True:
+    for depth in range(SPLITS + 1):
         counts = rows.groupBy("mask", "key").count().filter("count > 1")
-        counts = materialize(counts, "shards")
-        split = {m: _finer(m, radius) for m in masks}
-        can_split = F.col("mask").isin([_signed(m) for m in masks if split[m]])
-        large = materialize(counts.filter((F.col("count") > tree_size) & can_split).drop("count"), "large-shards")
-        if not large.count():
+        large = materialize(counts.filter(F.col("count") > tree_size).drop("count"), "large-shards")
+        used = [r["mask"] for r in large.select("mask").distinct().collect()]  # a few of the masks
+        if not used or depth == SPLITS:
             ready.append(rows)
             break
         rows = materialize(rows, "shard-rows")
         ready.append(rows.join(large, ["mask", "key"], "left_anti").select(rows.columns))
-        chain = F.array().cast("array<long>")
-        for m in masks:
-            if split[m]:
-                chain = F.when(F.col("mask") == _signed(m), F.array(*[F.lit(_signed(x)) for x in split[m]])).otherwise(chain)
-        rows = rows.join(large, ["mask", "key"], "left_semi").select("fp", F.explode(chain).alias("mask"))
-        rows = rows.withColumn("key", F.col("fp").bitwiseAND(F.col("mask")))
-        masks = [x for m in masks for x in split[m]]
+        finer = prints.sparkSession.createDataFrame(
+            [(m, [_signed(x) for x in _finer(m & ALL, radius)]) for m in used], "mask long, finer array<long>")
+        crowded = rows.join(large, ["mask", "key"], "left_semi").join(F.broadcast(finer), "mask")
+        rows = crowded.select("fp", F.explode("finer").alias("mask")).withColumn("key", F.col("fp").bitwiseAND(F.col("mask")))
     everything = ready[0]
     for part in ready[1:]:
         everything = everything.unionByName(part)

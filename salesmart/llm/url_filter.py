@@ -68,11 +68,11 @@ def rule_of(host: Column, path: Column, rules: list[Rule]) -> Column:
     """Struct (rule, verdict) of the longest rule that fits; null if none does."""
     if len(rules) > MAX_RULES:
         raise ValueError(f"{len(rules)} rules; at most {MAX_RULES} make one chain of conditions")
-    chain = F.lit(None).cast("struct<rule:string,verdict:string>")
-    for rule in sorted(rules, key=lambda r: (len(r.name), len(r.host))):
+    chain = F
+    for rule in sorted(rules, key=lambda r: (len(r.name), len(r.host)), reverse=True):
         fits = ((host == rule.host) | host.endswith("." + rule.host)) & path.startswith(rule.path)
-        chain = F.when(fits, F.struct(F.lit(rule.name).alias("rule"), F.lit(rule.verdict).alias("verdict"))).otherwise(chain)
-    return chain
+        chain = chain.when(fits, F.struct(F.lit(rule.name).alias("rule"), F.lit(rule.verdict).alias("verdict")))
+    return chain if rules else F.lit(None).cast("struct<rule:string,verdict:string>")
 
 
 def _entropy(text: Column) -> Column:
