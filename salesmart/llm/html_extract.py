@@ -75,8 +75,9 @@ class Element:
             for key, *values in ATTRIBUTE.findall(attributes):
                 key = key.lower()
                 if key in ("class", "id", "role", "itemprop"):
-                    words = WORDS.findall("".join(values).lower())
-                    self.name += "." + "-".join(words)
+                    value = "".join(values).lower()
+                    words = WORDS.findall(value)
+                    self.name += "." + "-".join(value.split())
                     if tag not in ("html", "body") and not NOT_CONTENT.isdisjoint(words):
                         self.dead = True
                     if key in ("role", "itemprop") and not CONTENT.isdisjoint(words):

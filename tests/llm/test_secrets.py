@@ -1,0 +1,76 @@
+import hashlib
+import random
+import re
+
+from salesmart.llm import secrets
+from tests.llm.conftest import rows_of
+
+ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
+
+
+def base(text):
+    spans = [("assign", m.start(), m.end()) for m in ASSIGN.finditer(text) if len(m[2]) >= 6]
+    spans += [("access", m.start(), m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 20]
+    spans += [("hex", m.start(), m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 24]
+    return sorted(spans, key=lambda s: (s[1], secrets.KINDS.index(s[0])))
+
+
+CASES = [
+    "password=abcdef", "PASSWORD : 'ab.cd='", "api_key=short", "apikey: \"0123456789abcdef0123456789abcdef\"", "token=token=abcdefg",
+    "é password=ünter ſecret=abcdefgh toKen=abcdefgh", "AKIA" + "A" * 16 + " AKIAAKIA12 xAKIA" + "B" * 40, "f" * 23 + " " + "0" * 24,
+    "secret=" + "a" * 30, "日本AKIA" + "Z" * 16 + "本" + "0f" * 20, "password = secret = abcdefgh", "",
+    "passwd=\"\" password=abcdefg", "tokentoken=aaaaaaa",
+]
+
+
+def text_of(spans):
+    return ",".join(f"{k}:{s}:{e}" for k, s, e in spans)
+
+
+def test_base_against_brute_force(spark, documents):
+    rows = [(k, c) for k, c in enumerate(CASES)] + [(100 + r.doc_id, r.text) for r in documents.collect()]
+    got = {r.doc_id: r for r in secrets.report(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for k, text in rows:
+        want = base(text)
+        assert got[k].base_sha256 == hashlib.sha256(text_of(want).encode()).hexdigest(), text
+        assert (got[k].n_assign, got[k].n_access, got[k].n_hex) == tuple(sum(s[0] == n for s in want) for n in secrets.BASE)
+        assert set(text_of(want).split(",")) <= set(got[k].spans.split(",")) | {""}
+
+
+def linked(text):
+    return [s for s in secrets.scan(text.encode()) if s[0] not in secrets.BASE]
+
+
+def test_weak_parts_need_each_other():
+    token = "Zx81kQpLm3vTz09sWqEr42"
+    for alone in (f"key {token} end", "user=alice went home", "see https://db.example.org/a", "10.1.2.3:5432"):
+        assert linked(alone) == []
+    assert [s[0] for s in linked(f"user=alice, key {token} end")] == ["login", "secret"]
+    text = f"user: alice\nhost https://db.example.org/a\n{token}"
+    assert [text[s:e] for _, s, e in linked(text)] == ["alice", "https://db.example.org/a", token]
+    assert linked(f"user=alice\n\n{token}") == []  # another paragraph
+    assert linked("user=alice" + " x" * 300 + token) == []  # out of reach
+    assert [s[0] for s in linked("AKIA" + "Q" * 16 + f" {token}")] == ["secret"]
+    assert [s[0] for s in linked("login=bob password=abcdefgh 10.1.2.3:22")] == ["login", "endpoint"]
+
+
+def test_interval_join_against_all_pairs():
+    rng = random.Random(6)
+    for _ in range(200):
+        spans = [("x", s, s + rng.randrange(1, 40)) for s in rng.sample(range(3000), 60)]
+        scopes = sorted(rng.sample(range(3000), 5))
+        scope = lambda at: sum(c <= at for c in scopes)
+        parts = secrets._Parts(spans, scopes)
+        for span in [("y", s, s + rng.randrange(1, 40)) for s in rng.sample(range(3000), 20)]:
+            near = any(scope(p[1]) == scope(span[1]) and (p[2] <= span[1] or p[1] >= span[2]) and p[1] <= span[2] + 50 and p[2] >= span[1] - 50 for p in spans)
+            assert parts.near(span, 50) == near
+
+
+def test_edges_and_redaction(spark, clashing, edge, edge_rows, nothing):
+    assert len(rows_of(secrets.report(edge), "doc_id", "spans")) == len(edge_rows)
+    assert secrets.find_secrets(clashing).columns.count("secrets") == 1
+    assert secrets.report(nothing).count() == 0
+    long = "x" * 200000 + " password=abcdefgh " + "é" * 100000
+    df = spark.createDataFrame([(1, long), (2, None), (3, "a token=" + "0" * 30 + " b")], "doc_id long, text string")
+    got = {r.doc_id: r.text for r in secrets.redact(df).collect()}
+    assert got[1] == long.replace("password=abcdefgh", "[SECRET]") and got[2] is None and got[3] == "a [SECRET] b"
