@@ -7,4 +7,4 @@ Everything is DataFrame / SQL code; every mart is a plain
 ``DataFrame -> DataFrame`` function with no I/O inside.
 """
 
-__all__ = ["session", "schemas", "sources", "functions", "operators", "plans", "streaming"]
+__all__ = ["session", "schemas", "sources", "functions", "operators", "plans"]

@@ -3,7 +3,6 @@
 Commands:
   batch     --data-dir D [--strict] [--unique-products] [--partition-by-day]
   generate  --data-dir D [--rows N]                      synthetic raw zone (parallel)
-  ingest    --events E --table T [--checkpoint C]         order-event files -> table
 """
 
 from __future__ import annotations
@@ -25,10 +24,6 @@ def main(argv=None):
     g = sub.add_parser("generate")
     g.add_argument("--data-dir", required=True)
     g.add_argument("--rows", type=int, default=1_000_000)
-    i = sub.add_parser("ingest")
-    i.add_argument("--events", required=True)
-    i.add_argument("--table", required=True)
-    i.add_argument("--checkpoint")
     args = parser.parse_args(argv)
 
     spark = build_session()
@@ -43,14 +38,10 @@ def main(argv=None):
             partition_by=("order_date",) if args.partition_by_day else (),
         )
         print(json.dumps({"order_count": doc["order_count"], "pipeline_seconds": doc["pipeline_seconds"]}))
-    elif args.command == "generate":
+    else:
         from salesmart.sources import synth
 
         synth.write_raw(spark, args.rows, f"{args.data_dir.rstrip('/')}/raw")
-    else:
-        from salesmart.streaming.order_events import ingest
-
-        ingest(spark, args.events, args.table, args.checkpoint)
     spark.stop()
 
 

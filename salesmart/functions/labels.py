@@ -47,15 +47,23 @@ def _contains_any(text: Column, words) -> Column:
     return cond
 
 
-def menu_kind(name: str, category: str, kinds=KINDS) -> Column:
+def menu_kind(
+    name: str,
+    category: str,
+    kinds=KINDS,
+    juice_keywords=JUICE_KEYWORDS,
+    cake_keywords=CAKE_KEYWORDS,
+    bakery_category: str = BAKERY_CATEGORY,
+    drink_category: str = DRINK_CATEGORY,
+) -> Column:
     """First match wins: juice words, cake words, bakery category, drink category, else."""
     juice, cake, bakery, drink, other = kinds
     n, c = F.col(name), F.col(category)
     return (
-        F.when(_contains_any(n, JUICE_KEYWORDS), F.lit(juice))
-        .when(_contains_any(n, CAKE_KEYWORDS), F.lit(cake))
-        .when(c == BAKERY_CATEGORY, F.lit(bakery))
-        .when(c == DRINK_CATEGORY, F.lit(drink))
+        F.when(_contains_any(n, juice_keywords), F.lit(juice))
+        .when(_contains_any(n, cake_keywords), F.lit(cake))
+        .when(c == bakery_category, F.lit(bakery))
+        .when(c == drink_category, F.lit(drink))
         .otherwise(F.lit(other))
     )
 

@@ -6,10 +6,11 @@ T6 received order, P20 search, P19/T7 menu filter, A19 menu categories.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from salesmart.functions import labels
+from salesmart.operators.joins import spread_join
 
 # Rejection reasons, product check first.
 UNKNOWN_PRODUCT = "unknown_product"
@@ -26,7 +27,7 @@ def validate_orders(requests: DataFrame, products: DataFrame) -> DataFrame:
     """
     menu = products.select("product_id", "unit_price", F.lit(True).alias("_known"))
     qty = labels.parse_quantity("quantity")
-    checked = requests.join(menu, on="product_id", how="left").withColumn("quantity_value", qty)
+    checked = spread_join(requests, menu, "product_id", "left").withColumn("quantity_value", qty)
     ok_qty = F.col("quantity_value").between(labels.MIN_QUANTITY, labels.MAX_QUANTITY)
     reason = (
         F.when(F.col("_known").isNull(), F.lit(UNKNOWN_PRODUCT))
@@ -40,11 +41,6 @@ def validate_orders(requests: DataFrame, products: DataFrame) -> DataFrame:
     )
 
 
-def rejected_requests(requests: DataFrame, products: DataFrame) -> DataFrame:
-    """Requests whose product is unknown (anti join)."""
-    return requests.join(products.select("product_id"), on="product_id", how="left_anti")
-
-
 def price_snapshot(validated: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Accepted requests become orders priced at the product's current unit price."""
     return (
@@ -60,13 +56,16 @@ def price_snapshot(validated: DataFrame, keep: tuple[str, ...] = ()) -> DataFram
 
 
 def recent_orders(orders: DataFrame, products: DataFrame, n: int = RECENT_LIMIT) -> DataFrame:
-    """The ``n`` newest orders by id, then joined to their product.
+    """The ``n`` newest orders by id with their product, newest first.
 
-    The top-k runs first (n rows per task), so the join sees at most ``n`` rows.
+    The top-k runs first (n rows per task), so the join, its result's order
+    and ``position`` (1 for the newest shown) see at most ``n`` rows.
     """
     top = orders.orderBy(F.col("order_id").desc()).limit(n)
     dim = products.select("product_id", "name", "category")
-    return top.join(dim, on="product_id", how="inner")
+    shown = top.join(dim, on="product_id", how="inner")
+    newest = Window.orderBy(F.col("order_id").desc())
+    return shown.withColumn("position", F.row_number().over(newest)).orderBy("position")
 
 
 def recent_order_totals(recent: DataFrame) -> DataFrame:
@@ -78,11 +77,10 @@ def recent_order_totals(recent: DataFrame) -> DataFrame:
     )
 
 
-def received_order(recent: DataFrame, received_id: str | None) -> DataFrame:
-    """The recent order whose id text equals ``received_id``; no row if absent."""
-    if received_id is None:
-        return recent.limit(0)
-    return recent.filter(F.col("order_id").cast("string") == F.lit(str(received_id)))
+def received_order(recent: DataFrame, received_id: str | Column | None) -> DataFrame:
+    """The recent order whose id text equals ``received_id`` (text or a column); no row if absent."""
+    wanted = received_id if isinstance(received_id, Column) else F.lit(received_id).cast("string")
+    return recent.filter(F.col("order_id").cast("string") == wanted)
 
 
 def search_orders(orders_with_names: DataFrame, term: str, name: str = "name") -> DataFrame:
@@ -94,16 +92,17 @@ def search_orders(orders_with_names: DataFrame, term: str, name: str = "name") -
 
 
 def menu_by_category(products: DataFrame, category: str | None = None) -> DataFrame:
-    """Products of one category (all when the selection is empty)."""
+    """Products of one category by id (all when the selection is empty)."""
     if category:
         products = products.filter(F.col("category") == F.lit(category))
-    return products
+    return products.orderBy("product_id")
 
 
 def menu_categories(products: DataFrame) -> DataFrame:
-    """Distinct non-empty categories with the first product id showing each."""
+    """Distinct non-empty categories in the order of the first product that shows each."""
     return (
         products.filter(F.col("category").isNotNull() & (F.col("category") != ""))
         .groupBy("category")
         .agg(F.min("product_id").alias("first_product_id"))
+        .orderBy("first_product_id", "category")
     )

@@ -1,24 +1,59 @@
-"""Join helpers: size-checked broadcast and the key-uniqueness check."""
+"""Join helpers: size-checked broadcast, joins that split hot keys, the key-uniqueness check."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A dimension of this many narrow rows (id, name, category) is a few hundred MB
-# at most once broadcast; larger sides go through a shuffle join instead.
-DEFAULT_BROADCAST_ROWS = 2_000_000
+#: Bytes of a hinted dimension (its rows as JSON text), at most.
+MAX_BROADCAST_BYTES = 64 << 20
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
-    """Hint ``df`` for broadcast only when it has at most ``max_rows`` rows.
+def broadcast_bounded(df: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """``df`` hinted for broadcast; the query fails when it is larger than ``max_bytes``.
 
-    The check counts at most ``max_rows + 1`` rows (each task stops at the
-    limit), so it stays cheap even when the side is large.  Beyond the bound
-    the frame is returned unhinted and Catalyst / AQE pick a shuffle join.
+    The size is a scalar subquery of the same query, one aggregated row, so no
+    job runs while the query is built.  A caller whose dimension may outgrow
+    the bound uses :func:`spread_join`.
     """
-    n = df.limit(max_rows + 1).count()
-    return (F.broadcast(df), True) if n <= max_rows else (df, False)
+    size = df.agg(F.coalesce(F.sum(F.octet_length(F.to_json(F.struct(*df.columns)))), F.lit(0)).alias("size"))
+    message = F.concat(F.lit(f"dimension is larger than the {max_bytes} bytes that may be broadcast: "), size.scalar().cast("string"))
+    fits = F.when(size.scalar() > max_bytes, F.raise_error(message).cast("boolean")).otherwise(F.lit(True))
+    return F.broadcast(df.filter(fits))
+
+
+def hot_keys(facts: DataFrame, key: str) -> DataFrame:
+    """Keys with more rows than an even share of a shuffle partition (column ``key``).
+
+    There are fewer of them than shuffle partitions, whatever the data: each
+    holds more than that share of all rows.  One row per key and task is
+    shuffled, and nothing is collected.
+    """
+    parts = int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    share = facts.agg((F.count(F.lit(1)) / parts).alias("share"))
+    known = facts.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
+    return known.filter(F.col("_rows") > share.scalar()).select(key)
+
+
+def spread_join(facts: DataFrame, dim: DataFrame, key: str, how: str = "inner") -> DataFrame:
+    """Join facts to a dimension on ``key`` without gathering a hot key in one task.
+
+    Rows of hot keys stay where they are and meet the few dimension rows of
+    those keys by broadcast (bounded: see :func:`hot_keys`; a dimension has one
+    row per key); the others are joined by shuffle.  A left join keeps rows
+    with a NULL key in place too.  No session setting is relied on.
+    """
+    if how not in ("inner", "left"):
+        raise ValueError(f"spread join does not support {how!r}")
+    hot = hot_keys(facts, key)
+    marked = facts.join(F.broadcast(hot.withColumn("_hot", F.lit(True))), key, "left")
+    stays: Column = F.col("_hot").isNotNull()
+    if how == "left":
+        stays = stays | F.col(key).isNull()
+    few = F.broadcast(dim.join(F.broadcast(hot), key, "left_semi"))
+    here = marked.filter(stays).drop("_hot").join(few, key, how)
+    moved = marked.filter(~stays).drop("_hot").join(dim, key, how)
+    return moved.unionByName(here)
 
 
 def duplicate_keys(df: DataFrame, *keys: str) -> DataFrame:
@@ -34,52 +69,3 @@ def assert_unique(df: DataFrame, *keys: str) -> None:
     dups = duplicate_keys(df, *keys).limit(5).collect()
     if dups:
         raise ValueError(f"duplicate key {keys}: " + ", ".join(str(tuple(r)) for r in dups))
-
-
-def hot_keys(df: DataFrame, key: str, min_rows: int, max_keys: int = 100) -> list:
-    """Keys with at least ``min_rows`` rows (at most ``max_keys`` of them, collected).
-
-    One aggregate over the key column; partial aggregation keeps the shuffle at
-    one row per key and task.
-    """
-    rows = (
-        df.groupBy(key).count().filter(F.col("count") >= min_rows)
-        .orderBy(F.col("count").desc()).limit(max_keys).collect()
-    )
-    return [r[key] for r in rows]
-
-
-def salted_join(
-    left: DataFrame,
-    right: DataFrame,
-    key: str,
-    how: str = "inner",
-    buckets: int = 16,
-    keys: list | None = None,
-    min_rows: int = 1_000_000,
-    salt_by: tuple[str, ...] = (),
-) -> DataFrame:
-    """Equi-join that splits hot keys of ``left`` over ``buckets`` tasks.
-
-    Rows of ``left`` with a hot key get a salt from a hash of the whole row
-    (deterministic, so task retries see the same split; ``salt_by`` names
-    columns that tell rows apart, e.g. an order id, to hash fewer bytes); the
-    matching ``right``
-    rows are replicated once per salt.  Other keys keep salt 0 and are not
-    replicated.  ``keys`` are the hot keys, or they are found with
-    :func:`hot_keys` (keys holding at least ``min_rows`` rows).  Only join
-    types that keep ``right`` rows once per match are allowed.
-    """
-    if how not in ("inner", "left", "left_outer", "left_semi", "left_anti"):
-        raise ValueError(f"salted join does not support {how!r}")
-    if keys is None:
-        keys = hot_keys(left, key, min_rows)
-    if not keys:
-        return left.join(right, on=key, how=how)
-    is_hot = F.col(key).isin(keys)
-    hashed = [F.col(c) for c in (salt_by or left.columns)]
-    salt = F.when(is_hot, F.pmod(F.xxhash64(*hashed), F.lit(buckets))).otherwise(F.lit(0))
-    salted_left = left.withColumn("_salt", salt.cast("int"))
-    spread = F.when(is_hot, F.sequence(F.lit(0), F.lit(buckets - 1))).otherwise(F.array(F.lit(0)))
-    salted_right = right.withColumn("_salt", F.explode(spread))
-    return salted_left.join(salted_right, on=[key, "_salt"], how=how).drop("_salt")

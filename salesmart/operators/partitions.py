@@ -61,8 +61,8 @@ def merged(df: DataFrame, n: int | None = None) -> DataFrame:
 def keyed(df: DataFrame, n: int | None, *keys: str) -> DataFrame:
     """Hash-partition on ``keys`` so all rows of a key share one partition.
 
-    A hot key puts all its rows in one task; for totals use
-    :func:`keyed_totals`, which pre-aggregates before the keyed shuffle.
+    A hot key puts all its rows in one task: use it where a task must see all
+    rows of a key; totals need no repartition, since aggregates combine first.
     """
     return df.repartition(n, *keys) if n else df.repartition(*keys)
 
@@ -80,50 +80,23 @@ def key_locality(df: DataFrame, key: str) -> DataFrame:
     )
 
 
-def keyed_totals(orders: DataFrame, n: int | None = None, key: str = "product_id") -> DataFrame:
-    """R4 for totals: partial totals per input slice and key, then a keyed shuffle.
-
-    Each key's partial rows (at most one per input partition) land in one
-    partition, so every key is still owned by exactly one partition, but a key
-    holding a third of all rows moves only its partial rows, not its orders.
-    """
-    partial = orders.groupBy(F.spark_partition_id().alias("_slice"), key).agg(
-        F.count(F.lit(1)).alias("_n"), F.sum("amount").alias("_s")
-    )
-    owned = keyed(partial, n, key).withColumn("_partition", F.spark_partition_id())
-    return owned.groupBy(key).agg(
-        F.size(F.collect_set("_partition")).alias("partition_count"),
-        F.sum("_n").alias("order_count"),
-        F.sum("_s").alias("revenue"),
-    )
+def rows_over_partitions(df: DataFrame) -> DataFrame:
+    """R1, whatever the layout: all rows of the partitions, and the largest less the mean is not below 0."""
+    sizes = partition_sizes(df)
+    return sizes.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("total_rows"), (F.max("rows") >= F.avg("rows")).alias("max_at_least_mean"))
 
 
 def benchmark_sales(orders: DataFrame) -> DataFrame:
     """A10: count and revenue per product plus one grand-total row (``is_total`` = 1).
 
-    The totals come from a ROLLUP in the same job instead of a loop over the
-    collected rows on the driver.
+    The total is rolled up from the rows per product, so only those are
+    expanded, not the orders.
     """
-    return orders.rollup("product_id").agg(
+    per_product = orders.groupBy("product_id").agg(F.count(F.lit(1)).alias("n"), F.sum("amount").alias("s"))
+    return per_product.rollup("product_id").agg(
         F.grouping("product_id").cast("int").alias("is_total"),
-        F.count(F.lit(1)).alias("order_count"),
-        F.sum("amount").alias("revenue"),
-    )
-
-
-def partial_final_sales(orders: DataFrame) -> DataFrame:
-    """Explicit partial (per input slice and key) then final aggregate.
-
-    Spark's HashAggregate already does partial/final by itself; this spells the
-    two phases out with the physical partition as the slice.
-    """
-    partial = orders.groupBy(F.spark_partition_id().alias("slice"), "product_id").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("amount").alias("s")
-    )
-    return (
-        partial.groupBy("product_id")
-        .agg(F.sum("n").alias("order_count"), F.sum("s").alias("revenue"))
-        .withColumn("average_order_amount", F.col("revenue") / F.col("order_count"))
+        F.sum("n").alias("order_count"),
+        F.sum("s").alias("revenue"),
     )
 
 

@@ -4,9 +4,9 @@ Zones under ``data_dir``::
 
     raw/orders.csv, raw/products.jsonl, raw/access.log
     lake/bronze/orders    parquet, raw schema (overwrite)
-    lake/silver/orders    versioned table, refined schema (overwrite)
+    lake/silver/orders    parquet, refined schema (overwrite)
     marts/<section>       parquet mart tables
-    marts/dashboard.json  the document (one text part)
+    document/<section>    every section as sorted JSON lines, document/summary the head
 
 Every mart reads the silver *re-read*, which also cuts the lineage back to
 the CSV scan.
@@ -15,16 +15,15 @@ the CSV scan.
 from __future__ import annotations
 
 import datetime as _dt
-from zoneinfo import ZoneInfo
 from time import perf_counter
+from zoneinfo import ZoneInfo
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from salesmart.functions.logs import parse_requests
 from salesmart.functions.refine import refine_orders
-from salesmart.operators import joins, marts
-from salesmart.operators.versioned import VersionedTable, open_table
+from salesmart.operators import joins, marts, tables
 from salesmart.plans import dashboard
 from salesmart.sources import files
 
@@ -36,7 +35,7 @@ class Zones:
         self.bronze = f"{d}/lake/bronze/orders"
         self.silver = f"{d}/lake/silver/orders"
         self.marts = f"{d}/marts"
-        self.document = f"{d}/marts/dashboard.json"
+        self.document = f"{d}/document"
 
 
 # Silver is sorted by (order_date, order_id) within each file, so parquet
@@ -52,21 +51,21 @@ def load_silver(
     strict: bool = False,
     partition_by: tuple[str, ...] = (),
     rejects: Observation | None = None,
-) -> VersionedTable:
-    """S1 -> K1 -> S4 -> refine -> K2: write bronze and a new silver version.
+) -> DataFrame:
+    """S1 -> K1 -> S4 -> refine -> K2: write bronze and silver, and read silver.
 
     ``rejects`` (an Observation) receives ``rejected_orders``, the rows whose
     ``ordered_at`` text could not be parsed, counted during the silver write.
     """
     raw = files.read_orders_csv(spark, f"{zones.raw}/orders.csv")
-    raw.write.mode("overwrite").parquet(zones.bronze)
+    tables.overwrite(raw, zones.bronze)
     bronze = files.read_bronze(spark, zones.bronze)
     if rejects is not None:
         bad = F.col("ordered_at").isNotNull() & F.try_to_timestamp("ordered_at").isNull()
         bronze = bronze.observe(rejects, F.count_if(bad).alias("rejected_orders"))
-    silver = open_table(spark, zones.silver, partition_by=partition_by, cluster_by=SILVER_CLUSTER_BY)
-    silver.overwrite(refine_orders(bronze, strict=strict))
-    return silver
+    refined = refine_orders(bronze, strict=strict)
+    tables.overwrite(refined.sortWithinPartitions(*SILVER_CLUSTER_BY), zones.silver, partition_by)
+    return spark.read.schema(refined.schema).parquet(zones.silver)
 
 
 def build_marts(orders: DataFrame, products: DataFrame, requests: DataFrame, totals: DataFrame | None = None) -> dict[str, DataFrame]:
@@ -96,11 +95,10 @@ def run(
     data_dir: str,
     generated_at: str | None = None,
     strict: bool = False,
-    row_limit: int = dashboard.DEFAULT_ROW_LIMIT,
     unique_products: bool = False,
     partition_by: tuple[str, ...] = (),
 ) -> dict:
-    """Run the whole batch and return the dashboard document.
+    """Run the whole batch and return the head of the dashboard document.
 
     ``unique_products`` fails the run when a product id repeats (it would fan
     out orders in the joins); off by default, as in the reference.
@@ -108,29 +106,30 @@ def run(
     started = perf_counter()
     zones = Zones(data_dir)
     rejects = Observation("rejected_orders")
-    silver = load_silver(spark, zones, strict, partition_by, rejects)
-    orders = silver.read()
+    orders = load_silver(spark, zones, strict, partition_by, rejects)
     products = files.read_products_jsonl(spark, f"{zones.raw}/products.jsonl")
     if unique_products:
         joins.assert_unique(products, "product_id")
     requests = parse_requests(files.read_access_log(spark, f"{zones.raw}/access.log"), strict=strict)
-    # One scan of silver for every product / day / hour total; the small result
-    # is written so the marts below do not re-scan the facts.
-    marts.fact_totals(orders).write.mode("overwrite").parquet(f"{zones.marts}/_fact_totals")
-    totals = spark.read.parquet(f"{zones.marts}/_fact_totals")
+    # One scan of silver for every product / day / hour total; each grouping
+    # set is a folder of its own, so a mart reads its totals only.
+    marts.fact_totals(orders).write.mode("overwrite").partitionBy("gid").parquet(f"{zones.marts}/fact_totals")
+    totals = spark.read.parquet(f"{zones.marts}/fact_totals")
     for name, df in build_marts(orders, products, requests, totals).items():
-        df.write.mode("overwrite").parquet(f"{zones.marts}/{name}")
+        tables.overwrite(df, f"{zones.marts}/{name}")
     if generated_at is None:
         zone = ZoneInfo(spark.conf.get("spark.sql.session.timeZone"))
         generated_at = _dt.datetime.now(zone).isoformat(timespec="seconds")
-    order_count = totals.filter(F.col("gid") == marts.BY_DAY_ID).agg(F.sum("order_count")).first()[0] or 0
-    doc = dashboard.document(spark, zones.marts, order_count, generated_at, row_limit)
+    by_day = totals.filter(F.col("gid") == marts.BY_DAY_ID)
+    head = {"generated_at": generated_at, "order_count": by_day.agg(F.sum("order_count")).first()[0] or 0}
     # Tolerant parsing turns bad input into NULL; report how much was turned.
     # Orders: counted while silver was written.  Log lines: the NULL-day
     # group of the page-view mart already counts them.
-    doc["rejected_orders"] = int(rejects.get["rejected_orders"])
+    head["rejected_orders"] = int(rejects.get["rejected_orders"])
     null_day = spark.read.parquet(f"{zones.marts}/page_views").filter(F.col("visit_date").isNull())
-    doc["rejected_log_lines"] = null_day.agg(F.coalesce(F.sum("page_views"), F.lit(0))).first()[0]
-    doc["pipeline_seconds"] = round(perf_counter() - started, 3)
-    dashboard.write_document(spark, doc, zones.document)
-    return doc
+    head["rejected_log_lines"] = null_day.agg(F.coalesce(F.sum("page_views"), F.lit(0))).first()[0]
+    dashboard.write_sections(spark, zones.marts, zones.document)
+    head |= dashboard.bounded_sections(spark, zones.document)
+    head["pipeline_seconds"] = round(perf_counter() - started, 3)
+    dashboard.write_summary(spark, head, zones.document)
+    return head

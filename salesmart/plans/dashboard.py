@@ -1,8 +1,10 @@
-"""The dashboard document, built from written mart tables.
+"""The dashboard document, written by Spark from the mart tables.
 
-The document inlines a mart only when its row count is within ``row_limit``
-(checked with a Spark count first); a larger mart is referenced by path and
-row count instead, so no unbounded table is ever collected to the driver.
+The document is a folder of one shape at every size: ``<section>`` holds all
+rows of a section as JSON lines in the section's order (part files follow each
+other), and ``summary`` is one JSON object with the counts, the run time and
+the sections that are bounded by construction: the preview (ten rows) and the
+hours (25).  No other section passes through the driver.
 """
 
 from __future__ import annotations
@@ -10,7 +12,7 @@ from __future__ import annotations
 import json
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Section name -> sort order used in the document ("-" means descending).
@@ -23,7 +25,8 @@ SECTION_ORDER = {
     "by_hour": ["order_hour"],
 }
 
-DEFAULT_ROW_LIMIT = 10_000
+#: Sections that cannot grow with the data: ten orders, and 24 hours and none.
+BOUNDED = ("preview", "by_hour")
 
 
 def section_sizes(order_count: DataFrame, marts: dict[str, DataFrame]) -> DataFrame:
@@ -34,52 +37,46 @@ def section_sizes(order_count: DataFrame, marts: dict[str, DataFrame]) -> DataFr
     return reduce(DataFrame.unionByName, parts)
 
 
-def _sort_key(spec: str):
+def _sort_key(spec: str) -> Column:
     return F.col(spec[1:]).desc() if spec.startswith("-") else F.col(spec).asc()
 
 
-def document(
-    spark: SparkSession,
-    marts_dir: str,
-    order_count: int,
-    generated_at: str,
-    row_limit: int = DEFAULT_ROW_LIMIT,
-) -> dict:
-    """Assemble the document from the mart tables written under ``marts_dir``.
-
-    One job fetches at most ``row_limit + 1`` sorted rows of every section (a
-    top-k per section, as JSON text); that both checks each size and returns
-    the rows of the sections small enough to inline.  Each top-k yields one
-    ordered partition and the union keeps section order, so the collected
-    rows come back in document order.
-    """
-    parts = []
+def write_sections(spark: SparkSession, marts_dir: str, document: str) -> None:
+    """Every section whole, sorted by Spark, as JSON lines; NULL fields are written."""
     for name, order in SECTION_ORDER.items():
         table = spark.read.parquet(f"{marts_dir}/{name}")
-        head = table.orderBy(*[_sort_key(c) for c in order]).limit(row_limit + 1)
-        row = F.to_json(F.struct(*table.columns), {"ignoreNullFields": "false"})
-        parts.append(head.select(F.lit(name).alias("section"), row.alias("row")))
-    fetched: dict[str, list] = {name: [] for name in SECTION_ORDER}
-    for r in reduce(DataFrame.unionByName, parts).collect():
-        fetched[r.section].append(json.loads(r.row))
-    doc: dict = {"generated_at": generated_at, "order_count": order_count}
-    for name, rows in fetched.items():
-        if len(rows) <= row_limit:
-            doc[name] = rows
-        else:
-            doc[name] = {"path": f"{marts_dir}/{name}", "rows": spark.read.parquet(f"{marts_dir}/{name}").count()}
-    return doc
-
-
-def write_document(spark: SparkSession, doc: dict, path: str) -> None:
-    """Write the document as UTF-8 JSON (indent 2) in a single text part."""
-    text = json.dumps(doc, ensure_ascii=False, indent=2)
-    spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(path)
-
-
-def read_document(spark: SparkSession, path: str) -> dict:
-    lines = spark.read.text(path, wholetext=True).collect()
-    return json.loads(lines[0].value)
+        rows = table.orderBy(*[_sort_key(c) for c in order])
+        rows.select(F.to_json(F.struct(*table.columns), {"ignoreNullFields": "false"}).alias("value")).write.mode("overwrite").text(f"{document}/{name}")
+
+
+def read_section(spark: SparkSession, document: str, name: str, schema: str) -> DataFrame:
+    """A written section, typed by the given schema."""
+    return spark.read.schema(schema).json(f"{document}/{name}")
+
+
+def bounded_sections(spark: SparkSession, document: str) -> dict[str, list]:
+    """The rows of the bounded sections, in order."""
+    out = {}
+    for name in BOUNDED:
+        rows = [json.loads(r.value) for r in spark.read.text(f"{document}/{name}").collect()]
+        spec = SECTION_ORDER[name][0]
+        key = spec.lstrip("-")
+        out[name] = sorted(rows, key=lambda r: (r[key] is not None, r[key] or 0), reverse=spec.startswith("-"))
+    return out
+
+
+def write_summary(spark: SparkSession, head: dict, document: str) -> None:
+    """The head as one UTF-8 JSON object (indent 2) in a single text part."""
+    text = json.dumps(head, ensure_ascii=False, indent=2)
+    spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(f"{document}/summary")
+
+
+def read_summary(spark: SparkSession, document: str) -> dict | None:
+    """The written head; None before the first batch."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{document}/summary")
+    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+        return None
+    return json.loads(spark.read.text(f"{document}/summary", wholetext=True).first().value)
 
 
 def empty_document(generated_at: str = "not yet aggregated") -> dict:

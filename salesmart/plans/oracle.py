@@ -35,6 +35,11 @@ TIMED = """timed AS (
          CAST(ROUND(value * 100) AS BIGINT) AS amount, CAST(ts AS DATE) AS order_date
   FROM events)"""
 
+SPARSE = """sparse AS (
+  SELECT p_partkey AS product_id, CASE WHEN p_partkey % 7 = 0 THEN '' ELSE p_name END AS name,
+         CASE WHEN p_partkey % 10 = 0 THEN NULL WHEN p_partkey % 10 = 1 THEN '' ELSE p_type END AS category
+  FROM part)"""
+
 REQUESTS = """reqs AS (
   SELECT ts AS requested_at,
          CASE WHEN event_type IN ('purchase', 'signup') THEN 'POST' ELSE 'GET' END AS method,
@@ -118,8 +123,10 @@ FROM lines GROUP BY order_date""",
     "q_total_sales": with_(LINES) + "SELECT CAST(SUM(amount) AS BIGINT) AS total_revenue FROM lines",
     "q_order_count": with_(LINES) + "SELECT COUNT(*) AS order_count FROM lines",
     "q_parsed_requests": with_(REQUESTS) + f"""
-SELECT strftime(requested_at, {SECONDS}) AS requested_at, method, path, status, duration_ms,
-       strftime(requested_at, '%Y-%m-%d') AS visit_date
+SELECT CASE WHEN duration_ms NOT IN (3, 5) THEN strftime(requested_at, {SECONDS}) END AS requested_at,
+       CASE WHEN duration_ms = 3 THEN '' ELSE method END AS method, CASE WHEN duration_ms = 3 THEN '' ELSE path END AS path,
+       CASE WHEN duration_ms <> 3 THEN status END AS status, CASE WHEN duration_ms <> 3 THEN duration_ms END AS duration_ms,
+       CASE WHEN duration_ms NOT IN (3, 5) THEN strftime(requested_at, '%Y-%m-%d') END AS visit_date
 FROM reqs""",
     "q_log_roundtrip": with_(REQUESTS) + """
 SELECT strftime(requested_at, '%Y-%m-%dT%H:%M:%S') || '+09:00 ' || method || ' ' || path || ' '
@@ -140,14 +147,14 @@ SELECT COALESCE(c.product_id, t.product_id) AS product_id, c.name, c.category,
        COALESCE(t.sold_quantity, 0) AS sold_quantity,
        CASE WHEN COALESCE(t.order_count, 0) > 0 THEN t.revenue / t.order_count END AS average_order_amount
 FROM custs c FULL JOIN totals t ON c.product_id = t.product_id""",
-    "q_hour_labels": with_(TIMED, HOURLY) + """
+    "q_hour_labels": with_(TIMED.replace("ts AS ordered_at", "CASE WHEN event_id % 9 <> 0 THEN ts END AS ordered_at"), HOURLY) + """
 SELECT *, CASE WHEN order_hour IS NULL THEN '시간 정보 없음'
                ELSE printf('%02d:00–%02d:59', order_hour, order_hour) END AS hour_label
 FROM by_hour""",
-    "q_category_labels": with_(LINES, PRODUCTS, BY_CATEGORY) + """
+    "q_category_labels": with_(LINES, SPARSE, BY_CATEGORY.replace("JOIN products p", "JOIN sparse p")) + """
 SELECT *, CASE WHEN category IS NULL OR category = '' THEN '미분류' ELSE category END AS category_label
 FROM by_category""",
-    "q_display_names": with_(TIMED, PRODUCTS, DASH_PRODUCTS) + """
+    "q_display_names": with_(TIMED, SPARSE, DASH_PRODUCTS.replace("JOIN products p", "JOIN sparse p").replace("FROM products p", "FROM sparse p")) + """
 SELECT product_id,
        COALESCE(NULLIF(product_name, ''), NULLIF(name, ''), CAST(product_id AS VARCHAR)) AS display_name,
        order_count,
@@ -155,10 +162,10 @@ SELECT product_id,
 FROM dash""",
     "q_menu_kind": with_(PRODUCTS) + """
 SELECT product_id, name, category,
-       CASE WHEN contains(name, '주스') OR contains(name, '쥬스') THEN 'juice'
-            WHEN contains(name, '케이크') OR contains(name, '케익') THEN 'cake'
-            WHEN category = '식품' THEN 'bakery'
-            WHEN category = '음료' THEN 'drink'
+       CASE WHEN contains(name, 'blue') OR contains(name, 'red') THEN 'juice'
+            WHEN contains(name, 'ring') OR contains(name, 'gear') THEN 'cake'
+            WHEN category = 'PROMO' THEN 'bakery'
+            WHEN category = 'SMALL' THEN 'drink'
             ELSE 'other' END AS menu_kind
 FROM products""",
     "q_sample_orders": with_(ORDERS) + f"""
@@ -168,14 +175,14 @@ FROM {SAMPLE}""",
     "q_orders_on_day": with_(ORDERS) + f"""
 SELECT order_id, product_id, quantity, unit_price, strftime(ordered_at, {SECONDS}) AS ordered_at,
        amount, CAST(order_date AS VARCHAR) AS order_date
-FROM ords WHERE order_date = (SELECT MIN(order_date) FROM ords)""",
+FROM ords WHERE order_date = DATE '1995-06-01'""",
     "q_point_lookup": with_(ORDERS) + "SELECT order_id, quantity, amount FROM ords WHERE order_id = 1",
     "q_sample_sales_by_day": with_(ORDERS) + f"""
 SELECT CAST(order_date AS VARCHAR) AS order_date, CAST(SUM(amount) AS BIGINT) AS revenue
-FROM {SAMPLE} GROUP BY order_date""",
+FROM ords GROUP BY order_date""",
     "q_sample_sales_by_product": with_(ORDERS, CUSTOMERS) + f"""
 SELECT s.product_id, c.name AS product_name, COUNT(*) AS order_count, CAST(SUM(s.amount) AS BIGINT) AS revenue
-FROM {SAMPLE} s JOIN custs c ON s.product_id = c.product_id
+FROM ords s JOIN custs c ON s.product_id = c.product_id
 GROUP BY s.product_id, c.name""",
 }
 
@@ -224,7 +231,7 @@ RECENT = """recent AS (
   SELECT o.product_id, o.order_id, o.quantity, o.unit_price, o.ordered_at, o.amount, o.order_date,
          c.name, c.category
   FROM (SELECT * FROM ords ORDER BY order_id DESC LIMIT 50) o JOIN custs c ON o.product_id = c.product_id)"""
-RECENT_COLS = f"""product_id, order_id, quantity, unit_price, strftime(ordered_at, {SECONDS}) AS ordered_at,
+RECENT_COLS = f"""CAST(row_number() OVER (ORDER BY order_id DESC) AS INTEGER) AS position, product_id, order_id, quantity, unit_price, strftime(ordered_at, {SECONDS}) AS ordered_at,
        amount, CAST(order_date AS VARCHAR) AS order_date, name, category"""
 
 ISO = "strftime(ordered_at, '%Y-%m-%dT%H:%M:%S') || '+09:00'"
@@ -235,37 +242,20 @@ SELECT product_id, CAST(GROUPING(product_id) AS INTEGER) AS is_total, COUNT(*) A
        CAST(SUM(amount) AS BIGINT) AS revenue
 FROM lines GROUP BY ROLLUP (product_id)""",
     "q_map_reduce_sales": KEY_SUMMARY,
-    "q_partial_final_sales": KEY_SUMMARY,
+    "q_partition_sizes": "SELECT COUNT(*) AS total_rows, true AS max_at_least_mean FROM lineitem",
     "q_repartition_sales": REVENUE_BY_PRODUCT,
     "q_coalesce_sales": REVENUE_BY_PRODUCT,
     "q_keyed_partition_sales": with_(LINES) + """
 SELECT product_id, CAST(1 AS INTEGER) AS partition_count, COUNT(*) AS order_count,
        CAST(SUM(amount) AS BIGINT) AS revenue
 FROM lines GROUP BY product_id""",
-    "q_synthetic_sales": """
-WITH g AS (SELECT row_number() OVER () - 1 AS i FROM lineitem),
-o AS (SELECT printf('P%03d', i % 100) AS product_id, CAST(i % 5 + 1 AS INTEGER) AS quantity,
-             CAST((i % 10 + 1) * 100 AS BIGINT) AS unit_price FROM g),
-p AS (SELECT printf('P%03d', i) AS product_id, printf('분류 %d', i % 5) AS category FROM range(100) t(i))
-SELECT p.category, COUNT(*) AS order_count, CAST(SUM(o.quantity * o.unit_price) AS BIGINT) AS revenue
-FROM o JOIN p ON o.product_id = p.product_id GROUP BY p.category""",
-    "q_versioned_overwrite": with_(ORDERS) + f"SELECT {ORDER_COLS} FROM ords WHERE order_date < {SPLIT}",
+    "q_versioned_overwrite": with_(ORDERS) + f"SELECT {ORDER_COLS} FROM ords",
     "q_versioned_append": with_(ORDERS) + f"SELECT {ORDER_COLS} FROM ords",
     "q_versioned_current": with_(ORDERS, UPDATED) + f"SELECT {ORDER_COLS} FROM upd",
     "q_versioned_update_sales": with_(ORDERS, UPDATED) + """
 SELECT product_id, CAST(SUM(amount) AS BIGINT) AS revenue FROM upd GROUP BY product_id""",
     "q_versioned_update": with_(ORDERS) + """
-SELECT CAST(2 AS BIGINT) AS version, 'UPDATE' AS operation,
-       (SELECT COUNT(*) FROM ords WHERE order_id = 1) AS num_updated_rows,
-       CAST(1 AS BIGINT) AS num_removed_files""",
-    "q_version_history": with_(ORDERS) + f"""
-SELECT CAST(0 AS BIGINT) AS version, 'WRITE' AS operation, '{{"mode":"Overwrite"}}' AS operation_parameters,
-       (SELECT COUNT(*) FROM ords WHERE order_date < {SPLIT}) AS num_written_rows,
-       CAST(NULL AS BIGINT) AS num_updated_rows, CAST(0 AS BIGINT) AS num_removed_files
-UNION ALL
-SELECT 1, 'WRITE', '{{"mode":"Append"}}', (SELECT COUNT(*) FROM ords WHERE order_date >= {SPLIT}), NULL, 0
-UNION ALL
-SELECT 2, 'UPDATE', '{{"predicate":"order_id = 1"}}', NULL, (SELECT COUNT(*) FROM ords WHERE order_id = 1), 1""",
+SELECT COUNT(*) AS num_rows, COUNT(*) FILTER (WHERE order_id = 1) AS num_updated_rows FROM ords""",
     "q_validate_orders": with_(REQS) + """
 SELECT request_id, product_id, quantity, quantity_value, accepted, reason FROM validated""",
     "q_price_snapshot": with_(REQS) + """
@@ -278,19 +268,22 @@ SELECT COUNT(*) AS order_rows, CAST(SUM(quantity) AS BIGINT) AS quantity_total,
        CAST(SUM(amount) AS BIGINT) AS amount_total
 FROM recent""",
     "q_received_order": with_(ORDERS, CUSTOMERS, RECENT) + f"""
-SELECT {RECENT_COLS} FROM recent WHERE order_id = (SELECT MAX(order_id) FROM ords) - 6""",
+SELECT * FROM (SELECT {RECENT_COLS} FROM recent)
+WHERE order_id = (SELECT order_id FROM ords ORDER BY order_id DESC LIMIT 1 OFFSET 6)""",
     "q_order_search": with_(ORDERS, CUSTOMERS) + """
 SELECT o.order_id, o.product_id, c.name, o.quantity, o.amount
 FROM ords o JOIN custs c ON o.product_id = c.product_id
 WHERE contains(lower(printf('%04d', o.order_id) || ' ' || CAST(o.order_id AS VARCHAR) || ' ' || c.name), '12')""",
     "q_menu_by_category": with_(PRODUCTS) + """
-SELECT product_id, name, category, unit_price FROM products WHERE category = 'ECONOMY'""",
-    "q_menu_categories": with_(PRODUCTS) + """
-SELECT category, MIN(product_id) AS first_product_id FROM products
-WHERE category IS NOT NULL AND category <> '' GROUP BY category""",
+SELECT product_id, name, category, unit_price, row_number() OVER (ORDER BY product_id) AS rank
+FROM products WHERE category = 'ECONOMY'""",
+    "q_menu_categories": with_(SPARSE) + """
+SELECT category, MIN(product_id) AS first_product_id, row_number() OVER (ORDER BY MIN(product_id), category) AS rank
+FROM sparse WHERE category IS NOT NULL AND category <> '' GROUP BY category""",
     "q_export_orders": with_(ORDERS) + f"""
 SELECT order_id, product_id, quantity, unit_price, {ISO} AS ordered_at FROM ords""",
-    "q_export_products": with_(PRODUCTS) + "SELECT product_id, name, category FROM products",
+    "q_export_products": with_(PRODUCTS) + """
+SELECT product_id, name, category, row_number() OVER (ORDER BY product_id) AS rank FROM products""",
     "q_order_events": with_(ORDERS) + f"""
 SELECT order_id, to_json({{'event_type': 'order.created', 'order_id': order_id, 'product_id': product_id,
        'quantity': quantity, 'unit_price': unit_price, 'amount': amount, 'ordered_at': {ISO}}})::VARCHAR AS event
@@ -333,3 +326,21 @@ FROM products p LEFT JOIN bp ON p.product_id = bp.product_id""",
 SELECT (SELECT COUNT(*) FROM ords WHERE order_date < {SPLIT}) AS before_count,
        (SELECT COUNT(*) FROM ords) AS after_count""",
 })
+
+SQL["q_csv_benchmark_sales"] = SQL["q_benchmark_sales"].replace("SELECT product_id,", "SELECT CAST(product_id AS VARCHAR) AS product_id,")
+SQL["q_order_event_by_id"] = SQL["q_order_events"] + " WHERE order_id IN (1, -1)"
+SQL["q_refresh_products"] = with_(ORDERS, CUSTOMERS) + """
+SELECT CAST(c.product_id AS VARCHAR) AS product_id, COUNT(o.order_id) AS order_count,
+       CAST(COALESCE(SUM(o.amount), 0) AS BIGINT) AS revenue, CAST(COALESCE(SUM(o.quantity), 0) AS BIGINT) AS sold_quantity
+FROM custs c LEFT JOIN ords o ON c.product_id = o.product_id GROUP BY c.product_id"""
+SQL["q_dashboard_rows"] = with_(LINES, PRODUCTS, BY_CATEGORY) + """,
+hours AS (SELECT CAST(hour(ordered_at) AS VARCHAR) AS key, COUNT(*) AS order_count, CAST(SUM(amount) AS BIGINT) AS revenue FROM lines GROUP BY 1)
+SELECT 'by_product' AS section, CAST(p.product_id AS VARCHAR) AS key, COUNT(l.order_id) AS order_count,
+       CAST(COALESCE(SUM(l.amount), 0) AS BIGINT) AS revenue, CAST(COALESCE(SUM(l.quantity), 0) AS BIGINT) AS sold_quantity,
+       CAST(NULL AS BIGINT) AS page_views, CAST(NULL AS DOUBLE) AS revenue_share_pct, CAST(NULL AS BIGINT) AS amount
+FROM products p LEFT JOIN lines l ON p.product_id = l.product_id GROUP BY p.product_id
+UNION ALL SELECT 'by_day', CAST(order_date AS VARCHAR), COUNT(*), CAST(SUM(amount) AS BIGINT), NULL, NULL, NULL, NULL FROM lines GROUP BY order_date
+UNION ALL SELECT 'page_views', strftime(ts, '%Y-%m-%d'), NULL, NULL, NULL, COUNT(*), NULL, NULL FROM events GROUP BY 2
+UNION ALL SELECT 'by_category', category, order_count, revenue, NULL, NULL, NULL, NULL FROM by_category
+UNION ALL SELECT 'by_hour', key, order_count, revenue, NULL, NULL,
+  """ + half_up("revenue / (SELECT CAST(SUM(revenue) AS BIGINT) FROM hours) * 100") + """, NULL FROM hours"""

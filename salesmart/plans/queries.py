@@ -7,7 +7,6 @@ rendered as text so results do not depend on a client's time zone.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,13 +15,12 @@ from pyspark.sql import functions as F
 from salesmart.functions import labels
 from salesmart.functions.logs import parse_requests
 from salesmart.functions.refine import refine_orders
-from salesmart.operators import exports, intake, joins, marts, partitions
-from salesmart.operators.versioned import VersionedTable
+from salesmart.operators import exports, intake, marts, partitions, tables
+from salesmart.operators.ranking import with_rank
 from salesmart.plans import batch, dashboard, refresh
-from salesmart.session import DEFAULT_ZONE, work_dir
-from salesmart.sources import files, synth
+from salesmart.session import DEFAULT_ZONE, materialize, scratch_path
+from salesmart.sources import files
 from salesmart.sources import testdata as td
-from salesmart.streaming import order_events
 
 SECONDS = "yyyy-MM-dd HH:mm:ss"
 DAY = "yyyy-MM-dd"
@@ -32,6 +30,8 @@ DAY = "yyyy-MM-dd"
 # half of the id range, so it grows with the table.  The category stands in
 # for the reference's food category.
 POINT_ORDER_ID = 1
+ABSENT_ORDER_ID = -1
+DEMO_DAY = "1995-06-01"
 DEMO_CATEGORY = "ECONOMY"
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,10 +39,20 @@ REGISTRY: dict[str, Query] = {}
 
 
 def query(fn: Query) -> Query:
-    """Register ``fn`` under its own name; the session zone is the engine's zone."""
+    """Register ``fn`` under its own name.
+
+    Days and hours are those of the engine's zone.  A caller's session with
+    another zone is left as it is: the query then runs in a session of its own
+    on the same application.
+    """
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        spark.conf.set("spark.sql.session.timeZone", DEFAULT_ZONE)
+        if spark.conf.get("spark.sql.session.timeZone") != DEFAULT_ZONE:
+            own = spark.newSession()
+            for key in ("spark.sql.shuffle.partitions", "spark.sql.ansi.enabled"):
+                own.conf.set(key, spark.conf.get(key))
+            own.conf.set("spark.sql.session.timeZone", DEFAULT_ZONE)
+            spark = own
         return fn(spark, sf_dir)
 
     run.__name__ = fn.__name__
@@ -85,15 +95,13 @@ def q_sales_by_product(spark, sf_dir):
 
 @query
 def q_broadcast_join_sales(spark, sf_dir):
-    """The product mart with the product side broadcast after a size check.
+    """The product mart with the product side broadcast; fails if that side is too large.
 
     Facts are aggregated per product first, so the hinted join sees one row
-    per product; beyond the size bound the join is left to Catalyst / AQE.
+    per product.
     """
-    products = td.products(spark, sf_dir)
-    _, small = joins.broadcast_if_small(products)
     totals = marts.product_totals(td.order_lines(spark, sf_dir))
-    return marts.sales_by_product_from_totals(totals, products, broadcast_products=small)
+    return marts.sales_by_product_from_totals(totals, td.products(spark, sf_dir), broadcast_products=True)
 
 
 @query
@@ -136,8 +144,8 @@ def q_order_count(spark, sf_dir):
 
 @query
 def q_parsed_requests(spark, sf_dir):
-    """Every access-log line parsed to a typed request."""
-    parsed = parse_requests(td.access_log_lines(spark, sf_dir))
+    """Every access-log line parsed to a typed request; some lines are damaged."""
+    parsed = parse_requests(td.damaged_log_lines(spark, sf_dir))
     return as_text(parsed, requested_at=SECONDS)
 
 
@@ -177,23 +185,23 @@ def q_product_totals_full(spark, sf_dir):
 
 @query
 def q_hour_labels(spark, sf_dir):
-    """Hour-bucket label of the hourly mart."""
-    by_hour = marts.sales_by_hour(td.timed_orders(spark, sf_dir))
+    """Hour-bucket label of the hourly mart; some orders have no time."""
+    by_hour = marts.sales_by_hour(td.partly_timed_orders(spark, sf_dir))
     return by_hour.withColumn("hour_label", labels.hour_label("order_hour"))
 
 
 @query
 def q_category_labels(spark, sf_dir):
-    """Category label of the category mart."""
-    by_category = marts.sales_by_category(td.order_lines(spark, sf_dir), td.products(spark, sf_dir))
+    """Category label of the category mart; some products have a NULL or empty category."""
+    by_category = marts.sales_by_category(td.order_lines(spark, sf_dir), td.sparse_products(spark, sf_dir))
     return by_category.withColumn("category_label", labels.category_label("category"))
 
 
 @query
 def q_display_names(spark, sf_dir):
-    """Display name fallback and rounded average of the product mart."""
+    """Display name fallback and rounded average; some products have no name."""
     orders = td.timed_orders(spark, sf_dir)
-    products = td.products(spark, sf_dir)
+    products = td.sparse_products(spark, sf_dir)
     shown = marts.dashboard_products(products, marts.sales_by_product(orders, products))
     return shown.select(
         "product_id",
@@ -203,23 +211,26 @@ def q_display_names(spark, sf_dir):
     )
 
 
+#: Keywords of the menu rule on the test tables' names and categories.
+MENU_WORDS = {"juice_keywords": ("blue", "red"), "cake_keywords": ("ring", "gear"), "bakery_category": "PROMO", "drink_category": "SMALL"}
+
+
 @query
 def q_menu_kind(spark, sf_dir):
     """P25: menu kind from name keywords and category."""
     products = td.products(spark, sf_dir)
-    return products.select(
-        "product_id", "name", "category", labels.menu_kind("name", "category").alias("menu_kind")
-    )
+    kind = labels.menu_kind("name", "category", **MENU_WORDS)
+    return products.select("product_id", "name", "category", kind.alias("menu_kind"))
 
 
 # --- filters and samples --------------------------------------------------------
 
 
 def sample_orders(orders: DataFrame) -> DataFrame:
-    """Orders whose id is in the first half of the id range (a range filter
-    that reaches the parquet scan); the bound is one scalar aggregate."""
-    top = orders.agg(F.max("order_id")).first()[0]
-    return orders.filter(F.col("order_id") <= (top or 0) // 2)
+    """Orders whose id is in the first half of the id range (a range filter;
+    the bound is a scalar subquery)."""
+    half = orders.agg(F.expr("max(order_id) div 2").alias("half"))
+    return orders.filter(F.col("order_id") <= half.scalar())
 
 
 @query
@@ -230,10 +241,9 @@ def q_sample_orders(spark, sf_dir):
 
 @query
 def q_orders_on_day(spark, sf_dir):
-    """Orders of one date literal (the first order date, like the demo's first day)."""
+    """Orders of one date literal."""
     orders = td.orders(spark, sf_dir)
-    first_day = orders.agg(F.min("order_date")).first()[0]
-    day = orders.filter(F.col("order_date") == F.lit(str(first_day)).cast("date"))
+    day = orders.filter(F.col("order_date") == F.lit(DEMO_DAY).cast("date"))
     return as_text(day, ordered_at=SECONDS, order_date=DAY)
 
 
@@ -249,10 +259,9 @@ def q_point_lookup(spark, sf_dir):
 
 @query
 def q_sample_sales_by_day(spark, sf_dir):
-    """Daily revenue of the sampled orders."""
-    sample = sample_orders(td.orders(spark, sf_dir))
+    """Daily revenue."""
     return (
-        sample.groupBy("order_date")
+        td.orders(spark, sf_dir).groupBy("order_date")
         .agg(F.sum("amount").alias("revenue"))
         .withColumn("order_date", F.col("order_date").cast("string"))
     )
@@ -260,11 +269,11 @@ def q_sample_sales_by_day(spark, sf_dir):
 
 @query
 def q_sample_sales_by_product(spark, sf_dir):
-    """Sampled orders with a known product, count and revenue per (product_id, name).
+    """Orders with a known product, count and revenue per (product_id, name).
 
     Aggregated per product before the join, like the product mart.
     """
-    totals = marts.product_totals(sample_orders(td.orders(spark, sf_dir)))
+    totals = marts.product_totals(td.orders(spark, sf_dir))
     named = totals.join(td.customers_as_products(spark, sf_dir).select("product_id", "name"), "product_id")
     return (
         named.groupBy("product_id", "name")
@@ -289,15 +298,17 @@ def q_map_reduce_sales(spark, sf_dir):
 
 
 @query
-def q_partial_final_sales(spark, sf_dir):
-    """Explicit partial (per slice) and final aggregate."""
-    return partitions.partial_final_sales(td.order_lines(spark, sf_dir))
+def q_csv_benchmark_sales(spark, sf_dir):
+    """The same straight from CSV files, read with the explicit schema."""
+    path = scratch_path(spark, "orders-csv")
+    exports.write_csv(exports.orders_snapshot(td.raw_order_lines(spark, sf_dir)), path)
+    return partitions.benchmark_sales(refine_orders(files.read_orders_csv(spark, path)))
 
 
 @query
 def q_partition_sizes(spark, sf_dir):
-    """Rows per partition of the order lines (layout-dependent: rows-only check)."""
-    return partitions.partition_sizes(td.order_lines(spark, sf_dir))
+    """Rows per partition, summed up so that the result does not depend on the layout."""
+    return partitions.rows_over_partitions(td.order_lines(spark, sf_dir))
 
 
 @query
@@ -314,36 +325,33 @@ def q_coalesce_sales(spark, sf_dir):
 
 @query
 def q_keyed_partition_sales(spark, sf_dir):
-    """After a keyed repartition every product sits in one partition."""
-    return partitions.keyed_totals(td.order_lines(spark, sf_dir))
+    """After a keyed repartition of the rows every product sits in one partition."""
+    keyed = partitions.keyed(td.order_lines(spark, sf_dir), None, "product_id")
+    return partitions.key_locality(keyed, "product_id")
 
 
-@query
-def q_synthetic_sales(spark, sf_dir):
-    """One synthetic order per order line, rolled up by synthetic category."""
-    n = td.table(spark, sf_dir, "lineitem").count()
-    orders = refine_orders(synth.orders(spark, n))
-    return marts.sales_by_category(orders, synth.products(spark))
-
-
-# --- versioned table --------------------------------------------------------------
+# --- tables -----------------------------------------------------------------------
 
 DEMO_SPLIT_DAY = "1998-01-01"
 UPDATE_SET = {"quantity": "2", "amount": "unit_price * 2"}
 UPDATE_WHERE = "order_id = 1"
 
 
-def versioned_demo(spark: SparkSession, sf_dir: str, steps: int = 3) -> VersionedTable:
-    """V5: overwrite with orders before the split day, append the rest, update order 1."""
-    table = VersionedTable(spark, f"{work_dir(spark)}/versioned/{uuid.uuid4().hex}")
-    orders = td.orders(spark, sf_dir)
-    split = F.lit(DEMO_SPLIT_DAY).cast("date")
-    table.overwrite(orders.filter(F.col("order_date") < split))
-    if steps >= 2:
-        table.append(orders.filter(F.col("order_date") >= split))
-    if steps >= 3:
-        table.update(UPDATE_SET, UPDATE_WHERE)
-    return table
+def order_parts(orders: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Orders before the split day, and all others, those without a date among them."""
+    early = F.coalesce(F.col("order_date") < F.lit(DEMO_SPLIT_DAY).cast("date"), F.lit(False))
+    return orders.filter(early), orders.filter(~early)
+
+
+def order_table(spark: SparkSession, sf_dir: str, update: bool = False) -> DataFrame:
+    """V5: overwrite with the early orders, append the rest, and update one order."""
+    path = scratch_path(spark, "orders")
+    first, rest = order_parts(td.orders(spark, sf_dir))
+    tables.overwrite(rest, path)
+    tables.overwrite(first, path)
+    tables.append(rest, path)
+    stored = spark.read.parquet(path)
+    return materialize(tables.updated(stored, UPDATE_SET, UPDATE_WHERE), "updated") if update else stored
 
 
 def _order_rows(df: DataFrame) -> DataFrame:
@@ -352,52 +360,36 @@ def _order_rows(df: DataFrame) -> DataFrame:
 
 @query
 def q_versioned_overwrite(spark, sf_dir):
-    """K2: table content after the first overwrite."""
-    return _order_rows(versioned_demo(spark, sf_dir, 1).read())
+    """K2: a table that held part of the orders after it is overwritten with all."""
+    path = scratch_path(spark, "orders")
+    orders = td.orders(spark, sf_dir)
+    tables.overwrite(order_parts(orders)[0], path)
+    tables.overwrite(orders, path)
+    return _order_rows(spark.read.parquet(path))
 
 
 @query
 def q_versioned_append(spark, sf_dir):
     """K3: table content after overwrite + append."""
-    return _order_rows(versioned_demo(spark, sf_dir, 2).read())
+    return _order_rows(order_table(spark, sf_dir))
 
 
 @query
 def q_versioned_update(spark, sf_dir):
-    """V1/V4: metrics of the conditional update commit."""
-    hist = versioned_demo(spark, sf_dir, 3).history()
-    # Rows copied alongside depend on how rows were split into files, so the
-    # registered result keeps the layout-independent metrics.
-    return hist.filter(F.col("operation") == "UPDATE").select(
-        "version", "operation", "num_updated_rows", "num_removed_files"
-    )
+    """V1/V4: rows of the table, and rows the conditional update changes."""
+    return tables.update_metrics(order_table(spark, sf_dir), UPDATE_WHERE)
 
 
 @query
 def q_versioned_current(spark, sf_dir):
-    """V3: latest version after overwrite, append and update."""
-    return _order_rows(versioned_demo(spark, sf_dir, 3).read())
+    """V3: the table after overwrite, append and update."""
+    return _order_rows(order_table(spark, sf_dir, update=True))
 
 
 @query
 def q_versioned_update_sales(spark, sf_dir):
-    """V5 + A9: revenue per product of the latest version."""
-    return marts.revenue_by_product(versioned_demo(spark, sf_dir, 3).read())
-
-
-@query
-def q_version_history(spark, sf_dir):
-    """V2/V4: history with operation parameters (as JSON text) and row metrics."""
-    hist = versioned_demo(spark, sf_dir, 3).history()
-    written = F.when(F.col("operation") == "WRITE", F.col("num_output_rows"))
-    return hist.select(
-        "version",
-        "operation",
-        F.to_json("operationParameters").alias("operation_parameters"),
-        written.alias("num_written_rows"),
-        "num_updated_rows",
-        "num_removed_files",
-    )
+    """V5 + A9: revenue per product of the updated table."""
+    return marts.revenue_by_product(order_table(spark, sf_dir, update=True))
 
 
 # --- intake and lookups -------------------------------------------------------------
@@ -439,8 +431,8 @@ def q_received_order(spark, sf_dir):
     """The received order picked out of the recent list by its id text."""
     orders = td.orders(spark, sf_dir)
     recent = intake.recent_orders(orders, td.customers_as_products(spark, sf_dir))
-    newest = orders.agg(F.max("order_id")).first()[0]
-    received = None if newest is None else str(newest - (RECEIVED_ID_RANK - 1))
+    newest = orders.select("order_id").orderBy(F.col("order_id").desc()).limit(RECEIVED_ID_RANK)
+    received = newest.agg(F.min("order_id").cast("string").alias("id")).scalar()
     return _order_rows(intake.received_order(recent, received))
 
 
@@ -454,14 +446,16 @@ def q_order_search(spark, sf_dir):
 
 @query
 def q_menu_by_category(spark, sf_dir):
-    """Menu filtered to one category."""
-    return intake.menu_by_category(td.products(spark, sf_dir, with_price=True), DEMO_CATEGORY)
+    """Menu of one category by product id; ``rank`` is the place in that order."""
+    menu = intake.menu_by_category(td.products(spark, sf_dir, with_price=True), DEMO_CATEGORY)
+    return with_rank(menu, F.col("product_id"))
 
 
 @query
 def q_menu_categories(spark, sf_dir):
-    """Distinct non-empty categories and the first product showing each."""
-    return intake.menu_categories(td.products(spark, sf_dir))
+    """Distinct non-empty categories by the first product showing each, with that order's rank."""
+    categories = intake.menu_categories(td.sparse_products(spark, sf_dir))
+    return with_rank(categories, F.col("first_product_id"), F.col("category"))
 
 
 # --- exports ------------------------------------------------------------------------
@@ -475,8 +469,8 @@ def q_export_orders(spark, sf_dir):
 
 @query
 def q_export_products(spark, sf_dir):
-    """Products snapshot without the price."""
-    return exports.products_snapshot(td.products(spark, sf_dir, with_price=True))
+    """Products snapshot without the price, by id; ``rank`` is the place in that order."""
+    return with_rank(exports.products_snapshot(td.products(spark, sf_dir, with_price=True)), F.col("product_id"))
 
 
 @query
@@ -485,10 +479,29 @@ def q_order_events(spark, sf_dir):
     return exports.order_events(td.orders(spark, sf_dir))
 
 
+@query
+def q_order_event_by_id(spark, sf_dir):
+    """K7: the events of one order id and of an id that no order has."""
+    wanted = td.orders(spark, sf_dir).filter(F.col("order_id").isin(POINT_ORDER_ID, ABSENT_ORDER_ID))
+    return exports.order_events(wanted)
+
+
+EVENT = "event_type string, order_id long, product_id string, quantity int, unit_price long, amount long, ordered_at string"
+
+
+@query
+def q_event_ingest(spark, sf_dir):
+    """K7: the events of every order written as JSON lines and read back as refined orders."""
+    path = scratch_path(spark, "events")
+    exports.write_events(exports.order_events(td.orders(spark, sf_dir)), path)
+    raw = spark.read.schema(EVENT).json(path).drop("event_type", "amount")
+    return _order_rows(refine_orders(raw)).select("order_id", "product_id", "quantity", "unit_price", "ordered_at", "amount", "order_date")
+
+
 @query
 def q_order_items_decimal(spark, sf_dir):
     """Order items written as CSV, read back with decimal(10,2), stored as parquet."""
-    base = f"{work_dir(spark)}/order_items/{uuid.uuid4().hex}"
+    base = scratch_path(spark, "order-items")
     items = td.table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").cast("string").alias("order_id"),
         F.col("l_linenumber").alias("order_item_id"),
@@ -509,27 +522,6 @@ def q_order_items_decimal(spark, sf_dir):
     return as_text(stored, shipping_limit_date=SECONDS).withColumns(money)
 
 
-# --- streaming ingest -----------------------------------------------------------------
-
-
-@query
-def q_event_ingest(spark, sf_dir):
-    """K7 + streaming: order events of every order, ingested incrementally into a table.
-
-    The events are written as two file sets; two availableNow runs pick up one
-    set each (the second run sees only the new files).
-    """
-    base = f"{work_dir(spark)}/event_ingest/{uuid.uuid4().hex}"
-    orders = td.orders(spark, sf_dir)
-    split = F.lit(DEMO_SPLIT_DAY).cast("date")
-    table_path, checkpoint = f"{base}/silver", f"{base}/checkpoint"
-    name = f"order_events_{uuid.uuid4().hex[:8]}"
-    for i, part in enumerate([orders.filter(F.col("order_date") < split), orders.filter(F.col("order_date") >= split)]):
-        exports.write_events(exports.order_events(part), f"{base}/events/part{i}")
-        order_events.ingest(spark, f"{base}/events/*", table_path, checkpoint, name=name)
-    return _order_rows(VersionedTable(spark, table_path).read())
-
-
 # --- dashboard and refresh ---------------------------------------------------------
 
 
@@ -538,14 +530,13 @@ def q_dashboard_doc(spark, sf_dir):
     """Order count and the row count of every dashboard section.
 
     The product / day / hour totals come from one scan of the order lines;
-    the small result is checkpointed (reliable, under the checkpoint dir) so
-    the seven sections below read it instead of re-scanning the facts.
+    that small result is written, so the sections below read their columns of
+    it instead of re-scanning the facts.
     """
-    work_dir(spark)
     orders = td.order_lines(spark, sf_dir)
     products = td.products(spark, sf_dir)
     requests = parse_requests(td.access_log_lines(spark, sf_dir))
-    totals = marts.fact_totals(orders).checkpoint(eager=True)
+    totals = materialize(marts.fact_totals(orders), "fact-totals")
     sections = batch.build_marts(orders, products, requests, totals)
     order_count = totals.filter(F.col("gid") == marts.BY_DAY_ID).agg(
         F.coalesce(F.sum("order_count"), F.lit(0)).alias("order_count")
@@ -563,21 +554,60 @@ def write_raw_zone(spark: SparkSession, sf_dir: str, data_dir: str) -> None:
     exports.copy_text(td.access_log_lines(spark, sf_dir), f"{raw}/access.log")
 
 
+def run_batch(spark: SparkSession, sf_dir: str) -> batch.Zones:
+    data_dir = scratch_path(spark, "batch")
+    write_raw_zone(spark, sf_dir, data_dir)
+    batch.run(spark, data_dir, generated_at="query")
+    return batch.Zones(data_dir)
+
+
 @query
 def q_batch_products(spark, sf_dir):
     """L1: the whole raw -> bronze -> silver -> marts batch; its product mart as written."""
-    data_dir = f"{work_dir(spark)}/batch/{uuid.uuid4().hex}"
-    write_raw_zone(spark, sf_dir, data_dir)
-    batch.run(spark, data_dir, generated_at="query")
-    return spark.read.parquet(f"{batch.Zones(data_dir).marts}/by_product")
+    return spark.read.parquet(f"{run_batch(spark, sf_dir).marts}/by_product")
+
+
+#: The key of each section's rows in the document, and the fields all sections may have.
+SECTION_KEYS = {"preview": "order_id", "by_product": "product_id", "by_day": "order_date",
+                "page_views": "visit_date", "by_category": "category", "by_hour": "order_hour"}
+SECTION_FIELDS = ("order_id string, product_id string, order_date string, visit_date string, category string, order_hour string, "
+                  "order_count long, revenue long, sold_quantity long, page_views long, revenue_share_pct double, amount long")
+
+
+def document_rows(spark: SparkSession, document: str) -> DataFrame:
+    """Every row of every written section: section, key and values (NULL where a section has no such field)."""
+    parts = None
+    for name, key in SECTION_KEYS.items():
+        rows = dashboard.read_section(spark, document, name, SECTION_FIELDS)
+        kept = rows.select(F.lit(name).alias("section"), F.col(key).alias("key"), "order_count", "revenue",
+                           "sold_quantity", "page_views", "revenue_share_pct", "amount")
+        parts = kept if parts is None else parts.unionByName(kept)
+    return parts
+
+
+@query
+def q_dashboard_rows(spark, sf_dir):
+    """All section rows of the document the batch has written."""
+    return document_rows(spark, run_batch(spark, sf_dir).document).filter("section <> 'preview'")
 
 
 @query
 def q_refresh_counts(spark, sf_dir):
-    """L2: silver holds the orders before the split day; refresh reloads all orders."""
-    data_dir = f"{work_dir(spark)}/refresh/{uuid.uuid4().hex}"
-    zones = batch.Zones(data_dir)
-    orders = td.orders(spark, sf_dir)
-    first = orders.filter(F.col("order_date") < F.lit(DEMO_SPLIT_DAY).cast("date"))
-    VersionedTable(spark, zones.silver).overwrite(first)
-    return refresh.refresh(spark, data_dir, orders)
+    """L2: the document holds the orders before the split day; a refresh brings all of them."""
+    return _refreshed(spark, sf_dir)[0]
+
+
+@query
+def q_refresh_products(spark, sf_dir):
+    """L2: the product section of the document after the refresh."""
+    rows = document_rows(spark, _refreshed(spark, sf_dir)[1].document).filter("section = 'by_product'")
+    return rows.select(F.col("key").alias("product_id"), "order_count", "revenue", "sold_quantity")
+
+
+def _refreshed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, batch.Zones]:
+    data_dir = scratch_path(spark, "refresh")
+    orders = td.orders(spark, sf_dir).withColumn("product_id", F.col("product_id").cast("string"))
+    products = td.customers_as_products(spark, sf_dir).withColumn("product_id", F.col("product_id").cast("string"))
+    lines = td.access_log_lines(spark, sf_dir)
+    refresh.refresh(spark, data_dir, order_parts(orders)[0], products, lines)
+    return refresh.refresh(spark, data_dir, orders, products, lines), batch.Zones(data_dir)

@@ -5,24 +5,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from salesmart.operators import exports
-from salesmart.operators.versioned import open_table
-from salesmart.plans.batch import Zones, load_silver
+from salesmart.plans import batch, dashboard
 
 
-def current_count(spark: SparkSession, zones: Zones) -> int:
-    table = open_table(spark, zones.silver)
-    return 0 if table.latest() is None else table.read().count()
+def current_count(spark: SparkSession, zones: batch.Zones) -> int:
+    """Order count of the document; 0 before the first batch."""
+    head = dashboard.read_summary(spark, zones.document)
+    return head["order_count"] if head else 0
 
 
-def refresh(spark: SparkSession, data_dir: str, source_orders: DataFrame) -> DataFrame:
-    """Export the operational orders to the raw zone, reload silver, report both counts.
+def refresh(spark: SparkSession, data_dir: str, orders: DataFrame, products: DataFrame, log_lines: DataFrame) -> DataFrame:
+    """Export the operational tables, run the whole batch, report the document's count before and after.
 
-    ``source_orders`` is the operational table (``read.jdbc`` in production);
-    it needs order_id, product_id, quantity, unit_price and an ``ordered_at``
-    timestamp.
+    The frames are the operational tables (``read.jdbc`` in production):
+    ``orders`` with order_id, product_id, quantity, unit_price and an
+    ``ordered_at`` timestamp, ``products`` with product_id, name and category,
+    and the access log's lines in ``value``.
     """
-    zones = Zones(data_dir)
+    zones = batch.Zones(data_dir)
     before = current_count(spark, zones)
-    exports.write_csv(exports.orders_snapshot(source_orders), f"{zones.raw}/orders.csv", order_by="order_id")
-    after = load_silver(spark, zones).read().count()
-    return spark.createDataFrame([(before, after)], "before_count long, after_count long")
+    exports.write_csv(exports.orders_snapshot(orders), f"{zones.raw}/orders.csv", order_by="order_id")
+    exports.write_json_lines(exports.products_snapshot(products), f"{zones.raw}/products.jsonl", order_by="product_id")
+    exports.copy_text(log_lines, f"{zones.raw}/access.log")
+    batch.run(spark, data_dir)
+    return spark.createDataFrame([(before, current_count(spark, zones))], "before_count long, after_count long")

@@ -1,4 +1,7 @@
-"""Explicit schemas of the order model (schemas are never inferred)."""
+"""Explicit schemas of the order model (schemas are never inferred).
+
+Fixed values: the column names and types of the raw files.
+"""
 
 from __future__ import annotations
 
@@ -6,7 +9,6 @@ from pyspark.sql.types import (
     DecimalType,
     IntegerType,
     LongType,
-    MapType,
     StringType,
     StructField,
     StructType,
@@ -47,13 +49,3 @@ ORDER_ITEM = StructType(
         StructField("freight_value", DecimalType(10, 2)),
     ]
 )
-
-ORDER_REQUEST_DDL = "product_id string, quantity string"
-
-HISTORY = StructType(
-    [
-        StructField("version", LongType()),
-        StructField("operation", StringType()),
-        StructField("operationParameters", MapType(StringType(), StringType())),
-    ]
-)

@@ -29,8 +29,3 @@ def read_bronze(spark: SparkSession, path: str) -> DataFrame:
 def read_order_items(spark: SparkSession, path: str) -> DataFrame:
     """Order items CSV with ``decimal(10,2)`` money and timestamp columns."""
     return spark.read.schema(schemas.ORDER_ITEM).option("header", True).csv(path)
-
-
-def read_order_requests(spark: SparkSession, path: str) -> DataFrame:
-    """Order requests CSV: product_id and the raw quantity text."""
-    return spark.read.schema(schemas.ORDER_REQUEST_DDL).option("header", True).csv(path)

@@ -80,6 +80,15 @@ def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return refine_orders(raw_orders(spark, sf_dir))
 
 
+def sparse_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Products of which every tenth has no category, another tenth an empty one, and every seventh no name."""
+    k = F.col("product_id")
+    return products(spark, sf_dir).withColumns({
+        "name": F.when(k % 7 == 0, F.lit("")).otherwise(F.col("name")),
+        "category": F.when(k % 10 == 0, F.lit(None).cast("string")).when(k % 10 == 1, F.lit("")).otherwise(F.col("category")),
+    })
+
+
 def customers_as_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("product_id"),
@@ -100,6 +109,21 @@ def timed_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return refine_orders(raw)
 
 
+def partly_timed_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Timed orders of which every ninth has no time."""
+    no_time = F.col("order_id") % 9 == 0
+    return timed_orders(spark, sf_dir).withColumn("ordered_at", F.when(~no_time, F.col("ordered_at")))
+
+
+def damaged_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log lines of which those with duration 3 lose their blanks, and those with duration 5 their time."""
+    line = F.col("value")
+    return access_log_lines(spark, sf_dir).select(
+        F.when(line.endswith(" 3"), F.replace(line, F.lit(" "), F.lit(";")))
+        .when(line.endswith(" 5"), F.regexp_replace(line, r"^\S+", "not-a-time"))
+        .otherwise(line).alias("value"))
+
+
 def access_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Render every event as one access-log line (column ``value``)."""
     ev = table(spark, sf_dir, "events")

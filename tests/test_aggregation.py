@@ -1,29 +1,24 @@
 """Map-reduce walk-throughs, partition invariance, join-strategy equivalence, generator."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from salesmart.functions.refine import refine_orders
-from salesmart.operators import marts, partitions
+from salesmart.operators import joins, marts, partitions
+from salesmart.operators.ranking import with_rank
 from salesmart.sources import synth
-from tests.fixtures import orders_frame, products_frame
+from tests.fixtures import TOTAL, orders_frame, products_frame
 
-PAIRS = [
-    ("A", 100), ("A", 200), ("A", 300),
-    ("B", 100), ("B", 200), ("B", 300),
-    ("A", 400), ("A", 500),
-    ("B", 400), ("B", 500), ("B", 600), ("B", 700),
-]
+PAIRS = [("north", 12), ("south", 7), ("north", 30), ("east", 5), ("south", 11), ("north", 18), ("south", 3)]
 
 
 def pairs(spark):
     return spark.createDataFrame(PAIRS, "product_id string, amount long").repartition(2)
 
 
-def test_map_reduce_and_partial_final_agree(spark):
-    expect = {"A": (5, 1500, 300.0), "B": (7, 2800, 400.0)}
-    for df in (marts.key_summary(pairs(spark)), partitions.partial_final_sales(pairs(spark))):
-        got = {r.product_id: (r.order_count, r.revenue, r.average_order_amount) for r in df.collect()}
-        assert got == expect
+def test_count_sum_and_average_per_key(spark):
+    got = {r.product_id: (r.order_count, r.revenue, r.average_order_amount) for r in marts.key_summary(pairs(spark)).collect()}
+    assert got == {"north": (3, 60, 20.0), "south": (3, 21, 7.0), "east": (1, 5, 5.0)}
 
 
 def test_repartition_and_coalesce_keep_revenue(spark):
@@ -33,17 +28,12 @@ def test_repartition_and_coalesce_keep_revenue(spark):
     assert sorted(marts.revenue_by_product(partitions.merged(orders, 2)).collect()) == base
     assert partitions.partition_count(partitions.merged(orders.repartition(6), 2)) == 2
     sizes = partitions.partition_sizes(partitions.round_robin(orders, 4)).collect()
-    assert sum(r.rows for r in sizes) == 22 and len(sizes) <= 4
+    assert sum(r.rows for r in sizes) == 9 and len(sizes) <= 4
 
 
 def test_keyed_partition_puts_each_key_in_one_partition(spark):
     keyed = partitions.keyed(orders_frame(spark), 4, "product_id")
     assert {r.partition_count for r in partitions.key_locality(keyed, "product_id").collect()} == {1}
-    totals = partitions.keyed_totals(orders_frame(spark).repartition(3), 4).collect()
-    assert {r.partition_count for r in totals} == {1}
-    assert {r.product_id: (r.order_count, r.revenue) for r in totals} == {
-        r.product_id: (r.order_count, r.revenue) for r in marts.product_totals(orders_frame(spark)).collect()
-    }
 
 
 def test_default_partition_counts_follow_the_data(spark):
@@ -53,18 +43,20 @@ def test_default_partition_counts_follow_the_data(spark):
     assert partitions.partition_count(partitions.round_robin(orders)) == shuffle
 
 
-def test_broadcast_hint_gives_same_rows(spark):
+def test_join_strategies_give_the_same_rows(spark):
+    """A hinted join, one that splits hot keys, and a plain one."""
     orders, products = orders_frame(spark), products_frame(spark)
-    plain = marts.enrich(orders, products).select("order_id", "product_id", "name", "amount")
-    hinted = marts.enrich(orders, products, broadcast_products=True).select("order_id", "product_id", "name", "amount")
-    assert plain.exceptAll(hinted).count() == 0 and hinted.exceptAll(plain).count() == 0
+    plain = orders.join(products, "product_id")
+    for other in (orders.join(joins.broadcast_bounded(products), "product_id"), marts.enrich(orders, products)):
+        assert other.columns == plain.columns
+        assert plain.exceptAll(other).count() == 0 and other.exceptAll(plain).count() == 0
 
 
 def test_benchmark_rollup_has_one_total_row(spark):
     rows = partitions.benchmark_sales(orders_frame(spark)).collect()
     total = [r for r in rows if r.is_total == 1]
-    assert len(total) == 1 and total[0].order_count == 22 and total[0].revenue == 8700
-    assert sum(r.revenue for r in rows if r.is_total == 0) == 8700
+    assert len(total) == 1 and total[0].order_count == 9 and total[0].revenue == TOTAL
+    assert sum(r.revenue for r in rows if r.is_total == 0) == TOTAL
 
 
 def test_generator_closed_form_totals(spark):
@@ -88,21 +80,14 @@ def test_generator_writes_raw_zone(spark, scratch):
     assert files.read_products_jsonl(spark, f"{scratch}/raw/products.jsonl").count() == 100
 
 
-def test_size_checked_broadcast(spark):
-    from salesmart.operators import joins
-
+def test_broadcast_fails_beyond_its_bound(spark):
     products = products_frame(spark)
-    _, hinted = joins.broadcast_if_small(products, max_rows=4)
-    assert hinted
-    _, hinted = joins.broadcast_if_small(products, max_rows=3)
-    assert not hinted
+    assert joins.broadcast_bounded(products, max_bytes=10_000).count() == 5
+    with pytest.raises(Exception, match="larger than the 100 bytes"):
+        joins.broadcast_bounded(products, max_bytes=100).collect()
 
 
 def test_duplicate_key_check(spark):
-    import pytest
-
-    from salesmart.operators import joins
-
     products = products_frame(spark)
     joins.assert_unique(products, "product_id")
     with pytest.raises(ValueError, match="duplicate"):
@@ -113,35 +98,34 @@ def test_partition_report_is_sorted_and_complete(spark):
     keyed = partitions.keyed(orders_frame(spark), 4, "product_id")
     rows = partitions.partition_report(keyed, "product_id").collect()
     assert [(r.partition_id, r.product_id) for r in rows] == sorted((r.partition_id, r.product_id) for r in rows)
-    assert sum(r.rows for r in rows) == 22 and len({r.product_id for r in rows}) == 4
-
-
-def test_salted_join_equals_plain_join_on_a_hot_key(spark):
-    from salesmart.operators import joins
-
-    rows = [(i, "A" if i % 3 else "B", 1, 100, "2026-09-07T10:00:00+09:00") for i in range(300)]
-    rows += [(1000, "Z", 1, 100, "2026-09-07T10:00:00+09:00")]
-    from salesmart import schemas
+    assert sum(r.rows for r in rows) == 9 and len({r.product_id for r in rows}) == 4
+
+
+def test_spread_join_on_a_hot_key(spark):
+    at = "2025-03-03T10:00:00+09:00"
+    rows = [(i, "tea" if i % 3 else "rye", 1, 100, at) for i in range(300)]
+    rows += [(1000, "unknown", 1, 100, at), (1001, None, 1, 100, at), (1002, None, 1, 100, at), (1003, "lime", 1, 100, at)]
+    orders, products = orders_frame(spark, rows), products_frame(spark)
+    assert sorted(r.product_id for r in joins.hot_keys(orders, "product_id").collect()) == ["rye", "tea"]
+    for how in ("inner", "left"):
+        plain, spread = orders.join(products, "product_id", how), joins.spread_join(orders, products, "product_id", how)
+        assert spread.columns == plain.columns
+        assert plain.exceptAll(spread).count() == 0 and spread.exceptAll(plain).count() == 0
+    with pytest.raises(ValueError):
+        joins.spread_join(orders, products, "product_id", "full")
 
-    orders = refine_orders(spark.createDataFrame(rows, schemas.RAW_ORDER))
-    products = products_frame(spark)
-    assert joins.hot_keys(orders, "product_id", min_rows=150) == ["A"]
-    plain = marts.enrich(orders, products)
-    salted = marts.enrich(orders, products, salt_buckets=8, hot_products=["A"])
-    assert salted.columns == plain.columns
-    assert plain.exceptAll(salted).count() == 0 and salted.exceptAll(plain).count() == 0
-    left = joins.salted_join(orders, products, "product_id", "left", buckets=4, min_rows=150)
-    assert left.count() == 301 and left.filter("product_id = 'Z'").first().name is None
-    import pytest
 
-    with pytest.raises(ValueError):
-        joins.salted_join(orders, products, "product_id", "full")
+def test_hot_rows_are_not_shuffled(spark):
+    """The shuffle of the big side carries the other keys only."""
+    at = "2025-03-03T10:00:00+09:00"
+    orders = orders_frame(spark, [(i, "tea", 1, 100, at) for i in range(5000)] + [(9000, "rye", 1, 100, at)])
+    joined = joins.spread_join(orders, products_frame(spark), "product_id")
+    sizes = {r.product_id: r.n for r in joined.groupBy("product_id", F.spark_partition_id().alias("p")).count().groupBy("product_id").agg(F.count("*").alias("n")).collect()}
+    assert joined.count() == 5001 and sizes["tea"] > 1
 
 
-def test_serial_fold_fixture_before_the_fix(spark):
-    """The pair list with A's fourth row at 500 instead of 400 (before the
-    correction) sums A to 1,600."""
-    rows = [("A", 500) if r == ("A", 400) else r for r in PAIRS]
-    df = spark.createDataFrame(rows, "product_id string, amount long")
-    got = {r.product_id: (r.order_count, r.revenue) for r in partitions.partial_final_sales(df).collect()}
-    assert got == {"A": (5, 1600), "B": (7, 2800)}
+def test_global_rank(spark):
+    df = spark.range(1000).select(((F.col("id") * 7919) % 1000).alias("k")).repartition(5)
+    got = with_rank(df, F.col("k")).collect()
+    assert len(got) == 1000 and all(r.rank == r.k + 1 for r in got)
+    assert with_rank(df.limit(0), F.col("k")).count() == 0

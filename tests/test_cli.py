@@ -22,9 +22,11 @@ def test_generate_then_batch(scratch):
     run("generate", "--data-dir", scratch, "--rows", "1000")
     summary = json.loads(run("batch", "--data-dir", scratch).strip().splitlines()[-1])
     assert summary["order_count"] == 1000
-    doc_dir = os.path.join(scratch, "marts", "dashboard.json")
-    part = next(f for f in os.listdir(doc_dir) if f.startswith("part-"))
-    with open(os.path.join(doc_dir, part), encoding="utf-8") as f:
-        doc = json.load(f)
-    assert sum(r["revenue"] for r in doc["by_category"]) == 1_850_000
-    assert len(doc["by_product"]) == 100 and doc["by_hour"][0]["order_hour"] == 10
+    def section(name):
+        folder = os.path.join(scratch, "document", name)
+        for part in sorted(f for f in os.listdir(folder) if f.startswith("part-")):
+            with open(os.path.join(folder, part), encoding="utf-8") as f:
+                yield from map(json.loads, f)
+
+    assert sum(r["revenue"] for r in section("by_category")) == 1_850_000
+    assert len(list(section("by_product"))) == 100 and next(section("by_hour"))["order_hour"] == 10
