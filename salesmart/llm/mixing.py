@@ -32,9 +32,9 @@ import math
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from salesmart.llm.words import row_hash, word_count
+from salesmart.operators.ranking import with_rank
 from salesmart.session import materialize
 
 WEIGHTS = (5, 2, 1)
@@ -48,22 +48,6 @@ FAN_IN = 64
 RESULTS = ("size", "source_size", "target", "copies", "taken")
 
 
-def _ranked(sources: DataFrame) -> DataFrame:
-    """``sources`` (key, ...) with the 0-based rank of the key by code point, null last.
-
-    Ranges of keys are numbered apart and shifted by the rows before them: the
-    driver sees one count per range.
-    """
-    order = [F.col("key").isNull(), F.col("key")]
-    ranged = materialize(sources.repartitionByRange(*order).withColumn("part", F.spark_partition_id()), "sources")
-    counts = sorted((r["part"], r["count"]) for r in ranged.groupBy("part").count().collect())
-    before = [(part, sum(n for _, n in counts[:k])) for k, (part, _) in enumerate(counts)]
-    shifts = sources.sparkSession.createDataFrame(before, "part int, before long")  # a row per shuffle partition
-    place = F.row_number().over(Window.partitionBy("part").orderBy(*order)) - 1
-    return ranged.withColumn("place", place).join(F.broadcast(shifts), "part").withColumn(
-        "rank", F.col("place") + F.col("before")).drop("part", "place", "before")
-
-
 def targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = MOST) -> DataFrame:
     """(key, source_size, n, target) from rows of (key, size); one row per source.
 
@@ -74,7 +58,8 @@ def targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float
     chain = F.lit(None).cast("double")
     for k, w in enumerate(weights):
         chain = F.when(F.col("rank") % len(weights) == k, F.lit(float(w))).otherwise(chain)
-    table = materialize(_ranked(sources).withColumn("weight", chain).withColumn("limit", most * F.col("source_size")), "targets")
+    ranked = with_rank(sources, F.col("key").isNull(), F.col("key")).withColumn("rank", F.col("rank") - 1)
+    table = materialize(ranked.withColumn("weight", chain).withColumn("limit", most * F.col("source_size")), "targets")
     total = share * (table.agg(F.sum("source_size")).first()[0] or 0)
     level = 0.0
     while total:
