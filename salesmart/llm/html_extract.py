@@ -23,8 +23,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# Every part is possessive and stops at the next "<", so that no text makes the search backtrack.
 TOKEN = re.compile(
-    r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+>|<(/?)([a-zA-Z][^\s/>]*+)((?:"[^"<]*+"|'[^'<]*+'|[^>])*?)>""",
+    r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^<>]*+>"""
+    r"""|<(/?)([a-zA-Z][^\s/<>]*+)((?:[^<>=]++|=\s*+(?:"[^"]{0,2000}+"|'[^']{0,2000}+')?+)*+)>""",
     re.S)
 ATTRIBUTE = re.compile(r"""([a-zA-Z_:-]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
 WORDS = re.compile(r"[a-z]+")

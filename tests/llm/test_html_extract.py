@@ -54,6 +54,12 @@ def test_markup_details():
     assert main_text(deep) == "deep"
 
 
+def test_malformed_attributes_and_no_backtracking():
+    assert main_text("<article><p title=it's>that's</p><p title='a > b' class=\"x < y\">t</p><p title=\"open>u</p>") == "that's t u"
+    for text in ('<y ' + '"a" ' * 5000, "<y " + "='" * 5000, "<" * 20000, "<y " * 20000, "<!" * 20000, "<p a=" + "x" * 100000):
+        assert main_text(text) is not None  # each takes a moment only
+
+
 def test_edges(spark):
     rows = [(1, None, None), (2, "u", ""), (2, "u", ""), (None, "u", " "), (3, "u", "<article><p>" + "word, " * 60000)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumns({"text": F.lit("mine"), "n_chars": F.lit(1)})
