@@ -1,7 +1,7 @@
 """Write the physical plan tree of every registered query to PLANS.md.
 
 Usage: python tools/plans.py [sf_dir]
-Queries that write tables while they are defined (versioned, batch, ingest,
+Queries that write tables while they are defined (tables, batch, events,
 refresh, order items) are planned after those writes, as a client sees them.
 """
 
@@ -13,7 +13,7 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import __spark_entry__ as entry  # noqa: E402
+from salesmart.plans.queries import REGISTRY  # noqa: E402
 from salesmart.operators.partitions import explain_text  # noqa: E402
 from salesmart.session import build_session  # noqa: E402
 
@@ -29,7 +29,7 @@ def main():
             "| query | shuffles | broadcasts | sort-merge joins | windows | top-k |",
             "| --- | --- | --- | --- | --- | --- |"]
     out = []
-    for name, fn in entry.queries().items():
+    for name, fn in REGISTRY.items():
         text = explain_text(fn(spark, sf_dir))
         tree = text.split("\n\n")[0].replace("== Physical Plan ==\n", "")
         scans, current = [], None
