@@ -32,17 +32,14 @@ STEPS = np.linspace(0.0, 0.6, 241)
 
 
 def features(stats: Column) -> Column:
-    """The array of model inputs, each bounded, from a stats struct."""
+    """The array of model inputs, each bounded and none a size, so that short texts are judged by what they hold."""
     r = ratios(stats)
-    size = F.log1p(r["words"])
     columns = [
-        size, F.log1p(r["line_words"]), F.least(r["word_length"], F.lit(20.0)),
         F.least(r["symbols"], F.lit(2.0)), F.sqrt(F.least(r["symbols"], F.lit(2.0))),
         F.least(r["repeats"], F.lit(1.0)), r["repeats"] * r["repeats"], r["dup_lines"],
-        r["upper"], r["upper"] * r["upper"], F.least(r["exclaims"], F.lit(2.0)), F.sqrt(F.least(r["exclaims"], F.lit(2.0))),
+        r["shouted"], F.sqrt(r["shouted"]), F.least(r["exclaims"], F.lit(2.0)), F.sqrt(F.least(r["exclaims"], F.lit(2.0))),
         F.least(r["pipes"], F.lit(1.0)), F.sqrt(F.least(r["pipes"], F.lit(1.0))),
-        F.least(r["stops"], F.lit(1.0)), r["adjacent"], F.sqrt(r["adjacent"]),
-        r["wide"],
+        r["adjacent"], F.sqrt(r["adjacent"]),
     ]
     return F.array(*[c.cast("double") for c in columns])
 
@@ -99,11 +96,14 @@ def fit_pairs(x: np.ndarray, y: np.ndarray, pairs: int = PAIRS, penalty: float =
 
 
 def _threshold(scores: np.ndarray, y: np.ndarray) -> float:
-    """The quantile of the scores with the best balanced accuracy; the middle one of equals."""
-    n_bad, n_good = (y == 0).sum(), (y == 1).sum()
-    cuts = np.quantile(scores, np.append(STEPS, n_bad / len(y)))
-    worth = np.array([((scores < c) & (y == 0)).sum() / n_bad + ((scores >= c) & (y == 1)).sum() / n_good for c in cuts])
-    best = np.sort(cuts[worth >= worth.max() - 1e-12])
+    """The quantile of the scores that parts the most documents rightly; the middle one of equals.
+
+    Documents count alike, so where good ones abound the cut rather lets a bad
+    one pass than reject several good ones.
+    """
+    cuts = np.quantile(scores, np.append(STEPS, (y == 0).mean()))
+    right = np.array([((scores >= c) == (y == 1)).sum() for c in cuts])
+    best = np.sort(cuts[right == right.max()])
     return float(best[len(best) // 2])
 
 

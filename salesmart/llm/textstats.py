@@ -93,6 +93,7 @@ def ratios(s: Column) -> dict[str, Column]:
         "dup_lines": _per(s["n_dup_lines"], s["n_lines"]),
         "line_words": _per(s["n_words"], s["n_lines"]),
         "upper": _per(s["n_upper"], letters),
+        "shouted": _per(F.greatest(s["n_upper"] - s["n_words"], F.lit(0)), letters),  # beyond a capital a word
         "digits": _per(s["n_digits"], s["n_bytes"]),
         "exclaims": _per(s["n_exclaim"], s["n_words"]),
         "pipes": _per(s["n_pipe"], s["n_words"]),
