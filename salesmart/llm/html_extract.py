@@ -3,8 +3,9 @@
 A page is cut into text blocks, each with the path of block elements above it.
 Per path, text length and punctuation per node are aggregated, smoothed over
 neighbouring blocks, fused with link density and what the elements say about
-themselves, and thresholded.  The paths above the threshold fix the content
-container, whose blocks make up the text.
+themselves, and thresholded.  The blocks of the paths above the threshold make up the text,
+with the other blocks of the content container, such as headings.  On a page
+with an article or main element that holds the content, blocks outside it are left out.
 
 Defined cases: a null or empty page gives an empty text; so does a page with
 no block outside menus, forms and the like.  Unclosed and stray tags are
@@ -215,7 +216,9 @@ def select(blocks: list[Block]) -> list[Block]:
     n = len(container)
     wide = n <= 3 and not any(name.split(".")[0] in MAIN for name in container)  # html, body: other blocks must earn it
     kept = set(map(id, content))
-    return [b for b in blocks if b.path[:n] == container and (not wide or len(b.path) <= n + 1 or id(b) in kept)]
+    inside = any(name.split(".")[0] in MAIN for name in container)  # article, main: the page says where its text ends
+    return [b for b in blocks if not inside and id(b) in kept
+            or b.path[:n] == container and (not wide or len(b.path) <= n + 1)]
 
 
 def main_text(html: str) -> str:

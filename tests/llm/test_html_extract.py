@@ -67,3 +67,11 @@ def test_edges(spark):
     assert got == {(1, 0), (2, 0), (None, 0), (3, 60000 * 6 - 1)}
     assert html_extract.extract(pages).columns.count("text") == 1
     assert html_extract.report(pages.limit(0)).count() == 0
+
+
+def test_article_split_over_sections():
+    first, second = (" ".join(f"Sentence {k} of part {part}, with some words in it. It goes on, and ends." for k in range(n)) for part, n in ((1, 6), (2, 4)))
+    one, two = ("".join(f"<p>{s}ends.</p>" for s in t.split("ends.")[:-1]) for t in (first, second))
+    page = (f"<html><body><div class=wrap><section id=s1><h2>One</h2>{one}</section><section id=s2>{two}</section>"
+            f"<div class=c8><ul><li><a href=/1>Link one</a><li><a href=/2>Link two</a></ul></div></div></body></html>")
+    assert main_text(page) == f"One {first} {second}"
