@@ -122,11 +122,21 @@ def link(text: bytes, base: list[Span], reach: int = REACH) -> list[Span]:
     tokens = fresh("secret", LONG, 0, lambda m: _random(m[0])) if max(map(len, text.split()), default=0) >= 20 else []
     scopes = [m.start() + 1 for m in SCOPE.finditer(text)]
     weak = sorted(set(short + tokens))
-    secrets = _Parts([s for s in base if s[0] in ("assign", "hex")] + weak, scopes)
-    names = _Parts(identifiers + logins, scopes)
-    out = [s for s in weak if names.near(s, reach)] + [s for s in logins if secrets.near(s, reach)]
+    before = None if text.isascii() else np.concatenate(([0], np.cumsum((np.frombuffer(text, np.uint8) & 0xC0) == 0x80)))
+
+    def point(at: int) -> int:
+        """A byte offset in code points, in which distances are measured."""
+        return at if before is None else at - int(before[at])
+
+    def pointed(s: Span) -> Span:
+        return s[0], point(s[1]), point(s[2])
+
+    scopes = [point(k) for k in scopes]
+    secrets = _Parts([pointed(s) for s in base if s[0] in ("assign", "hex")] + [pointed(s) for s in weak], scopes)
+    names = _Parts([pointed(s) for s in identifiers + logins], scopes)
+    out = [s for s in weak if names.near(pointed(s), reach)] + [s for s in logins if secrets.near(pointed(s), reach)]
     if secrets.spans:
-        out += [s for s in fresh("endpoint", ENDPOINT, 0) if names.near(s, reach) and secrets.near(s, reach)]
+        out += [s for s in fresh("endpoint", ENDPOINT, 0) if names.near(pointed(s), reach) and secrets.near(pointed(s), reach)]
     return out
 
 

@@ -74,3 +74,10 @@ def test_edges_and_redaction(spark, clashing, edge, edge_rows, nothing):
     df = spark.createDataFrame([(1, long), (2, None), (3, "a token=" + "0" * 30 + " b")], "doc_id long, text string")
     got = {r.doc_id: r.text for r in secrets.redact(df).collect()}
     assert got[1] == long.replace("password=abcdefgh", "[SECRET]") and got[2] is None and got[3] == "a [SECRET] b"
+
+
+def test_distances_are_code_points():
+    token = "Zx81kQpLm3vTz09sWqEr42"
+    for letter in "xж日":
+        assert [s[0] for s in linked("user=alice " + letter * 200 + " " + token)] == ["login", "secret"]
+        assert linked("user=alice " + letter * 260 + " " + token) == []
