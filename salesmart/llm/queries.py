@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from salesmart.llm import decision_list, decontaminate, html_extract, line_dedup, mixing, passages, quality, secrets, simhash, url_filter
+from salesmart.llm import bpe, decision_list, decontaminate, html_extract, line_dedup, mixing, passages, quality, secrets, simhash, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -115,3 +115,15 @@ FROM d LEFT JOIN pos USING (rid) LEFT JOIN items USING (rid)
 @query
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.report(table(spark, sf_dir, "documents"))
+
+
+#: Rank file of the tokenizer that op11 uses, among the installed public ones.
+TOKENIZER = "byte_bpe_50k.tiktoken"
+
+
+@query
+def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    ranks = bpe.read_ranks(public_tokenizers.path(TOKENIZER))
+    return bpe.report(table(spark, sf_dir, "documents"), bpe.tables(ranks, public_tokenizers.PATTERN))
