@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 WHOLE = 64
 
 #: Bytes of texts, tokens and bytes of pieces that are worked on at once, and pieces a task remembers.
-CHUNK, TOKENS, PIECES, KNOWN = 2 << 20, 500_000, 1 << 20, 400_000
+CHUNK, TOKENS, PIECES, KNOWN = 2 << 20, 500_000, 1 << 20, 600_000
 
 # Letters and numbers of Unicode versions after 16, which the tokenizer's library takes for symbols.
 NEWER = (
@@ -60,16 +60,24 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, filter(bytes.strip, lines))}
 
 
+#: Texts of characters before this one are split by a pattern of explicit classes.
+PLAIN_END = 0x250
+
+_BEYOND = re.compile(f"[^\0-{chr(PLAIN_END - 1)}]")
+
+
 def splitters(pattern: str):
-    """The pattern for ASCII texts and for all others, both with the character classes of the tokenizer's library."""
+    """The pattern for texts of plain characters, for all others, and for those with newer characters."""
+    plain = {kind: "".join(re.escape(chr(c)) for c in range(PLAIN_END) if regex.fullmatch(given, chr(c)))
+             for kind, given in (("L", r"\p{L}"), ("N", r"\p{N}"), ("s", r"\s"))}
+    narrow = pattern.replace(r"[^\s\p{L}\p{N}]", f"[^{plain['s']}{plain['L']}{plain['N']}]")
+    narrow = narrow.replace(r"\p{L}", f"[{plain['L']}]").replace(r"\p{N}", f"[{plain['N']}]").replace(r"\s", f"[{plain['s']}]").replace(r"\S", f"[^{plain['s']}]")
     ranges = "".join("-".join(rf"\U{int(c, 16):08X}" for c in part.split("-")) for part in NEWER.split(", "))
-    within = lambda kind: rf"\p{{{kind}}}"
-    wide = pattern
-    for kind in "LN":  # first inside [^...], then alone
-        wide = wide.replace(rf"[^\s\p{{L}}\p{{N}}]", "\0").replace(within(kind), rf"[{within(kind)}--[{ranges}]]")
-    wide = wide.replace("\0", rf"(?:[^\s\p{{L}}\p{{N}}]|[{ranges}])")
-    narrow = pattern.replace(r"[^\s\p{L}\p{N}]", r"[^\sA-Za-z0-9]").replace(r"\p{L}", "[A-Za-z]").replace(r"\p{N}", "[0-9]")
-    return re.compile(narrow, re.ASCII), regex.compile(wide, regex.V1)
+    newer = pattern.replace(r"[^\s\p{L}\p{N}]", "\0")
+    for kind in "LN":
+        newer = newer.replace(rf"\p{{{kind}}}", rf"[\p{{{kind}}}--[{ranges}]]")
+    newer = newer.replace("\0", rf"(?:[^\s\p{{L}}\p{{N}}]|[{ranges}])")
+    return re.compile(narrow), regex.compile(pattern), regex.compile(newer, regex.V1), re.compile(f"[{ranges}]")
 
 
 def merge_table(ranks: dict[bytes, int]) -> dict[str, np.ndarray]:
@@ -90,16 +98,18 @@ def merge_table(ranks: dict[bytes, int]) -> dict[str, np.ndarray]:
 
 
 # Short pieces: a row for each piece and token position meets the merges; the leftmost pair of minimum rank is contracted.
+# Rows know the next token and its position, so a step is a few hash joins; 'gone' is the second token of the pair.
 _SHORT = """
-WITH RECURSIVE token(piece, pos, id, step) AS (
-  SELECT piece, pos, id, 0 FROM start
+WITH RECURSIVE token(piece, pos, id, next_pos, next, step) AS (
+  SELECT piece, pos, id, next_pos, next, 0 FROM start
   UNION ALL
-  (WITH pairs AS (
-    SELECT *, lead(id) OVER near AS next, lag(pos) OVER near AS before FROM token WINDOW near AS (PARTITION BY piece ORDER BY pos)),
-  ranked AS (SELECT piece, pos, id, step, before, made FROM pairs LEFT JOIN merges ON pair = id * 4294967296 + next),
-  least AS (SELECT piece AS p, min(made * 4294967296 + pos) AS best FROM ranked WHERE made IS NOT NULL GROUP BY piece)
-  SELECT piece, pos, CASE WHEN pos = best % 4294967296 THEN best // 4294967296 ELSE id END, step + 1
-  FROM ranked JOIN least ON p = piece WHERE before IS DISTINCT FROM best % 4294967296))
+  (WITH least AS (
+    SELECT piece AS p, min((made * {whole} + pos) * {whole} + next_pos) AS best FROM token JOIN merges ON pair = id * 4294967296 + next GROUP BY piece),
+  chosen AS (SELECT p, best // {whole} % {whole} AS kept, best % {whole} AS gone, best // {whole} // {whole} AS made FROM least),
+  around AS (SELECT p, kept, gone, made, next_pos AS far_pos, next AS far FROM chosen JOIN token ON piece = p AND pos = gone)
+  SELECT piece, pos, CASE WHEN pos = kept THEN made ELSE id END, CASE WHEN pos = kept THEN far_pos ELSE next_pos END,
+    CASE WHEN pos = kept THEN far WHEN next_pos = kept THEN made ELSE next END, step + 1
+  FROM token JOIN around ON p = piece WHERE pos <> gone))
 SELECT piece, id FROM token JOIN (SELECT piece, max(step) AS step FROM token GROUP BY piece) USING (piece, step) ORDER BY piece, pos
 """
 
@@ -135,11 +145,11 @@ class Coder:
 
     def __init__(self, tables: dict):
         self.db = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "400MB", "temp_directory": ""})
-        ranks = tables["ranks"]
-        self.narrow, self.wide = splitters(tables["pattern"])
-        self._table("vocabulary", id=np.fromiter(ranks.values(), np.int32, len(ranks)), token=pa.array(list(ranks), pa.binary()))
-        self.db.execute("CREATE TABLE hexed AS SELECT id, hex(token) AS piece FROM vocabulary")
+        self.ranks = ranks = tables["ranks"]
+        self.narrow, self.wide, self.newer, self.is_newer = splitters(tables["pattern"])
+        self._table("vocabulary", id=np.fromiter(ranks.values(), np.int64, len(ranks)), piece=pa.array([t.hex() for t in ranks]))
         self._table("merges", **tables["merges"])
+        self.short = _SHORT.format(whole=WHOLE + 1)
         self.long = _LONG.format(reach=max(map(len, ranks)))
         self.of_byte = np.array([ranks[bytes([k])] for k in range(256)], np.int64)
         self.known: dict[str, bytes] = {}
@@ -151,7 +161,8 @@ class Coder:
 
     def pieces(self, text: str) -> Iterator[list[str]]:
         """The matches of the pattern in a text, a bounded list at a time."""
-        split = self.narrow if text.isascii() else self.wide
+        plain = text.isascii() or not _BEYOND.search(text)
+        split = self.narrow if plain else self.newer if self.is_newer.search(text) else self.wide
         if len(text) < CHUNK:
             yield split.findall(text)
         else:
@@ -175,12 +186,10 @@ class Coder:
 
     def _learn(self, pieces: list[str]) -> None:
         raw = [p.encode() for p in pieces]
-        self._table("asked", piece=np.arange(len(raw), dtype=np.int32), token=pa.array(raw, pa.binary()))
-        whole = self.db.execute("SELECT piece, id FROM asked JOIN vocabulary USING (token)").fetchnumpy()
-        self.known.update((pieces[p], int(i).to_bytes(4, "little")) for p, i in zip(whole["piece"].tolist(), whole["id"].tolist()))
-        rest = [k for k, p in enumerate(pieces) if p not in self.known]
+        self.known.update((p, self.ranks[r].to_bytes(4, "little")) for p, r in zip(pieces, raw) if r in self.ranks)
+        rest = [(p, r) for p, r in zip(pieces, raw) if r not in self.ranks]
         for long in (False, True):
-            self._contract([(pieces[k], raw[k]) for k in rest if (len(raw[k]) > WHOLE) == long], long)
+            self._contract([x for x in rest if (len(x[1]) > WHOLE) == long], long)
 
     def _contract(self, pieces: list[tuple[str, bytes]], long: bool) -> None:
         if not pieces:
@@ -188,9 +197,11 @@ class Coder:
         sizes = np.array([len(r) for _, r in pieces])
         piece = np.repeat(np.arange(len(pieces), dtype=np.int32), sizes)
         pos = np.arange(len(piece), dtype=np.int64) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        data = np.frombuffer(b"".join(r for _, r in pieces), np.uint8)
-        self._table("start", piece=piece, pos=pos.astype(np.int32), id=self.of_byte[data])
-        got = self.db.execute(self.long if long else _SHORT).fetchnumpy()
+        ids = self.of_byte[np.frombuffer(b"".join(r for _, r in pieces), np.uint8)]
+        after = np.append(ids[1:], -1)
+        after[np.cumsum(sizes) - 1] = -1  # of a last token
+        self._table("start", piece=piece, pos=pos, id=ids, next_pos=pos + 1, next=after)
+        got = self.db.execute(self.long if long else self.short).fetchnumpy()
         ids, ends = got["id"].astype("<u4").tobytes(), 4 * np.searchsorted(got["piece"], np.arange(len(pieces) + 1))
         self.known.update((p, ids[s:e]) for (p, _), s, e in zip(pieces, ends[:-1].tolist(), ends[1:].tolist()))
 
@@ -222,7 +233,7 @@ class Coder:
             sizes = np.array([len(c) // 4 for _, c in now])
             ids = np.frombuffer(b"".join(c for _, c in now), "<u4").astype(np.int64)
             self._table("coded", slice=np.repeat(np.arange(len(now), dtype=np.int32), sizes), pos=np.arange(len(ids)), id=ids)
-            got = self.db.execute("SELECT slice, string_agg(piece, '' ORDER BY pos) AS text, count(*) AS n FROM coded JOIN hexed USING (id) GROUP BY slice ORDER BY slice").fetchall()
+            got = self.db.execute("SELECT slice, string_agg(piece, '' ORDER BY pos) AS text, count(*) AS n FROM coded JOIN vocabulary USING (id) GROUP BY slice ORDER BY slice").fetchall()
             if sum(n for _, _, n in got) != len(ids):
                 raise ValueError("ids that the vocabulary does not hold")
             for k, text, _ in got:

@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from salesmart.llm import bpe, decision_list, decontaminate, html_extract, line_dedup, mixing, passages, quality, secrets, simhash, url_filter
+from salesmart.llm import (
+    bpe, decision_list, decontaminate, filter_audit, html_extract, line_dedup, mixing, passages, quality, secrets, simhash, source_audit, url_filter,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -127,3 +129,63 @@ def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     ranks = bpe.read_ranks(public_tokenizers.path(TOKENIZER))
     return bpe.report(table(spark, sf_dir, "documents"), bpe.tables(ranks, public_tokenizers.PATTERN))
+
+
+@query
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+SQL["op12_filter_audit"] = r"""
+WITH d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+l AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+f AS (SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic, [
+    len(w) < 100, 100 * len(list_distinct(w)) < 80 * len(w), 100 * len(regexp_extract_all(t, '[A-Z]')) > 10 * length(t),
+    regexp_matches(t, '[#$%&*|]'), coalesce(d.doc_id > min(d.doc_id) OVER (PARTITION BY t), false)] AS fails
+    FROM d LEFT JOIN l ON d.doc_id = l.doc_id),
+x AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+o AS (SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM x a, x b, x c, x d, x e
+    WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+s AS (SELECT filter_order, step, [ascii(y) - 64 FOR y IN string_split(left(filter_order, step - 1), '')] AS before,
+    ascii(filter_order[step]) - 64 AS own FROM o, (SELECT unnest([1, 2, 3, 4, 5]) AS step)),
+g AS (SELECT part, good, toxic, fails, count(*) AS n FROM f GROUP BY ALL),
+r AS (SELECT part, filter_order, step, own, n, good, toxic, fails[own] AS bad,
+    len([1 FOR b IN before IF fails[b]]) = 0 AS alive, len([1 FOR b IN fails IF b]) = 1 AS single FROM g, s),
+c AS (SELECT part, filter_order, CAST(step AS INTEGER) AS step, own,
+    CAST(coalesce(sum(n) FILTER (alive AND NOT bad), 0) AS BIGINT) AS kept, CAST(coalesce(sum(n) FILTER (alive AND bad), 0) AS BIGINT) AS removed,
+    CAST(coalesce(sum(n) FILTER (NOT alive AND bad), 0) AS BIGINT) AS redundant, CAST(coalesce(sum(n) FILTER (bad AND single), 0) AS BIGINT) AS unique_fails,
+    CAST(coalesce(sum(n) FILTER (alive AND bad AND good), 0) AS BIGINT) AS good_lost,
+    CAST(coalesce(sum(n) FILTER (alive AND bad AND toxic), 0) AS BIGINT) AS toxic_lost FROM r GROUP BY ALL)
+SELECT * EXCLUDE (own), CAST(sum(removed) OVER (PARTITION BY part, own) AS BIGINT) AS shapley FROM c
+"""
+
+
+@query
+def op13_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_audit.report(table(spark, sf_dir, "documents"))
+
+
+SQL["op13_source_audit"] = r"""
+WITH d AS (SELECT row_number() OVER () AS rid, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+t AS (SELECT rid, lang, source, unnest(w) AS term FROM d),
+k AS (SELECT lang, term, count(*) AS lang_n FROM t GROUP BY ALL HAVING count(DISTINCT rid) >= 10),
+c AS (SELECT lang, source, term, count(*) AS n FROM t SEMI JOIN k USING (lang, term) GROUP BY ALL),
+lt AS (SELECT lang, sum(lang_n)::HUGEINT AS total, count(*)::HUGEINT AS v FROM k GROUP BY lang),
+g AS (SELECT lang, source, coalesce((SELECT sum(n) FROM c WHERE c.lang = d.lang AND c.source = d.source), 0)::HUGEINT AS total
+    FROM (SELECT DISTINCT lang, source FROM d) d),
+p AS (SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n, 1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 2)) // (g.total + 2 * lt.v) AS p,
+    1 + (1000000000::HUGEINT * (k.lang_n + 2)) // (lt.total + 2 * lt.v) AS q
+    FROM g JOIN lt USING (lang) JOIN k USING (lang) LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+two AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+    FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+pairs AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(two.value, 0) AS value
+    FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN two ON two.lang = a.lang AND two.source = a.source AND two.item = b.source),
+terms AS (SELECT lang, source, 'term' AS part, term AS item, (p - q) * (p - q) // (p + q) AS value FROM p WHERE n > 0 AND p > q),
+r AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)) AS rank
+    FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms))
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank FROM r WHERE part = 'pair' OR rank <= 10
+"""
