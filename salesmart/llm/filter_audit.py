@@ -4,10 +4,11 @@ What each of five filters removes depends on the filters before it.  The audit
 counts that for all 120 orders from one matrix: tasks cut their documents into
 shards of bounded size, each with a dictionary of its own, and write them as
 rows in CSR form (row starts, columns, counts).  The words of all shards make
-one global dictionary, numbered by range without one task that sees all of
-them; a join by word and one by shard replaces every shard's own codes by
-global columns.  Sums of a row and its number of nonzero columns are a
-document's words and distinct words.  Texts stay where they are read.
+one global dictionary.  A word's number is its 64-bit hash without the sign, so
+a shard translates its own codes without a join; the dictionary has every
+distinct word once and shows whether two share a number, and words that do get
+negative numbers of their own.  Sums of a row and its number of nonzero columns
+are a document's words and distinct words.  Texts stay where they are read.
 
 Documents then fold into cells (part, failed filters, labels), at most 128 for
 a part, and only those meet the orders.  Copies of a text fold by its digest
@@ -25,15 +26,16 @@ from __future__ import annotations
 
 import hashlib
 import json
-import uuid
 from collections import Counter
 from itertools import permutations
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from salesmart.llm.packed import pack, unpack
 from salesmart.llm.words import split_words, utf8
 from salesmart.operators.ranking import with_rank
 from salesmart.session import materialize
@@ -41,6 +43,9 @@ from salesmart.session import materialize
 #: Bytes of text of a shard, at least (the last document may go beyond it).
 SHARD = 8 << 20
 
+#: Bits of a word's number, and words whose hash another has, at most: as good as none at 63 bits, however many words.
+BITS, EXCEPTIONS = 63, 1_000_000
+
 FILTERS = "ABCDE"
 CAPITALS, SYMBOLS = bytes(range(65, 91)), b"#$%&*|"
 _FOLLOWING = bytes(range(128, 192))  # bytes of a character after its first
@@ -65,24 +70,18 @@ class _Shard:
         self.indices += [code.setdefault(w, len(code)) for w in words]
         self.counts += words.values()
         self.starts.append(len(self.indices))
-        self.own.append((
-            hashlib.sha256(text).digest(), len(text.translate(None, _FOLLOWING)),
-            len(text) - len(text.translate(None, CAPITALS)), len(text) - len(text.translate(None, SYMBOLS))))
+        n_chars = len(text.translate(None, _FOLLOWING))
+        self.own.append((hashlib.sha256(text).digest(), n_chars, len(text) - len(text.translate(None, CAPITALS)), len(text) - len(text.translate(None, SYMBOLS))))
         self.size += len(text)
 
 
-def _one(values, kind: pa.DataType) -> pa.Array:
-    """A list column of one row."""
-    values = values if isinstance(values, pa.Array) else pa.array(values, kind)
-    return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
-
-
 def shards(docs: DataFrame, id_col: str = "doc_id", part_col: str = "lang", text_col: str = "text", size: int = SHARD) -> DataFrame:
-    """CSR shards of the documents' words, each with its own dictionary ``words`` (written once).
+    """CSR shards of the documents' words, each with its own dictionary ``words``, joined by blanks (written once).
 
-    ``starts`` has the first entry of every row and the end of the last,
-    ``indices`` the column of every entry (a place in ``words``), ``counts``
-    its count, and ``docs`` each row's id, part and counts of characters.
+    Packed arrays: ``starts`` has the first entry of every row and the end of
+    the last, ``indices`` the column of every entry (a place in ``words``),
+    ``counts`` its count.  ``docs`` has each row's id, part and counts of
+    characters.
     """
     given = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(part_col).cast("string"), F.lit("")).alias("part"),
                         F.col(text_col).cast("string").alias("text"))
@@ -93,12 +92,13 @@ def shards(docs: DataFrame, id_col: str = "doc_id", part_col: str = "lang", text
 
         def row():
             own = list(zip(*shard.own))
-            rows = pa.StructArray.from_arrays(
+            docs = pa.StructArray.from_arrays(
                 [pa.concat_arrays(ids), pa.concat_arrays(parts), pa.array(own[0], pa.binary()), *[pa.array(c, pa.int64()) for c in own[1:]]],
                 names=["id", "part", "digest", "n_chars", "n_capitals", "n_symbols"])
             columns = {
-                "shard": pa.array([uuid.uuid4().hex]), "words": _one(list(shard.code), pa.binary()), "starts": _one(shard.starts, pa.int64()),
-                "indices": _one(shard.indices, pa.int32()), "counts": _one(shard.counts, pa.int32()), "docs": _one(rows, rows.type)}
+                "words": pa.array([b" ".join(shard.code).decode()]), "starts": pa.array([pack(np.array(shard.starts))]),
+                "indices": pa.array([pack(np.array(shard.indices, np.int64))]), "counts": pa.array([pack(np.array(shard.counts, np.int64))]),
+                "docs": pa.ListArray.from_arrays(pa.array([0, len(docs)], pa.int32()), docs)}
             return pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
         for batch in batches:
@@ -116,53 +116,80 @@ def shards(docs: DataFrame, id_col: str = "doc_id", part_col: str = "lang", text
         if shard.own:
             yield row()
 
-    schema = (f"shard string, words array<binary>, starts array<long>, indices array<int>, counts array<int>, "
-              f"docs array<struct<id: {id_kind}, part: string, {_DOC}>>")
+    schema = f"words string, starts binary, indices binary, counts binary, docs array<struct<id: {id_kind}, part: string, {_DOC}>>"
     return materialize(given.mapInArrow(cut, schema), "shards")
 
 
-def dictionary(cut: DataFrame) -> DataFrame:
-    """Every word of the shards with its global number ``column`` from 0, in byte order (written once)."""
-    words = cut.select(F.explode("words").alias("word")).distinct()
-    return materialize(with_rank(words, F.col("word"), name="_rank").select("word", (F.col("_rank") - 1).alias("column")), "dictionary")
+def _number(word: bytes, bits: int) -> int:
+    return xxhash.xxh64_intdigest(word, 42) & ((1 << bits) - 1)
+
 
+def dictionary(cut: DataFrame, bits: int = BITS) -> DataFrame:
+    """Every word of the shards once, with its global number ``column`` (written once).
 
-def matrix(cut: DataFrame, words: DataFrame) -> DataFrame:
+    Of words that share a hash, which next to never happens with 63 bits, each
+    gets a negative number instead.  (Distinct words are shuffled once per
+    task that met them; nothing else of the texts is.)
+    """
+    every = cut.select(F.explode(F.split("words", " ")).alias("word")).filter("word <> ''").distinct()
+    hashed = materialize(every.withColumn("column", F.xxhash64("word").bitwiseAND(F.lit((1 << bits) - 1))), "words")
+    shared = materialize(hashed.groupBy("column").count().filter("count > 1").select("column"), "shared-numbers")
+    if shared.isEmpty():
+        return hashed
+    alike = with_rank(hashed.join(shared, "column", "left_semi"), F.col("word"), name="_rank")
+    return hashed.join(shared, "column", "left_anti").unionByName(alike.select("word", (-F.col("_rank")).alias("column")))
+
+
+def _exceptions(words: DataFrame) -> dict[bytes, int]:
+    """Numbers of the words that share a hash; an error beyond :data:`EXCEPTIONS`, which 63 bits do not come near."""
+    own = words.filter("column < 0")
+    if (n := own.count()) > EXCEPTIONS:
+        raise ValueError(f"{n} words share a hash with another")
+    return {r.word.encode(): r.column for r in own.collect()}
+
+
+def _global_rows(batches, exceptions: dict[bytes, int], bits: int):
+    """(batch, row number, row starts, global columns, counts) of every shard."""
+    for batch in batches:
+        for k in range(batch.num_rows):
+            words = batch.column("words")[k].as_py().encode().split(b" ")
+            numbers = np.fromiter((exceptions.get(w) or _number(w, bits) for w in words), np.int64, len(words))
+            starts, indices, counts = (unpack(batch.column(c)[k].as_py()) for c in ("starts", "indices", "counts"))
+            yield batch, k, starts, numbers[indices], counts
+
+
+def matrix(cut: DataFrame, words: DataFrame, bits: int = BITS) -> DataFrame:
     """The shards with global columns: ``starts``, ``columns`` and ``counts`` of a sparse document-term matrix, and ``docs``."""
-    own = cut.select("shard", F.posexplode("words").alias("_code", "word"))
-    coded = own.join(words, "word").groupBy("shard").agg(F.sort_array(F.collect_list(F.struct("_code", "column"))).alias("_codes"))
-    known = cut.join(coded, "shard", "left").select("shard", "starts", "indices", "counts", "docs", F.col("_codes.column").alias("global"))
+    exceptions = _exceptions(words)
 
     def renumber(batches):
-        for batch in batches:
-            for k in range(batch.num_rows):
-                codes, given = batch.column("global")[k].values, np.asarray(batch.column("indices")[k].values)
-                columns = np.asarray(codes)[given] if codes is not None and len(given) else np.zeros(0, np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("shard").slice(k, 1), batch.column("starts").slice(k, 1), _one(columns, pa.int64()),
-                     batch.column("counts").slice(k, 1), batch.column("docs").slice(k, 1)],
-                    ["shard", "starts", "columns", "counts", "docs"])
+        for batch, k, starts, columns, counts in _global_rows(batches, exceptions, bits):
+            arrays = [pa.array([a], pa.list_(pa.int64())) for a in (starts, columns, counts)]
+            yield pa.RecordBatch.from_arrays([*arrays, batch.column("docs").slice(k, 1)], ["starts", "columns", "counts", "docs"])
 
     docs_kind = cut.schema["docs"].dataType.simpleString()
-    return known.mapInArrow(renumber, f"shard string, starts array<long>, columns array<long>, counts array<int>, docs {docs_kind}")
+    return cut.mapInArrow(renumber, f"starts array<long>, columns array<long>, counts array<long>, docs {docs_kind}")
 
 
-def row_sums(sparse: DataFrame) -> DataFrame:
-    """A row per document: its columns in ``docs``, ``n_words`` (sum of its matrix row) and ``n_distinct`` (nonzero columns)."""
+def row_sums(cut: DataFrame, words: DataFrame, bits: int = BITS) -> DataFrame:
+    """A row per document of the matrix: its own columns, ``n_words`` (sum of its row) and ``n_distinct`` (nonzero columns)."""
+    exceptions = _exceptions(words)
+
     def add(batches):
-        for batch in batches:
-            for k in range(batch.num_rows):
-                starts = np.asarray(batch.column("starts")[k].values)
-                counts = np.asarray(batch.column("counts")[k].values)
-                total = np.concatenate(([0], np.cumsum(counts, dtype=np.int64)))
-                docs = batch.column("docs")[k].values
-                yield pa.RecordBatch.from_arrays(
-                    [*docs.flatten(), pa.array(total[starts[1:]] - total[starts[:-1]], pa.int64()), pa.array(np.diff(starts), pa.int64())],
-                    [*[f.name for f in docs.type], "n_words", "n_distinct"])
-
-    fields = sparse.schema["docs"].dataType.elementType
+        for batch, k, starts, columns, counts in _global_rows(batches, exceptions, bits):
+            docs = batch.column("docs")[k].values
+            row = np.repeat(np.arange(len(docs)), np.diff(starts))
+            sums = np.bincount(row, weights=counts, minlength=len(docs)).astype(np.int64)  # exact below 2^53
+            order = np.lexsort((columns, row))
+            new = np.ones(len(order), bool)
+            new[1:] = (row[order][1:] != row[order][:-1]) | (columns[order][1:] != columns[order][:-1])
+            nonzero = np.bincount(row[order][new], minlength=len(docs))
+            yield pa.RecordBatch.from_arrays(
+                [*docs.flatten(), pa.array(sums), pa.array(nonzero, pa.int64())], [*[f.name for f in docs.type], "n_words", "n_distinct"])
+
+    fields = cut.schema["docs"].dataType.elementType
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in fields)
-    return sparse.select("starts", "counts", "docs").mapInArrow(add, f"{kinds}, n_words long, n_distinct long")
+    return cut.mapInArrow(add, f"{kinds}, n_words long, n_distinct long")
 
 
 def failed_by_text(rows: DataFrame) -> Column:
@@ -223,5 +250,5 @@ def audit(counted: DataFrame) -> DataFrame:
 def report(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", part_col: str = "lang", text_col: str = "text", size: int = SHARD) -> DataFrame:
     """The audit of whole tables: one row per part, order of the five filters, and step."""
     cut = shards(docs, id_col, part_col, text_col, size)
-    rows = row_sums(matrix(cut, dictionary(cut)))
+    rows = row_sums(cut, dictionary(cut))
     return audit(cells(rows, label_flags(labels, id_col)))

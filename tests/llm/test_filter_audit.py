@@ -3,7 +3,6 @@ import re
 from collections import Counter
 from itertools import permutations
 
-import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -82,19 +81,24 @@ def test_empty_tables(spark, nothing, edge, edge_rows, labels):
     assert A.report(edge.filter("text IS NULL"), labels).count() == 2 * 600
 
 
-def test_matrix_holds_every_word(spark):
+@pytest.mark.parametrize("bits", [63, 7])
+def test_matrix_holds_every_word(spark, labels, bits):
+    """Also where so few bits make many words share a hash."""
     rows = made_rows()
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(2)
     cut = A.shards(docs, size=3_000)
-    words = {r.column: bytes(r.word).decode() for r in A.dictionary(cut).collect()}
-    assert sorted(words) == list(range(len(words))) and [words[k] for k in sorted(words)] == sorted(words.values(), key=str.encode)
+    known = A.dictionary(cut, bits).collect()
+    words = {r.column: r.word for r in known}
+    assert len(words) == len(known) == len({r.word for r in known}) and any(c < 0 for c in words) == (bits == 7)
     got = {}
-    for r in A.matrix(cut, A.dictionary(cut)).collect():
+    for r in A.matrix(cut, A.dictionary(cut, bits), bits).collect():
         for k, doc in enumerate(r.docs):
             at = slice(r.starts[k], r.starts[k + 1])
             got[doc.id] = Counter(dict(zip((words[c] for c in r.columns[at]), r.counts[at])))
-    assert got == {doc: Counter(WORD.findall(text)) for doc, text, *_ in rows}
-    assert len(np.unique([r.shard for r in cut.collect()])) > 3
+    want = {doc: Counter(WORD.findall(text)) for doc, text, *_ in rows}
+    assert got == want and cut.count() > 3
+    sums = {r.id: (r.n_words, r.n_distinct) for r in A.row_sums(cut, A.dictionary(cut, bits), bits).collect()}
+    assert sums == {doc: (c.total(), len(c)) for doc, c in want.items()}
 
 
 def test_large_groups_of_copies_and_one_long_text(spark, labels):
