@@ -27,22 +27,24 @@ item's bytes.  An empty table gives no row.  Other columns are ignored.
 
 from __future__ import annotations
 
-import uuid
 from collections import Counter
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from salesmart.llm.packed import pack, unpack
 from salesmart.llm.words import utf8
 from salesmart.session import materialize
 
 #: Documents a kept term occurs in, at least; bytes of the first level's prefixes; ranks of the term part.
-LEAST, FIRST, TOP = 10, 4, 10
+LEAST, FIRST, TOP = 10, 8, 10
 
 #: Bytes of text of a shard, at least (the last document may go beyond it).
-SHARD = 8 << 20
+SHARD = 16 << 20
 
 #: Scale of a share.
 SCALE = 1_000_000_000
@@ -56,27 +58,16 @@ def terms_of(text: bytes) -> list[bytes]:
     return text.translate(LETTERS).split()
 
 
-def _pack(numbers: np.ndarray) -> bytes:
-    """Numbers not below 0 in as few bytes each as the largest needs, after the name of their type."""
-    kind = np.min_scalar_type(int(numbers.max(initial=0)))
-    return kind.char.encode() + numbers.astype(kind).tobytes()
-
-
-def _unpack(data: bytes) -> np.ndarray:
-    return np.frombuffer(data, np.dtype(chr(data[0])), offset=1).astype(np.int64)
-
-
-#: A shard: its languages, sources and terms, then packed numbers: each document's source, each term's language and the
+#: A shard: its languages, sources and terms (joined by blanks), then packed numbers: each document's source, each term's language and the
 #: end of its postings, and each posting's document and count.
-_STRINGS, _NUMBERS = ("langs", "sources", "terms"), ("source", "lang", "ends", "doc", "count")
-_SHARD = "shard string, langs array<string>, sources array<string>, terms array<binary>, " + ", ".join(f"{c} binary" for c in _NUMBERS)
+_STRINGS, _NUMBERS = ("langs", "sources"), ("source", "lang", "ends", "doc", "count")
+_SHARD = "shard long, langs array<string>, sources array<string>, terms binary, " + ", ".join(f"{c} binary" for c in _NUMBERS)
 _FOUND = "array<struct<lang: string, source: string, term: binary, n: long>>"
-_FOUND_ARROW = pa.list_(pa.struct([("lang", pa.string()), ("source", pa.string()), ("term", pa.binary()), ("n", pa.int64())]))
 
 
-def _row(shard: str, s: dict, **more: pa.Array) -> pa.RecordBatch:
-    kinds = {"langs": pa.string(), "sources": pa.string(), "terms": pa.binary()}
-    columns = {"shard": pa.array([shard])} | {c: pa.array([s[c]], pa.list_(kinds[c])) for c in _STRINGS} | {c: pa.array([_pack(s[c])], pa.binary()) for c in _NUMBERS}
+def _row(shard: int, s: dict, **more: pa.Array) -> pa.RecordBatch:
+    columns = {"shard": pa.array([shard])} | {c: pa.array([s[c]], pa.list_(pa.string())) for c in _STRINGS}
+    columns |= {"terms": pa.array([b" ".join(s["terms"])], pa.binary())} | {c: pa.array([pack(s[c])], pa.binary()) for c in _NUMBERS}
     return pa.RecordBatch.from_arrays([*columns.values(), *more.values()], [*columns, *more])
 
 
@@ -84,7 +75,7 @@ def _rows(batches):
     """(batch, row number, name, shard) of every shard."""
     for batch in batches:
         for k in range(batch.num_rows):
-            s = {c: batch.column(c)[k].as_py() for c in _STRINGS} | {c: _unpack(batch.column(c)[k].as_py()) for c in _NUMBERS}
+            s = {c: batch.column(c)[k].as_py() for c in _STRINGS} | {"terms": batch.column("terms")[k].as_py().split()} | {c: unpack(batch.column(c)[k].as_py()) for c in _NUMBERS}
             yield batch, k, batch.column("shard")[k].as_py(), s
 
 
@@ -95,97 +86,126 @@ def shards(docs: DataFrame, size: int = SHARD) -> DataFrame:
     """
 
     def cut(batches):
-        langs, sources, number, source, posts, filled = {}, {}, {}, [], ([], [], []), 0
+        langs, sources, source, filled = {}, {}, [], 0
+        shard = TaskContext.get().partitionId() << 32  # a task's shards are numbered on from here
 
         def close():
-            keys = sorted(number)
-            place = np.empty(len(keys), np.int64)
-            place[[number[k] for k in keys]] = np.arange(len(keys))
-            of, doc, count = (np.array(p, np.int64) for p in posts)
-            at = place[of]
-            order = np.argsort(at, kind="stable")
-            return _row(uuid.uuid4().hex, {
-                "langs": list(langs), "sources": list(sources), "terms": [t for _, t in keys], "source": np.array(source),
-                "lang": np.array([a for a, _ in keys], np.int64), "ends": np.cumsum(np.bincount(at, minlength=len(keys))),
-                "doc": doc[order], "count": count[order]})
+            """Terms of all languages in order, with their postings."""
+            terms, lang, n_posts, docs, counts = [], [], [], [], []
+            for a, (number, *posts) in enumerate(langs.values()):
+                of, doc, count = (np.array(p, np.int64) for p in posts)
+                order = sorted(number)
+                place = np.empty(len(order), np.int64)
+                place[[number[t] for t in order]] = np.arange(len(order))
+                at = place[of]
+                sort = np.argsort(at, kind="stable")
+                terms += order
+                lang.append(np.full(len(order), a))
+                n_posts.append(np.bincount(at, minlength=len(order)))
+                docs.append(doc[sort])
+                counts.append(count[sort])
+            return _row(shard, {
+                "langs": list(langs), "sources": list(sources), "terms": terms, "source": np.array(source), "lang": np.concatenate(lang),
+                "ends": np.cumsum(np.concatenate(n_posts)), "doc": np.concatenate(docs), "count": np.concatenate(counts)})
 
         for batch in batches:
             for lang, name, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), utf8(batch.column(2))):
-                a = langs.setdefault(lang, len(langs))
+                number, of, doc, count = langs.setdefault(lang, ({}, [], [], []))
                 found = Counter(terms_of(text))
-                posts[0].extend([number.setdefault((a, t), len(number)) for t in found])
-                posts[1].extend([len(source)] * len(found))
-                posts[2].extend(found.values())
+                of += [number.setdefault(t, len(number)) for t in found]
+                doc += [len(source)] * len(found)
+                count += found.values()
                 source.append(sources.setdefault(name, len(sources)))
                 filled += len(text)
                 if filled >= size:
                     yield close()
-                    langs, sources, number, source, posts, filled = {}, {}, {}, [], ([], [], []), 0
+                    langs, sources, source, filled, shard = {}, {}, [], 0, shard + 1
         if source:
             yield close()
 
     return materialize(docs.select("lang", "source", "text").mapInArrow(cut, _SHARD), "term-shards")
 
 
+def _groups(s: dict, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Each term's prefix, whether that is all of it, the number of its group, and the groups' first terms.
+
+    A complete term is a group of its own; the others are grouped by language
+    and prefix, whose terms follow each other.  All terms here are longer than
+    half the level's length (but at the first level), so the prefixes take no
+    more than twice the terms' bytes.
+    """
+    terms, lang = s["terms"], s["lang"]
+    cut = np.array(terms, dtype=f"S{length}")
+    done = np.fromiter(map(len, terms), np.int64, len(terms)) <= length
+    new = np.ones(len(terms), bool)
+    new[1:] = (cut[1:] != cut[:-1]) | (lang[1:] != lang[:-1]) | done[1:] | done[:-1]
+    return cut, done, np.cumsum(new) - 1, np.flatnonzero(new)
+
+
 def level(now: DataFrame, length: int) -> DataFrame:
-    """Documents of every prefix of ``length`` bytes in every shard: (shard, lang, prefix, complete, docs).
+    """Documents of every prefix of ``length`` bytes in every shard: (shard, no, lang, prefix, complete, docs).
 
-    A term of at most ``length`` bytes is complete and counts for itself; the
-    others count for their prefix, a document once.
+    ``no`` is the prefix's number in its shard.  A term of at most ``length``
+    bytes is complete and counts for itself; the others count for their
+    prefix, a document once.
     """
 
     def count(batches):
-        for _, _, name, s in _rows(batches):
+        for _, _, shard, s in _rows(batches):
             if not s["terms"]:
                 continue
-            cut = [t[:length] for t in s["terms"]]
-            done = np.fromiter((len(t) <= length for t in s["terms"]), bool, len(cut))
-            new = np.ones(len(cut), bool)  # terms are sorted, so those of a prefix follow each other
-            new[1:] = np.fromiter((x != y for x, y in zip(cut[1:], cut)), bool, len(cut) - 1)
-            new[1:] |= (s["lang"][1:] != s["lang"][:-1]) | done[1:] | done[:-1]
-            first, group = np.flatnonzero(new), np.cumsum(new) - 1
-            width = len(s["source"])
-            pairs = np.unique(np.repeat(group, np.diff(s["ends"], prepend=0)) * width + s["doc"])
+            cut, done, group, first = _groups(s, length)
+            per_term, width = np.diff(s["ends"], prepend=0), len(s["source"])
+            n = np.bincount(group, weights=per_term, minlength=len(first)).astype(np.int64)
+            shared = (np.bincount(group, minlength=len(first)) > 1)[group]  # terms whose documents may be the same
+            pairs = np.unique(np.repeat(group, per_term * shared) * width + s["doc"][np.repeat(shared, per_term)])
+            several = np.bincount(pairs // width, minlength=len(first))
             yield pa.RecordBatch.from_arrays(
-                [pa.array([name] * len(first)), pa.array([s["langs"][a] for a in s["lang"][first].tolist()]), pa.array([cut[f] for f in first.tolist()], pa.binary()),
-                 pa.array(done[first]), pa.array(np.bincount(pairs // width, minlength=len(first)))], ["shard", "lang", "prefix", "complete", "docs"])
+                [pa.array(np.full(len(first), shard)), pa.array(np.arange(len(first), dtype=np.int32)), pa.array(s["langs"], pa.string()).take(pa.array(s["lang"][first])),
+                 pa.array(cut[first].tolist(), pa.binary()), pa.array(done[first]), pa.array(np.where(several, several, n))],
+                ["shard", "no", "lang", "prefix", "complete", "docs"])
 
-    return now.mapInArrow(count, "shard string, lang string, prefix binary, complete boolean, docs long")
+    return now.mapInArrow(count, "shard long, no int, lang string, prefix binary, complete boolean, docs long")
 
 
 def _narrowed(s: dict, keep: np.ndarray) -> dict:
     """The shard with only the terms of ``keep``."""
     per_term = np.diff(s["ends"], prepend=0)
     post = np.repeat(keep, per_term)
-    return s | {"lang": s["lang"][keep], "terms": [t for t, k in zip(s["terms"], keep.tolist()) if k], "ends": np.cumsum(per_term[keep]),
+    return s | {"lang": s["lang"][keep], "terms": list(compress(s["terms"], keep.tolist())), "ends": np.cumsum(per_term[keep]),
                 "doc": s["doc"][post], "count": s["count"][post]}
 
 
-def _counts(s: dict) -> list[dict]:
-    """Every term's count in each source of the shard that has it."""
+def _counts(s: dict) -> pa.Array:
+    """Every term's count in each source of the shard that has it, as a list of one row."""
     width = max(len(s["sources"]), 1)
     key = np.repeat(np.arange(len(s["terms"])), np.diff(s["ends"], prepend=0)) * width + s["source"][s["doc"]]
     keys, place = np.unique(key, return_inverse=True)
     n = np.zeros(len(keys), np.int64)
     np.add.at(n, place, s["count"])
-    lang = s["lang"].tolist()
-    return [{"lang": s["langs"][lang[k // width]], "source": s["sources"][k % width], "term": s["terms"][k // width], "n": c}
-            for k, c in zip(keys.tolist(), n.tolist())]
+    term, source = pa.array(keys // width), pa.array(keys % width)
+    lang = pa.array(s["lang"]).take(term)
+    found = pa.StructArray.from_arrays(
+        [pa.array(s["langs"], pa.string()).take(lang), pa.array(s["sources"], pa.string()).take(source), pa.array(s["terms"], pa.binary()).take(term), pa.array(n)],
+        names=["lang", "source", "term", "n"])
+    return pa.ListArray.from_arrays(pa.array([0, len(found)], pa.int32()), found)
 
 
 def refined(now: DataFrame, live: DataFrame, length: int) -> DataFrame:
     """The shards with only the longer terms that extend a remaining prefix, and in ``found`` the counts of the kept
-    terms that are complete at this level (written once)."""
-    by_shard = live.groupBy("shard").agg(F.collect_list(F.struct("lang", "prefix", "complete")).alias("live"))
+    terms that are complete at this level (written once).
+
+    ``live`` has the numbers (shard, no) of what remains.
+    """
+    by_shard = live.groupBy("shard").agg(F.collect_list("no").alias("live"))
 
     def narrow(batches):
-        for batch, k, name, s in _rows(batches):
-            number = {lang: a for a, lang in enumerate(s["langs"])}
-            langs, prefixes, complete = (c.to_pylist() for c in batch.column("live")[k].values.flatten())
-            alive = {(number[a], p, c) for a, p, c in zip(langs, prefixes, complete)}
-            done = np.fromiter((len(t) <= length for t in s["terms"]), bool, len(s["terms"]))
-            keep = np.fromiter(((a, t[:length], d) in alive for a, t, d in zip(s["lang"].tolist(), s["terms"], done.tolist())), bool, len(done))
-            yield _row(name, _narrowed(s, keep & ~done), found=pa.array([_counts(_narrowed(s, keep & done))], _FOUND_ARROW))
+        for batch, k, shard, s in _rows(batches):
+            _, done, group, first = _groups(s, length)
+            alive = np.zeros(len(first), bool)
+            alive[np.asarray(batch.column("live")[k].values)] = True
+            keep = alive[group]
+            yield _row(shard, _narrowed(s, keep & ~done), found=_counts(_narrowed(s, keep & done)))
 
     return materialize(now.join(by_shard, "shard").mapInArrow(narrow, f"{_SHARD}, found {_FOUND}"), "refined")
 
@@ -199,11 +219,11 @@ def kept_terms(now: DataFrame, least: int = LEAST, first: int = FIRST) -> DataFr
     while True:
         seen = materialize(level(now, length), "prefixes")
         many = seen.groupBy("lang", "prefix", "complete").agg(F.sum("docs").alias("_all")).filter(F.col("_all") >= least).drop("_all")
-        live = seen.join(many, ["lang", "prefix", "complete"]).select("shard", "lang", "prefix", "complete")
+        live = seen.join(many, ["lang", "prefix", "complete"]).select("shard", "no")
         step = refined(now, live, length)
         part = step.select(F.explode("found").alias("_f")).select("_f.*")
         found = part if found is None else found.unionByName(part)
-        now = step.drop("found").filter(F.size("terms") > 0)
+        now = step.drop("found").filter(F.octet_length("terms") > 0)
         if now.isEmpty():
             return found
         length *= 2
@@ -281,7 +301,9 @@ def report(docs: DataFrame, lang_col: str = "lang", source_col: str = "source",
     """The parts ``pair`` (all other sources of the language) and ``term`` (the first ``top`` terms) of every (lang, source)."""
     text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
     given = docs.select(text(lang_col).alias("lang"), text(source_col).alias("source"), text(text_col).alias("text"))
-    kept = kept_terms(shards(given, size), least, first).groupBy("lang", "source", "term").agg(F.sum("n").alias("n"))
+    # A shard has one row for a term and source, so combining before the shuffle would not shrink them; dealt by term,
+    # both groupings find their rows together.
+    kept = kept_terms(shards(given, size), least, first).repartition("lang", "term").groupBy("lang", "source", "term").agg(F.sum("n").alias("n"))
     by_term = materialize(kept.groupBy("lang", "term").agg(F.sum("n").alias("all_n"), F.collect_list(F.struct("source", "n")).alias("seen")), "kept-terms")
     totals = by_term.select("lang", F.explode("seen").alias("_s")).groupBy("lang", "_s.source").agg(F.sum("_s.n").alias("total"))
     of_lang = by_term.groupBy("lang").agg(F.sum("all_n").alias("lang_total"), F.count(F.lit(1)).alias("v"))
