@@ -143,9 +143,9 @@ def _find_by_join(docs: DataFrame, windows: DataFrame, text_col: str, into: str)
     texts = keyed.select("_llm_key", F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("t")).dropDuplicates(["_llm_key"])
     cuts = texts.mapInArrow(cut, "key binary, start long, size int, win binary")
     hits = materialize(
-        cuts.join(windows, ["size", "win"]).groupBy("key").agg(
-            F.collect_set("item_id").alias("items"),
-            F.collect_set(F.struct("start", (F.col("start") + F.col("size")).alias("end"))).alias("at")),
+        cuts.join(windows, ["size", "win"]).groupBy(F.col("key").alias("_llm_key")).agg(
+            F.collect_set("item_id").alias("_llm_items"),
+            F.collect_set(F.struct("start", (F.col("start") + F.col("size")).alias("end"))).alias("_llm_at")),
         "benchmark-hits")
 
     @F.arrow_udf(FOUND)
@@ -155,8 +155,9 @@ def _find_by_join(docs: DataFrame, windows: DataFrame, text_col: str, into: str)
             rows.append(_result(len(normal_words(text)), [(x["start"], x["end"], ids) for x in spans or []]))
         return pa.array(rows, _FOUND_ARROW)
 
-    joined = keyed.join(hits.withColumnRenamed("key", "_llm_key"), "_llm_key", "left")
-    return joined.withColumn(into, close(F.col(text_col).cast("string"), "at", "items")).select(*docs.columns, into)
+    joined = keyed.join(hits, "_llm_key", "left")
+    closed = joined.withColumn(into, close(F.col(text_col).cast("string"), "_llm_at", "_llm_items"))
+    return closed.select(*[F.col(f"`{c}`") for c in docs.columns if c != into], into)
 
 
 def is_contaminated(found: Column) -> Column:

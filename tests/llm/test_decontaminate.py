@@ -2,6 +2,9 @@ import hashlib
 import re
 from collections import Counter
 
+import pytest
+from pyspark.sql import functions as F
+
 from salesmart.llm import decontaminate as D
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -48,7 +51,16 @@ def test_join_beyond_the_bound_agrees(spark, edge, edge_rows):
     assert pick(D.find_windows(edge, windows)) == pick(D.find_windows(edge, windows, max_windows=1))
 
 
-def test_drop_and_remove(spark, clashing, edge_rows):
+def test_join_path_with_clashing_names(spark, clashing, edge_rows):
+    docs = clashing.withColumns({c: F.lit("mine") for c in ("at", "items", "t", "n")})
+    windows = D.benchmark_windows(spark.createDataFrame(items_of(edge_rows), "item_id long, text string"))
+    pick = lambda df: Counter(map(str, df.select("doc_id", "found", "at", "items", "key").collect()))
+    assert pick(D.find_windows(docs, windows, max_windows=1)) == pick(D.find_windows(docs, windows))
+
+
+@pytest.mark.parametrize("bound", [D.MAX_WINDOWS, 1])
+def test_drop_and_remove(spark, clashing, edge_rows, monkeypatch, bound):
+    monkeypatch.setattr(D.find_windows, "__defaults__", ("text", "found", bound, D.MAX_BYTES))
     bench = spark.createDataFrame([(1, edge_rows[4][1])], "item_id long, text string")
     kept = D.drop_contaminated(clashing, bench)
     assert kept.columns == clashing.columns
