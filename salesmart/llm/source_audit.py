@@ -11,8 +11,11 @@ whether it is kept.  So rare terms go early, as prefixes of a few bytes.
 The documents of a task are a shard of bounded size, sorted by language and
 term, with the documents of each term; a prefix's documents in a shard are
 counted there (documents lie in one shard, so shards add up), and a shuffle
-sees one row per shard and prefix.  What remains is joined back by prefix and
-by shard; a shard shrinks from level to level and is written each time.
+sees one row of numbers per shard and prefix: its 64-bit key and its place in
+the shard.  What remains is joined back by key and by shard; a shard shrinks
+from level to level and is written each time.  Two prefixes of one key, if they
+ever occur, keep each other alive: the terms that reach the end are counted
+once more by their own bytes, which decides.
 
 Kept terms then give their counts by source.  A language's sources are compared
 term by term in blocks of an array, one partial sum for each pair of sources
@@ -32,6 +35,7 @@ from itertools import compress
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -62,7 +66,7 @@ def terms_of(text: bytes) -> list[bytes]:
 #: end of its postings, and each posting's document and count.
 _STRINGS, _NUMBERS = ("langs", "sources"), ("source", "lang", "ends", "doc", "count")
 _SHARD = "shard long, langs array<string>, sources array<string>, terms binary, " + ", ".join(f"{c} binary" for c in _NUMBERS)
-_FOUND = "array<struct<lang: string, source: string, term: binary, n: long>>"
+_FOUND = "array<struct<lang: string, source: string, term: binary, n: long, docs: long>>"
 
 
 def _row(shard: int, s: dict, **more: pa.Array) -> pa.RecordBatch:
@@ -142,12 +146,29 @@ def _groups(s: dict, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, n
     return cut, done, np.cumsum(new) - 1, np.flatnonzero(new)
 
 
+def _mixed(keys: np.ndarray) -> np.ndarray:
+    """A one-to-one mix of 64-bit numbers."""
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        keys = (keys ^ (keys >> np.uint64(shift))) * np.uint64(factor)
+    return keys ^ (keys >> np.uint64(31))
+
+
+def _keys(langs: list[str], lang: np.ndarray, cut: np.ndarray, done: np.ndarray) -> np.ndarray:
+    """A 64-bit key of every (language, prefix, completeness), the same in every shard."""
+    width = -(-cut.dtype.itemsize // 8)
+    blocks = np.ascontiguousarray(cut.astype(f"S{8 * width}")).view(np.uint64).reshape(len(cut), width)
+    keys = np.array([xxhash.xxh64_intdigest(a) for a in langs], np.uint64)[lang] ^ done.astype(np.uint64)
+    for k in range(width):
+        keys = _mixed(keys + np.uint64(0x9E3779B97F4A7C15)) ^ blocks[:, k]
+    return _mixed(keys).astype(np.int64)
+
+
 def level(now: DataFrame, length: int) -> DataFrame:
-    """Documents of every prefix of ``length`` bytes in every shard: (shard, no, lang, prefix, complete, docs).
+    """Documents of every prefix of ``length`` bytes in every shard: (shard, no, key, docs).
 
-    ``no`` is the prefix's number in its shard.  A term of at most ``length``
-    bytes is complete and counts for itself; the others count for their
-    prefix, a document once.
+    ``no`` is the prefix's number in its shard, ``key`` stands for language,
+    prefix and completeness.  A term of at most ``length`` bytes is complete
+    and counts for itself; the others count for their prefix, a document once.
     """
 
     def count(batches):
@@ -161,11 +182,10 @@ def level(now: DataFrame, length: int) -> DataFrame:
             pairs = np.unique(np.repeat(group, per_term * shared) * width + s["doc"][np.repeat(shared, per_term)])
             several = np.bincount(pairs // width, minlength=len(first))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(first), shard)), pa.array(np.arange(len(first), dtype=np.int32)), pa.array(s["langs"], pa.string()).take(pa.array(s["lang"][first])),
-                 pa.array(cut[first].tolist(), pa.binary()), pa.array(done[first]), pa.array(np.where(several, several, n))],
-                ["shard", "no", "lang", "prefix", "complete", "docs"])
+                [pa.array(np.full(len(first), shard)), pa.array(np.arange(len(first), dtype=np.int32)),
+                 pa.array(_keys(s["langs"], s["lang"][first], cut[first], done[first])), pa.array(np.where(several, several, n))], ["shard", "no", "key", "docs"])
 
-    return now.mapInArrow(count, "shard long, no int, lang string, prefix binary, complete boolean, docs long")
+    return now.mapInArrow(count, "shard long, no int, key long, docs long")
 
 
 def _narrowed(s: dict, keep: np.ndarray) -> dict:
@@ -177,17 +197,17 @@ def _narrowed(s: dict, keep: np.ndarray) -> dict:
 
 
 def _counts(s: dict) -> pa.Array:
-    """Every term's count in each source of the shard that has it, as a list of one row."""
+    """Every term's count and documents in each source of the shard that has it, as a list of one row."""
     width = max(len(s["sources"]), 1)
     key = np.repeat(np.arange(len(s["terms"])), np.diff(s["ends"], prepend=0)) * width + s["source"][s["doc"]]
-    keys, place = np.unique(key, return_inverse=True)
+    keys, place, docs = np.unique(key, return_inverse=True, return_counts=True)
     n = np.zeros(len(keys), np.int64)
     np.add.at(n, place, s["count"])
     term, source = pa.array(keys // width), pa.array(keys % width)
     lang = pa.array(s["lang"]).take(term)
     found = pa.StructArray.from_arrays(
-        [pa.array(s["langs"], pa.string()).take(lang), pa.array(s["sources"], pa.string()).take(source), pa.array(s["terms"], pa.binary()).take(term), pa.array(n)],
-        names=["lang", "source", "term", "n"])
+        [pa.array(s["langs"], pa.string()).take(lang), pa.array(s["sources"], pa.string()).take(source), pa.array(s["terms"], pa.binary()).take(term), pa.array(n), pa.array(docs)],
+        names=["lang", "source", "term", "n", "docs"])
     return pa.ListArray.from_arrays(pa.array([0, len(found)], pa.int32()), found)
 
 
@@ -210,17 +230,16 @@ def refined(now: DataFrame, live: DataFrame, length: int) -> DataFrame:
     return materialize(now.join(by_shard, "shard").mapInArrow(narrow, f"{_SHARD}, found {_FOUND}"), "refined")
 
 
-def kept_terms(now: DataFrame, least: int = LEAST, first: int = FIRST) -> DataFrame:
-    """(lang, source, term, n): the counts of every term that ``least`` documents of its language hold.
+def refine(now: DataFrame, least: int = LEAST, first: int = FIRST) -> DataFrame:
+    """(lang, source, term, n, docs) of the terms that remain at their level.
 
     There is one row for each source of a term and shard it occurs in.
     """
     found, length = None, first
     while True:
         seen = materialize(level(now, length), "prefixes")
-        many = seen.groupBy("lang", "prefix", "complete").agg(F.sum("docs").alias("_all")).filter(F.col("_all") >= least).drop("_all")
-        live = seen.join(many, ["lang", "prefix", "complete"]).select("shard", "no")
-        step = refined(now, live, length)
+        many = seen.groupBy("key").agg(F.sum("docs").alias("_all")).filter(F.col("_all") >= least).select("key")
+        step = refined(now, seen.join(many, "key").select("shard", "no"), length)
         part = step.select(F.explode("found").alias("_f")).select("_f.*")
         found = part if found is None else found.unionByName(part)
         now = step.drop("found").filter(F.octet_length("terms") > 0)
@@ -229,6 +248,15 @@ def kept_terms(now: DataFrame, least: int = LEAST, first: int = FIRST) -> DataFr
         length *= 2
 
 
+def kept_terms(now: DataFrame, least: int = LEAST, first: int = FIRST) -> DataFrame:
+    """(lang, term, all_n, seen): the terms that ``least`` documents of their language hold, with their counts by source."""
+    # A shard has one row for a term and source, so combining before the shuffle would not shrink them; dealt by term,
+    # both groupings find their rows together.
+    by_source = refine(now, least, first).repartition("lang", "term").groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    by_term = by_source.groupBy("lang", "term").agg(F.sum("n").alias("all_n"), F.sum("docs").alias("_docs"), F.collect_list(F.struct("source", "n")).alias("seen"))
+    return materialize(by_term.filter(F.col("_docs") >= least).drop("_docs"), "kept-terms")
+
+
 def _share(n: Column, total: Column, v: Column) -> Column:
     """1 + floor(SCALE * (n + 2) / (total + 2 v)), exactly."""
     big = lambda c: c.cast("decimal(19,0)")
@@ -301,10 +329,7 @@ def report(docs: DataFrame, lang_col: str = "lang", source_col: str = "source",
     """The parts ``pair`` (all other sources of the language) and ``term`` (the first ``top`` terms) of every (lang, source)."""
     text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
     given = docs.select(text(lang_col).alias("lang"), text(source_col).alias("source"), text(text_col).alias("text"))
-    # A shard has one row for a term and source, so combining before the shuffle would not shrink them; dealt by term,
-    # both groupings find their rows together.
-    kept = kept_terms(shards(given, size), least, first).repartition("lang", "term").groupBy("lang", "source", "term").agg(F.sum("n").alias("n"))
-    by_term = materialize(kept.groupBy("lang", "term").agg(F.sum("n").alias("all_n"), F.collect_list(F.struct("source", "n")).alias("seen")), "kept-terms")
+    by_term = kept_terms(shards(given, size), least, first)
     totals = by_term.select("lang", F.explode("seen").alias("_s")).groupBy("lang", "_s.source").agg(F.sum("_s.n").alias("total"))
     of_lang = by_term.groupBy("lang").agg(F.sum("all_n").alias("lang_total"), F.count(F.lit(1)).alias("v"))
     zero = lambda c: F.coalesce(c, F.lit(0)).cast("long").alias(c)

@@ -2,6 +2,7 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -82,15 +83,23 @@ def test_empty_table_and_texts_without_terms(spark, nothing):
 
 
 def test_levels_drop_rare_prefixes(spark):
-    rows = [("abcdefgh" if k < 12 else "abcdxy", "en", "a") for k in range(15)] + [("zzzzz", "en", "a")] * 9
+    rows = [("abcdefgh" if k < 12 else "abcdxy", "en", "a") for k in range(15)] + [("zzzzz", "en", "a")] * 9 + [("abcd zzzzz", "de", "a")] * 2
     now = A.shards(frame(spark, rows).select("lang", "source", "text"))
     seen = A.level(now, 4)
-    docs = {bytes(r.prefix): r.n for r in seen.groupBy("prefix").agg(F.sum("docs").alias("n")).collect()}
-    assert docs == {b"abcd": 15, b"zzzz": 9}
-    step = A.refined(now, seen.filter("prefix = X'61626364'"), 4)
+    docs = sorted(r.n for r in seen.groupBy("key").agg(F.sum("docs").alias("n")).collect())
+    assert docs == [2, 2, 9, 15]  # a complete term and prefixes of two languages
+    step = A.refined(now, seen.join(seen.groupBy("key").agg(F.sum("docs").alias("n")).filter("n = 15"), "key").select("shard", "no"), 4)
     assert {t for r in step.collect() for t in bytes(r.terms).split()} == {b"abcdefgh", b"abcdxy"}
-    kept = A.kept_terms(now, first=2).groupBy("term").agg(F.sum("n").alias("n")).collect()
-    assert [(bytes(r.term), r.n) for r in kept] == [(b"abcdefgh", 12)]
+    kept = A.kept_terms(now, first=2).collect()
+    assert [(r.lang, bytes(r.term), r.all_n) for r in kept] == [("en", b"abcdefgh", 12)]
+
+
+def test_terms_of_one_key_are_told_apart(spark, monkeypatch):
+    """With one key for all prefixes nothing is dropped by it, and the result is the same."""
+    rows = made_rows()
+    want = brute(rows)
+    monkeypatch.setattr(A, "_keys", lambda langs, lang, cut, done: np.zeros(len(cut), np.int64))
+    assert rows_of(A.report(frame(spark, rows), size=3_000)) == want
 
 
 def test_long_terms_and_texts(spark):
