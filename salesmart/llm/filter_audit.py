@@ -26,7 +26,6 @@ from __future__ import annotations
 
 import hashlib
 import json
-from collections import Counter
 from itertools import permutations
 
 import numpy as np
@@ -41,7 +40,7 @@ from salesmart.operators.ranking import with_rank
 from salesmart.session import materialize
 
 #: Bytes of text of a shard, at least (the last document may go beyond it).
-SHARD = 8 << 20
+SHARD = 16 << 20
 
 #: Bits of a word's number, and words whose hash another has, at most: as good as none at 63 bits, however many words.
 BITS, EXCEPTIONS = 63, 1_000_000
@@ -53,27 +52,37 @@ _FOLLOWING = bytes(range(128, 192))  # bytes of a character after its first
 _DOC = "digest binary, n_chars long, n_capitals long, n_symbols long"
 
 
+class _Codes(dict):
+    """Numbers words in the order they are first asked for."""
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = code = len(self)
+        return code
+
+
 class _Shard:
     """Rows of one shard, its own dictionary and its documents' own columns."""
 
     def __init__(self):
-        self.code: dict[bytes, int] = {}
-        self.indices: list[int] = []
-        self.counts: list[int] = []
-        self.starts = [0]
+        self.code = _Codes()
+        self.indices: list[np.ndarray] = []
+        self.counts: list[np.ndarray] = []
         self.own: list[tuple] = []
         self.size = 0
 
     def add(self, text: bytes) -> None:
-        words = Counter(split_words(text))
-        code = self.code
-        self.indices += [code.setdefault(w, len(code)) for w in words]
-        self.counts += words.values()
-        self.starts.append(len(self.indices))
+        words = split_words(text)
+        indices, counts = np.unique(np.fromiter(map(self.code.__getitem__, words), np.int32, len(words)), return_counts=True)
+        self.indices.append(indices)
+        self.counts.append(counts)
         n_chars = len(text.translate(None, _FOLLOWING))
         self.own.append((hashlib.sha256(text).digest(), n_chars, len(text) - len(text.translate(None, CAPITALS)), len(text) - len(text.translate(None, SYMBOLS))))
         self.size += len(text)
 
+    def packed(self) -> dict[str, bytes]:
+        starts = np.cumsum([0, *map(len, self.indices)])
+        return {"starts": pack(starts), "indices": pack(np.concatenate(self.indices)), "counts": pack(np.concatenate(self.counts))}
+
 
 def shards(docs: DataFrame, id_col: str = "doc_id", part_col: str = "lang", text_col: str = "text", size: int = SHARD) -> DataFrame:
     """CSR shards of the documents' words, each with its own dictionary ``words``, joined by blanks (written once).
@@ -96,8 +105,7 @@ def shards(docs: DataFrame, id_col: str = "doc_id", part_col: str = "lang", text
                 [pa.concat_arrays(ids), pa.concat_arrays(parts), pa.array(own[0], pa.binary()), *[pa.array(c, pa.int64()) for c in own[1:]]],
                 names=["id", "part", "digest", "n_chars", "n_capitals", "n_symbols"])
             columns = {
-                "words": pa.array([b" ".join(shard.code).decode()]), "starts": pa.array([pack(np.array(shard.starts))]),
-                "indices": pa.array([pack(np.array(shard.indices, np.int64))]), "counts": pa.array([pack(np.array(shard.counts, np.int64))]),
+                "words": pa.array([b" ".join(shard.code).decode()]), **{c: pa.array([data], pa.binary()) for c, data in shard.packed().items()},
                 "docs": pa.ListArray.from_arrays(pa.array([0, len(docs)], pa.int32()), docs)}
             return pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
@@ -149,13 +157,13 @@ def _exceptions(words: DataFrame) -> dict[bytes, int]:
 
 
 def _global_rows(batches, exceptions: dict[bytes, int], bits: int):
-    """(batch, row number, row starts, global columns, counts) of every shard."""
+    """(batch, row number, row starts, entries, global numbers of the shard's words, counts) of every shard."""
     for batch in batches:
         for k in range(batch.num_rows):
             words = batch.column("words")[k].as_py().encode().split(b" ")
             numbers = np.fromiter((exceptions.get(w) or _number(w, bits) for w in words), np.int64, len(words))
             starts, indices, counts = (unpack(batch.column(c)[k].as_py()) for c in ("starts", "indices", "counts"))
-            yield batch, k, starts, numbers[indices], counts
+            yield batch, k, starts, indices, numbers, counts
 
 
 def matrix(cut: DataFrame, words: DataFrame, bits: int = BITS) -> DataFrame:
@@ -163,8 +171,8 @@ def matrix(cut: DataFrame, words: DataFrame, bits: int = BITS) -> DataFrame:
     exceptions = _exceptions(words)
 
     def renumber(batches):
-        for batch, k, starts, columns, counts in _global_rows(batches, exceptions, bits):
-            arrays = [pa.array([a], pa.list_(pa.int64())) for a in (starts, columns, counts)]
+        for batch, k, starts, indices, numbers, counts in _global_rows(batches, exceptions, bits):
+            arrays = [pa.array([a], pa.list_(pa.int64())) for a in (starts, numbers[indices], counts)]
             yield pa.RecordBatch.from_arrays([*arrays, batch.column("docs").slice(k, 1)], ["starts", "columns", "counts", "docs"])
 
     docs_kind = cut.schema["docs"].dataType.simpleString()
@@ -176,14 +184,12 @@ def row_sums(cut: DataFrame, words: DataFrame, bits: int = BITS) -> DataFrame:
     exceptions = _exceptions(words)
 
     def add(batches):
-        for batch, k, starts, columns, counts in _global_rows(batches, exceptions, bits):
+        for batch, k, starts, _, numbers, counts in _global_rows(batches, exceptions, bits):
+            if len(np.unique(numbers)) < len(numbers):  # else an entry is a nonzero column of its row
+                raise ValueError("two words of a shard share a column")
             docs = batch.column("docs")[k].values
-            row = np.repeat(np.arange(len(docs)), np.diff(starts))
-            sums = np.bincount(row, weights=counts, minlength=len(docs)).astype(np.int64)  # exact below 2^53
-            order = np.lexsort((columns, row))
-            new = np.ones(len(order), bool)
-            new[1:] = (row[order][1:] != row[order][:-1]) | (columns[order][1:] != columns[order][:-1])
-            nonzero = np.bincount(row[order][new], minlength=len(docs))
+            total = np.concatenate(([0], np.cumsum(counts)))
+            sums, nonzero = total[starts[1:]] - total[starts[:-1]], np.diff(starts)
             yield pa.RecordBatch.from_arrays(
                 [*docs.flatten(), pa.array(sums), pa.array(nonzero, pa.int64())], [*[f.name for f in docs.type], "n_words", "n_distinct"])
 
