@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from salesmart.session import materialize
+
 #: Bytes of a hinted dimension (its rows as JSON text), at most.
 MAX_BROADCAST_BYTES = 64 << 20
 
@@ -23,37 +25,41 @@ def broadcast_bounded(df: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> Da
 
 
 def hot_keys(facts: DataFrame, key: str) -> DataFrame:
-    """Keys with more rows than an even share of a shuffle partition (column ``key``).
+    """Keys with more rows than an even share of a shuffle partition: (``key``, ``_spread``).
 
-    There are fewer of them than shuffle partitions, whatever the data: each
-    holds more than that share of all rows.  One row per key and task is
-    shuffled, and nothing is collected.
+    ``_spread`` is the number of even shares the key's rows fill.  There are
+    fewer such keys than shuffle partitions, whatever the data: each holds more
+    than that share of all rows.  One scan of the key column, one row per key
+    and task shuffled, nothing collected; the counts are written once, so the
+    total and the keys above it come from the same scan.
     """
-    parts = int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    share = facts.agg((F.count(F.lit(1)) / parts).alias("share"))
+    spark = facts.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     known = facts.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
-    return known.filter(F.col("_rows") > share.scalar()).select(key)
+    counted = materialize(known, "key-counts")
+    share = counted.agg((F.sum("_rows") / parts).alias("share")).scalar()
+    return counted.filter(F.col("_rows") > share).select(key, F.ceil(F.col("_rows") / share).cast("int").alias("_spread"))
 
 
 def spread_join(facts: DataFrame, dim: DataFrame, key: str, how: str = "inner") -> DataFrame:
     """Join facts to a dimension on ``key`` without gathering a hot key in one task.
 
-    Rows of hot keys stay where they are and meet the few dimension rows of
-    those keys by broadcast (bounded: see :func:`hot_keys`; a dimension has one
-    row per key); the others are joined by shuffle.  A left join keeps rows
-    with a NULL key in place too.  No session setting is relied on.
+    Rows of a hot key are dealt over as many shuffle partitions as they fill
+    (:func:`hot_keys`), and its dimension row is repeated for each; so is a
+    NULL key of a left join.  The part of a row is a hash of it, so a task that
+    runs again deals its rows as before.  The facts are scanned twice: once for
+    their keys, once for the join.  No session setting is relied on, and no key
+    is capped.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"spread join does not support {how!r}")
     hot = hot_keys(facts, key)
-    marked = facts.join(F.broadcast(hot.withColumn("_hot", F.lit(True))), key, "left")
-    stays: Column = F.col("_hot").isNotNull()
-    if how == "left":
-        stays = stays | F.col(key).isNull()
-    few = F.broadcast(dim.join(F.broadcast(hot), key, "left_semi"))
-    here = marked.filter(stays).drop("_hot").join(few, key, how)
-    moved = marked.filter(~stays).drop("_hot").join(dim, key, how)
-    return moved.unionByName(here)
+    parts = int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    lost = F.when(F.col(key).isNull(), F.lit(parts)) if how == "left" else F.lit(None).cast("int")
+    spread: Column = F.coalesce(F.col("_spread"), lost, F.lit(1))
+    dealt = facts.join(F.broadcast(hot), key, "left").withColumn("_part", F.pmod(F.xxhash64(*facts.columns), spread).cast("int")).drop("_spread")
+    copies = dim.join(F.broadcast(hot), key, "left").withColumn("_part", F.explode(F.sequence(F.lit(0), F.coalesce("_spread", F.lit(1)) - 1))).drop("_spread")
+    return dealt.join(copies, [key, "_part"], how).drop("_part")
 
 
 def duplicate_keys(df: DataFrame, *keys: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -67,6 +67,16 @@ def keyed(df: DataFrame, n: int | None, *keys: str) -> DataFrame:
     return df.repartition(n, *keys) if n else df.repartition(*keys)
 
 
+def placed(df: DataFrame, n: int, number: Column) -> DataFrame:
+    """Put every row in partition ``number`` modulo ``n`` (a whole number; NULL counts as 0).
+
+    Placement is the caller's, not a hash: a reader, or SQL, can name the
+    partition and so the file of a row.  A value that holds many rows fills its
+    partition; use it for ids, or with a number that spreads them.
+    """
+    return df.repartitionById(n, F.coalesce(F.pmod(number, F.lit(n)), F.lit(0)).cast("int"))
+
+
 def key_locality(df: DataFrame, key: str) -> DataFrame:
     """Per key: number of partitions holding it (1 after :func:`keyed`), count, revenue.
 
@@ -80,12 +90,6 @@ def key_locality(df: DataFrame, key: str) -> DataFrame:
     )
 
 
-def rows_over_partitions(df: DataFrame) -> DataFrame:
-    """R1, whatever the layout: all rows of the partitions, and the largest less the mean is not below 0."""
-    sizes = partition_sizes(df)
-    return sizes.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("total_rows"), (F.max("rows") >= F.avg("rows")).alias("max_at_least_mean"))
-
-
 def benchmark_sales(orders: DataFrame) -> DataFrame:
     """A10: count and revenue per product plus one grand-total row (``is_total`` = 1).
 

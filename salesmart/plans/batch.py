@@ -3,8 +3,9 @@
 Zones under ``data_dir``::
 
     raw/orders.csv, raw/products.jsonl, raw/access.log
-    lake/bronze/orders    parquet, raw schema (overwrite)
+    lake/bronze/orders    parquet, raw schema and the text of malformed lines (overwrite); products alike
     lake/silver/orders    parquet, refined schema (overwrite)
+    lake/rejects          lines that could not be read: source, reason, line, file
     marts/<section>       parquet mart tables
     document/<section>    every section as sorted JSON lines, document/summary the head
 
@@ -18,12 +19,12 @@ import datetime as _dt
 from time import perf_counter
 from zoneinfo import ZoneInfo
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salesmart.functions.logs import parse_requests
 from salesmart.functions.refine import refine_orders
-from salesmart.operators import joins, marts, tables
+from salesmart.operators import joins, marts, quarantine, tables
 from salesmart.plans import dashboard
 from salesmart.sources import files
 
@@ -34,6 +35,8 @@ class Zones:
         self.raw = f"{d}/raw"
         self.bronze = f"{d}/lake/bronze/orders"
         self.silver = f"{d}/lake/silver/orders"
+        self.bronze_products = f"{d}/lake/bronze/products"
+        self.rejects = f"{d}/lake/rejects"
         self.marts = f"{d}/marts"
         self.document = f"{d}/document"
 
@@ -46,26 +49,30 @@ SILVER_CLUSTER_BY = ("order_date", "order_id")
 
 
 def load_silver(
-    spark: SparkSession,
-    zones: Zones,
-    strict: bool = False,
-    partition_by: tuple[str, ...] = (),
-    rejects: Observation | None = None,
-) -> DataFrame:
-    """S1 -> K1 -> S4 -> refine -> K2: write bronze and silver, and read silver.
+    spark: SparkSession, zones: Zones, strict: bool = False, partition_by: tuple[str, ...] = (), drop_malformed: bool = True
+) -> tuple[DataFrame, DataFrame]:
+    """S1 -> K1 -> S4 -> refine -> K2: write bronze and silver; silver read back, and the rejected lines of bronze.
 
-    ``rejects`` (an Observation) receives ``rejected_orders``, the rows whose
-    ``ordered_at`` text could not be parsed, counted during the silver write.
+    Bronze holds every line, a malformed one as its text; silver holds the
+    rows that could be read.
     """
-    raw = files.read_orders_csv(spark, f"{zones.raw}/orders.csv")
-    tables.overwrite(raw, zones.bronze)
-    bronze = files.read_bronze(spark, zones.bronze)
-    if rejects is not None:
-        bad = F.col("ordered_at").isNotNull() & F.try_to_timestamp("ordered_at").isNull()
-        bronze = bronze.observe(rejects, F.count_if(bad).alias("rejected_orders"))
-    refined = refine_orders(bronze, strict=strict)
-    tables.overwrite(refined.sortWithinPartitions(*SILVER_CLUSTER_BY), zones.silver, partition_by)
-    return spark.read.schema(refined.schema).parquet(zones.silver)
+    tables.overwrite(files.scan_orders_csv(spark, f"{zones.raw}/orders.csv"), zones.bronze)
+    good, rejects = quarantine.split_orders(files.read_bronze(spark, zones.bronze), drop_malformed)
+    refined = refine_orders(good, strict=strict)
+    tables.overwrite(refined.sortWithinPartitions(*SILVER_CLUSTER_BY), zones.silver, partition_by, lookup=("order_id",))
+    return spark.read.schema(refined.schema).parquet(zones.silver), rejects
+
+
+def load_products(spark: SparkSession, zones: Zones) -> tuple[DataFrame, DataFrame]:
+    """Bronze products read back, and the rejected lines."""
+    tables.overwrite(files.scan_products_jsonl(spark, f"{zones.raw}/products.jsonl"), zones.bronze_products)
+    return quarantine.split_products(files.read_bronze(spark, zones.bronze_products))
+
+
+def load_requests(spark: SparkSession, zones: Zones, strict: bool = False) -> tuple[DataFrame, DataFrame]:
+    """S3: typed requests and the rejected lines.  The log is parsed for each: page views need one group of a line only."""
+    lines, rejects = quarantine.split_log(files.scan_access_log(spark, f"{zones.raw}/access.log"))
+    return parse_requests(lines, strict=strict), rejects
 
 
 def build_marts(orders: DataFrame, products: DataFrame, requests: DataFrame, totals: DataFrame | None = None) -> dict[str, DataFrame]:
@@ -97,20 +104,22 @@ def run(
     strict: bool = False,
     unique_products: bool = False,
     partition_by: tuple[str, ...] = (),
+    drop_malformed: bool = True,
 ) -> dict:
     """Run the whole batch and return the head of the dashboard document.
 
     ``unique_products`` fails the run when a product id repeats (it would fan
-    out orders in the joins); off by default, as in the reference.
+    out orders in the joins); off by default, as in the reference.  A malformed
+    order line is only among the rejects; without ``drop_malformed`` it is an
+    order too, with NULL fields.
     """
     started = perf_counter()
     zones = Zones(data_dir)
-    rejects = Observation("rejected_orders")
-    orders = load_silver(spark, zones, strict, partition_by, rejects)
-    products = files.read_products_jsonl(spark, f"{zones.raw}/products.jsonl")
+    orders, bad_orders = load_silver(spark, zones, strict, partition_by, drop_malformed)
+    products, bad_products = load_products(spark, zones)
     if unique_products:
         joins.assert_unique(products, "product_id")
-    requests = parse_requests(files.read_access_log(spark, f"{zones.raw}/access.log"), strict=strict)
+    requests, bad_lines = load_requests(spark, zones, strict)
     # One scan of silver for every product / day / hour total; each grouping
     # set is a folder of its own, so a mart reads its totals only.
     marts.fact_totals(orders).write.mode("overwrite").partitionBy("gid").parquet(f"{zones.marts}/fact_totals")
@@ -122,12 +131,10 @@ def run(
         generated_at = _dt.datetime.now(zone).isoformat(timespec="seconds")
     by_day = totals.filter(F.col("gid") == marts.BY_DAY_ID)
     head = {"generated_at": generated_at, "order_count": by_day.agg(F.sum("order_count")).first()[0] or 0}
-    # Tolerant parsing turns bad input into NULL; report how much was turned.
-    # Orders: counted while silver was written.  Log lines: the NULL-day
-    # group of the page-view mart already counts them.
-    head["rejected_orders"] = int(rejects.get["rejected_orders"])
-    null_day = spark.read.parquet(f"{zones.marts}/page_views").filter(F.col("visit_date").isNull())
-    head["rejected_log_lines"] = null_day.agg(F.coalesce(F.sum("page_views"), F.lit(0))).first()[0]
+    tables.overwrite(bad_orders.unionByName(bad_products).unionByName(bad_lines), zones.rejects)
+    rejected = quarantine.counts(spark.read.parquet(zones.rejects))
+    for name, source in (("orders", "orders"), ("products", "products"), ("log_lines", "access_log")):
+        head[f"rejected_{name}"] = sum(n for (s, _), n in rejected.items() if s == source)
     dashboard.write_sections(spark, zones.marts, zones.document)
     head |= dashboard.bounded_sections(spark, zones.document)
     head["pipeline_seconds"] = round(perf_counter() - started, 3)

@@ -71,10 +71,15 @@ def write_summary(spark: SparkSession, head: dict, document: str) -> None:
     spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(f"{document}/summary")
 
 
+def exists(spark: SparkSession, folder: str) -> bool:
+    """Whether a folder has been written."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+
 def read_summary(spark: SparkSession, document: str) -> dict | None:
     """The written head; None before the first batch."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{document}/summary")
-    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+    if not exists(spark, f"{document}/summary"):
         return None
     return json.loads(spark.read.text(f"{document}/summary", wholetext=True).first().value)
 

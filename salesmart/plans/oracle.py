@@ -135,7 +135,8 @@ FROM reqs""",
     "q_page_views": """
 SELECT strftime(ts, '%Y-%m-%d') AS visit_date, COUNT(*) AS page_views FROM events GROUP BY 1""",
     "q_order_preview": with_(ORDERS) + """
-SELECT order_id, product_id, quantity, amount FROM ords ORDER BY order_id DESC LIMIT 10""",
+SELECT order_id, product_id, quantity, amount, CAST(row_number() OVER (ORDER BY order_id DESC) AS INTEGER) AS position
+FROM ords ORDER BY order_id DESC LIMIT 10""",
     "q_dashboard_products": with_(TIMED, PRODUCTS, DASH_PRODUCTS) + "SELECT * FROM dash",
     "q_product_totals_full": with_(LINES, CUSTOMERS) + """,
 totals AS (
@@ -179,7 +180,7 @@ FROM ords WHERE order_date = DATE '1995-06-01'""",
     "q_point_lookup": with_(ORDERS) + "SELECT order_id, quantity, amount FROM ords WHERE order_id = 1",
     "q_sample_sales_by_day": with_(ORDERS) + f"""
 SELECT CAST(order_date AS VARCHAR) AS order_date, CAST(SUM(amount) AS BIGINT) AS revenue
-FROM ords GROUP BY order_date""",
+FROM {SAMPLE} GROUP BY order_date""",
     "q_sample_sales_by_product": with_(ORDERS, CUSTOMERS) + f"""
 SELECT s.product_id, c.name AS product_name, COUNT(*) AS order_count, CAST(SUM(s.amount) AS BIGINT) AS revenue
 FROM ords s JOIN custs c ON s.product_id = c.product_id
@@ -242,7 +243,12 @@ SELECT product_id, CAST(GROUPING(product_id) AS INTEGER) AS is_total, COUNT(*) A
        CAST(SUM(amount) AS BIGINT) AS revenue
 FROM lines GROUP BY ROLLUP (product_id)""",
     "q_map_reduce_sales": KEY_SUMMARY,
-    "q_partition_sizes": "SELECT COUNT(*) AS total_rows, true AS max_at_least_mean FROM lineitem",
+    "q_partition_sizes": with_(LINES) + """
+SELECT CAST(order_id % 8 AS INTEGER) AS partition_id, COUNT(*) AS "rows" FROM lines GROUP BY 1""",
+    "q_partition_report": with_(LINES) + """
+SELECT CAST(product_id % 8 AS INTEGER) AS partition_id, product_id, COUNT(*) AS "rows",
+       row_number() OVER (ORDER BY product_id % 8, product_id) AS rank
+FROM lines GROUP BY product_id""",
     "q_repartition_sales": REVENUE_BY_PRODUCT,
     "q_coalesce_sales": REVENUE_BY_PRODUCT,
     "q_keyed_partition_sales": with_(LINES) + """
@@ -334,7 +340,7 @@ SELECT CAST(c.product_id AS VARCHAR) AS product_id, COUNT(o.order_id) AS order_c
        CAST(COALESCE(SUM(o.amount), 0) AS BIGINT) AS revenue, CAST(COALESCE(SUM(o.quantity), 0) AS BIGINT) AS sold_quantity
 FROM custs c LEFT JOIN ords o ON c.product_id = o.product_id GROUP BY c.product_id"""
 SQL["q_dashboard_rows"] = with_(LINES, PRODUCTS, BY_CATEGORY) + """,
-hours AS (SELECT CAST(hour(ordered_at) AS VARCHAR) AS key, COUNT(*) AS order_count, CAST(SUM(amount) AS BIGINT) AS revenue FROM lines GROUP BY 1)
+all_rows AS (WITH hours AS (SELECT CAST(hour(ordered_at) AS VARCHAR) AS key, COUNT(*) AS order_count, CAST(SUM(amount) AS BIGINT) AS revenue FROM lines GROUP BY 1)
 SELECT 'by_product' AS section, CAST(p.product_id AS VARCHAR) AS key, COUNT(l.order_id) AS order_count,
        CAST(COALESCE(SUM(l.amount), 0) AS BIGINT) AS revenue, CAST(COALESCE(SUM(l.quantity), 0) AS BIGINT) AS sold_quantity,
        CAST(NULL AS BIGINT) AS page_views, CAST(NULL AS DOUBLE) AS revenue_share_pct, CAST(NULL AS BIGINT) AS amount
@@ -343,4 +349,46 @@ UNION ALL SELECT 'by_day', CAST(order_date AS VARCHAR), COUNT(*), CAST(SUM(amoun
 UNION ALL SELECT 'page_views', strftime(ts, '%Y-%m-%d'), NULL, NULL, NULL, COUNT(*), NULL, NULL FROM events GROUP BY 2
 UNION ALL SELECT 'by_category', category, order_count, revenue, NULL, NULL, NULL, NULL FROM by_category
 UNION ALL SELECT 'by_hour', key, order_count, revenue, NULL, NULL,
-  """ + half_up("revenue / (SELECT CAST(SUM(revenue) AS BIGINT) FROM hours) * 100") + """, NULL FROM hours"""
+  """ + half_up("revenue / (SELECT CAST(SUM(revenue) AS BIGINT) FROM hours) * 100") + """, NULL FROM hours)
+SELECT *, row_number() OVER (PARTITION BY section ORDER BY CASE WHEN section = 'by_hour' THEN CAST(key AS INTEGER) END, key) AS position FROM all_rows"""
+
+SQL["q_update_files"] = with_(ORDERS) + """
+SELECT COUNT(*) FILTER (WHERE order_id = 1) AS num_updated_rows, COUNT(*) FILTER (WHERE order_id <> 1) AS num_copied_rows,
+       COUNT(DISTINCT order_id % 8) AS num_removed_files, COUNT(DISTINCT order_id % 8) AS num_added_files
+FROM ords WHERE order_id % 8 IN (SELECT order_id % 8 FROM ords WHERE order_id = 1)"""
+SQL["q_load_sequence"] = SQL["q_versioned_append"]
+SQL["q_day_table_orders"] = SQL["q_orders_on_day"]
+SQL["q_day_table_join"] = with_(ORDERS) + f"""
+SELECT {ORDER_COLS} FROM ords WHERE strftime(order_date, '%Y-%m') = '1995-06' AND isodow(order_date) = 1"""
+SQL["q_order_search_index"] = SQL["q_order_search"].replace("'12'", "'0012'")
+SQL["q_point_lookup_filter"] = SQL["q_point_lookup"]
+SQL["q_stored_join"] = SQL["q_enriched_orders"]
+SQL["q_section_sizes"] = "SELECT * FROM (" + SQL["q_dashboard_doc"] + ") WHERE section <> 'order_count'"
+CHANGED = """changed AS (
+  SELECT * REPLACE (CASE WHEN order_id % 777 = 0 THEN quantity * 2 ELSE quantity END AS quantity,
+                    CASE WHEN order_id % 777 = 0 THEN amount * 2 ELSE amount END AS amount)
+  FROM ords WHERE order_id % 1000 <> 0)"""
+SQL["q_incremental_periods"] = with_(ORDERS, CHANGED) + """,
+months AS (SELECT strftime(order_date, '%Y-%m') AS month, BOOL_OR(order_id % 1000 = 0 OR order_id % 777 = 0) AS touched,
+                  BOOL_OR(order_id % 1000 <> 0) AS stays FROM ords GROUP BY 1)
+SELECT (SELECT COUNT(*) FROM ords) AS before_count, (SELECT COUNT(*) FROM changed) AS after_count,
+       COUNT(*) FILTER (WHERE touched AND stays) AS changed_periods, COUNT(*) FILTER (WHERE NOT stays) AS vanished_periods FROM months"""
+SQL["q_incremental_products"] = with_(ORDERS, CUSTOMERS, CHANGED) + """
+SELECT c.product_id, c.name, c.category, c.name AS product_name, COUNT(o.order_id) AS order_count,
+       CAST(COALESCE(SUM(o.amount), 0) AS BIGINT) AS revenue, CAST(COALESCE(SUM(o.quantity), 0) AS BIGINT) AS sold_quantity
+FROM custs c LEFT JOIN changed o ON c.product_id = o.product_id GROUP BY c.product_id, c.name, c.category"""
+SQL["q_quarantined_lines"] = with_(ORDERS, CUSTOMERS, REQUESTS) + f"""
+SELECT 'orders' AS source, 'malformed_row' AS reason,
+       order_id || ',' || product_id || ',two,' || unit_price || ',' || CASE WHEN order_id % 13 = 0 THEN 'soon' ELSE {ISO} END AS line
+FROM ords WHERE order_id % 11 = 0
+UNION ALL SELECT 'orders', 'bad_instant', 'soon' FROM ords WHERE order_id % 13 = 0 AND order_id % 11 <> 0
+UNION ALL SELECT 'products', 'malformed_row', printf('{{"product_id":"%d","name":"%s"', product_id, name) FROM custs WHERE product_id % 7 = 0
+UNION ALL SELECT 'access_log', CASE WHEN duration_ms = 3 THEN 'unmatched_line' ELSE 'bad_instant' END,
+       CASE WHEN duration_ms = 3 THEN replace(line, ' ', ';') ELSE 'not-a-time' || substr(line, strpos(line, ' ')) END
+FROM (SELECT *, strftime(requested_at, '%Y-%m-%dT%H:%M:%S') || '+09:00 ' || method || ' ' || path || ' ' || status || ' ' || duration_ms AS line FROM reqs)
+WHERE duration_ms IN (3, 5)"""
+SQL["q_clean_orders"] = with_(ORDERS) + f"""
+SELECT order_id, CAST(product_id AS VARCHAR) AS product_id, quantity, unit_price,
+       CASE WHEN order_id % 13 <> 0 THEN strftime(ordered_at, {SECONDS}) END AS ordered_at, amount,
+       CASE WHEN order_id % 13 <> 0 THEN CAST(order_date AS VARCHAR) END AS order_date
+FROM ords WHERE order_id % 11 <> 0"""

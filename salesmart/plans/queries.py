@@ -9,16 +9,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from salesmart.functions import labels
 from salesmart.functions.logs import parse_requests
 from salesmart.functions.refine import refine_orders
-from salesmart.operators import exports, intake, marts, partitions, tables
+from salesmart.operators import exports, footers, intake, layout, marts, partitions, quarantine, search, tables
 from salesmart.operators.ranking import with_rank
-from salesmart.plans import batch, dashboard, refresh
-from salesmart.session import DEFAULT_ZONE, materialize, scratch_path
+from salesmart.plans import batch, dashboard, incremental, refresh
+from salesmart.session import BENCHMARK_SCAN_CONF, DEFAULT_ZONE, materialize, scratch_path
 from salesmart.sources import files
 from salesmart.sources import testdata as td
 
@@ -38,6 +38,16 @@ Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
 
 
+def own_session(spark: SparkSession, **conf: str) -> SparkSession:
+    """A session of the same application in the engine's zone, with settings of its own."""
+    own = spark.newSession()
+    for key in ("spark.sql.shuffle.partitions", "spark.sql.ansi.enabled"):
+        own.conf.set(key, spark.conf.get(key))
+    for key, value in {"spark.sql.session.timeZone": DEFAULT_ZONE, **conf}.items():
+        own.conf.set(key, value)
+    return own
+
+
 def query(fn: Query) -> Query:
     """Register ``fn`` under its own name.
 
@@ -47,13 +57,8 @@ def query(fn: Query) -> Query:
     """
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        if spark.conf.get("spark.sql.session.timeZone") != DEFAULT_ZONE:
-            own = spark.newSession()
-            for key in ("spark.sql.shuffle.partitions", "spark.sql.ansi.enabled"):
-                own.conf.set(key, spark.conf.get(key))
-            own.conf.set("spark.sql.session.timeZone", DEFAULT_ZONE)
-            spark = own
-        return fn(spark, sf_dir)
+        zoned = spark.conf.get("spark.sql.session.timeZone") == DEFAULT_ZONE
+        return fn(spark if zoned else own_session(spark), sf_dir)
 
     run.__name__ = fn.__name__
     run.__doc__ = fn.__doc__
@@ -138,8 +143,8 @@ def q_total_sales(spark, sf_dir):
 
 @query
 def q_order_count(spark, sf_dir):
-    """Number of order lines."""
-    return marts.order_count(td.order_lines(spark, sf_dir))
+    """Number of order lines, from the footers of their files."""
+    return footers.row_count(spark, td.table_path(sf_dir, "lineitem"))
 
 
 @query
@@ -163,8 +168,9 @@ def q_page_views(spark, sf_dir):
 
 @query
 def q_order_preview(spark, sf_dir):
-    """Ten highest order ids."""
-    return marts.order_preview(td.orders(spark, sf_dir))
+    """Ten highest order ids; ``position`` is the place in the preview."""
+    newest = Window.orderBy(F.col("order_id").desc())  # over ten rows
+    return marts.order_preview(td.orders(spark, sf_dir)).withColumn("position", F.row_number().over(newest))
 
 
 @query
@@ -259,9 +265,9 @@ def q_point_lookup(spark, sf_dir):
 
 @query
 def q_sample_sales_by_day(spark, sf_dir):
-    """Daily revenue."""
+    """Daily revenue of the sampled orders."""
     return (
-        td.orders(spark, sf_dir).groupBy("order_date")
+        sample_orders(td.orders(spark, sf_dir)).groupBy("order_date")
         .agg(F.sum("amount").alias("revenue"))
         .withColumn("order_date", F.col("order_date").cast("string"))
     )
@@ -299,16 +305,31 @@ def q_map_reduce_sales(spark, sf_dir):
 
 @query
 def q_csv_benchmark_sales(spark, sf_dir):
-    """The same straight from CSV files, read with the explicit schema."""
+    """The same straight from CSV files, read with the explicit schema and the benchmark's split sizes.
+
+    The sizes are set in a session of the query's own.
+    """
     path = scratch_path(spark, "orders-csv")
     exports.write_csv(exports.orders_snapshot(td.raw_order_lines(spark, sf_dir)), path)
-    return partitions.benchmark_sales(refine_orders(files.read_orders_csv(spark, path)))
+    own = own_session(spark, **BENCHMARK_SCAN_CONF)
+    return partitions.benchmark_sales(refine_orders(files.read_orders_csv(own, path)))
+
+
+#: Partitions of the placed reports.
+PLACES = 8
 
 
 @query
 def q_partition_sizes(spark, sf_dir):
-    """Rows per partition, summed up so that the result does not depend on the layout."""
-    return partitions.rows_over_partitions(td.order_lines(spark, sf_dir))
+    """Rows per partition of order lines that are placed by their order id."""
+    return partitions.partition_sizes(partitions.placed(td.order_lines(spark, sf_dir), PLACES, F.col("order_id")))
+
+
+@query
+def q_partition_report(spark, sf_dir):
+    """Rows of every (partition, product) of order lines placed by product; ``rank`` is the place in that order."""
+    lines = partitions.placed(td.order_lines(spark, sf_dir), PLACES, F.col("product_id"))
+    return with_rank(partitions.partition_report(lines, "product_id"), F.col("partition_id"), F.col("product_id"))
 
 
 @query
@@ -344,14 +365,28 @@ def order_parts(orders: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def order_table(spark: SparkSession, sf_dir: str, update: bool = False) -> DataFrame:
-    """V5: overwrite with the early orders, append the rest, and update one order."""
+    """V5: overwrite with the early orders, append the rest, and update one order in place."""
     path = scratch_path(spark, "orders")
     first, rest = order_parts(td.orders(spark, sf_dir))
     tables.overwrite(rest, path)
     tables.overwrite(first, path)
     tables.append(rest, path)
-    stored = spark.read.parquet(path)
-    return materialize(tables.updated(stored, UPDATE_SET, UPDATE_WHERE), "updated") if update else stored
+    if update:
+        tables.update(spark, path, UPDATE_SET, UPDATE_WHERE)
+    return spark.read.parquet(path)
+
+
+def load_session(spark: SparkSession) -> SparkSession:
+    """A session whose loads use all cores although a folder of the test tables holds a few rows only."""
+    return own_session(spark, **{"spark.sql.adaptive.coalescePartitions.minPartitionSize": "1k"})
+
+
+def day_table(spark: SparkSession, *parts: DataFrame) -> DataFrame:
+    """Orders loaded by day, one part after the other."""
+    path = scratch_path(spark, "orders-by-day")
+    for part in parts:
+        tables.load(part, path, "order_date", sort_by=("order_id",))
+    return spark.read.schema(parts[0].schema).parquet(path)
 
 
 def _order_rows(df: DataFrame) -> DataFrame:
@@ -392,6 +427,52 @@ def q_versioned_update_sales(spark, sf_dir):
     return marts.revenue_by_product(order_table(spark, sf_dir, update=True))
 
 
+@query
+def q_update_files(spark, sf_dir):
+    """V1/V4: metrics of an update of one order in a table whose file an order's id decides."""
+    path = scratch_path(spark, "orders-placed")
+    tables.overwrite(partitions.placed(td.orders(spark, sf_dir), PLACES, F.col("order_id")), path)
+    done = tables.update(spark, path, UPDATE_SET, UPDATE_WHERE)
+    return spark.createDataFrame([tuple(done.values())], ", ".join(f"{name} long" for name in done))
+
+
+@query
+def q_load_sequence(spark, sf_dir):
+    """K2/K3/V5: orders loaded by day in two parts; the second is loaded twice, as after a failure."""
+    spark = load_session(spark)
+    first, rest = order_parts(td.orders(spark, sf_dir))
+    return _order_rows(day_table(spark, first, rest, rest))
+
+
+@query
+def q_day_table_orders(spark, sf_dir):
+    """Orders of one date literal from the table by day; the scan lists that day's folder."""
+    spark = load_session(spark)
+    stored = day_table(spark, td.orders(spark, sf_dir))
+    return _order_rows(stored.filter(F.col("order_date") == F.lit(DEMO_DAY).cast("date")))
+
+
+#: The days of the join with a day dimension: Mondays of one month.
+DEMO_MONTH, MONDAY = "1995-06", 0
+
+
+def days_of(orders: DataFrame) -> DataFrame:
+    """Day dimension: order_date, its month and weekday (0 is Monday)."""
+    days = orders.select("order_date").distinct()
+    return days.withColumns({"month": F.date_format("order_date", "yyyy-MM"), "weekday": F.weekday("order_date")})
+
+
+@query
+def q_day_table_join(spark, sf_dir):
+    """Orders of some days of a day dimension; the dimension's filter prunes the scan's folders at run time."""
+    spark = load_session(spark)
+    orders = td.orders(spark, sf_dir)
+    path = scratch_path(spark, "days")
+    tables.overwrite(days_of(orders), path)
+    chosen = spark.read.parquet(path).filter((F.col("month") == DEMO_MONTH) & (F.col("weekday") == MONDAY))
+    return _order_rows(day_table(spark, orders).join(chosen.select("order_date", "month"), "order_date")).drop("month")
+
+
 # --- intake and lookups -------------------------------------------------------------
 
 SEARCH_TERM = " #12 "
@@ -444,6 +525,49 @@ def q_order_search(spark, sf_dir):
     return found.select("order_id", "product_id", "name", "quantity", "amount")
 
 
+#: A term with trigrams, which the index serves.
+INDEXED_TERM = " #0012 "
+
+
+def order_index(spark: SparkSession, sf_dir: str) -> str:
+    """Path of a search index of all orders."""
+    path = scratch_path(spark, "order-index")
+    search.build_index(marts.enrich(td.orders(spark, sf_dir), td.customers_as_products(spark, sf_dir)), path)
+    return path
+
+
+@query
+def q_order_search_index(spark, sf_dir):
+    """P20: the search by a term of four characters, from an index of trigrams."""
+    found = search.search(spark, order_index(spark, sf_dir), INDEXED_TERM)
+    return found.select("order_id", "product_id", "name", "quantity", "amount")
+
+
+#: An id within the table's range that no order has in the look-up table.
+LOST_ORDER_ID = 7
+
+
+@query
+def q_point_lookup_filter(spark, sf_dir):
+    """Two order ids in a table whose row groups have Bloom filters; one of them is not there.
+
+    The table is not sorted by id, so minima and maxima skip nothing.
+    """
+    path = scratch_path(spark, "orders-lookup")
+    orders = td.orders(spark, sf_dir).filter(F.col("order_id") != LOST_ORDER_ID)
+    tables.overwrite(partitions.placed(orders, PLACES, F.col("order_id")), path, lookup=("order_id",))
+    stored = spark.read.parquet(path)
+    found = [stored.filter(F.col("order_id") == k) for k in (POINT_ORDER_ID, LOST_ORDER_ID)]
+    return found[0].unionByName(found[1]).select("order_id", "quantity", "amount")
+
+
+@query
+def q_stored_join(spark, sf_dir):
+    """Order lines with their product from co-partitioned tables, joined without a shuffle."""
+    stored = layout.store(td.order_lines(spark, sf_dir), td.products(spark, sf_dir), "product_id", scratch_path(spark, "layout"))
+    return as_text(layout.join(spark, stored), ordered_at=SECONDS, order_date=DAY)
+
+
 @query
 def q_menu_by_category(spark, sf_dir):
     """Menu of one category by product id; ``rank`` is the place in that order."""
@@ -575,22 +699,35 @@ SECTION_FIELDS = ("order_id string, product_id string, order_date string, visit_
 
 
 def document_rows(spark: SparkSession, document: str) -> DataFrame:
-    """Every row of every written section: section, key and values (NULL where a section has no such field)."""
+    """Every row of every written section: section, key and values (NULL where a section has no such field), and its
+    place in the section as ``position``."""
     parts = None
     for name, key in SECTION_KEYS.items():
         rows = dashboard.read_section(spark, document, name, SECTION_FIELDS)
+        # A file's lines are read in order, split by split.
+        place = [F.col("_metadata.file_name").alias("_file"), F.col("_metadata.file_block_start").alias("_start"), F.monotonically_increasing_id().alias("_line")]
         kept = rows.select(F.lit(name).alias("section"), F.col(key).alias("key"), "order_count", "revenue",
-                           "sold_quantity", "page_views", "revenue_share_pct", "amount")
+                           "sold_quantity", "page_views", "revenue_share_pct", "amount", *place)
         parts = kept if parts is None else parts.unionByName(kept)
-    return parts
+    ranked = with_rank(parts, *map(F.col, ("section", "_file", "_start", "_line")), name="_rank")
+    first = ranked.groupBy("section").agg((F.min("_rank") - 1).alias("_before"))
+    placed = ranked.join(F.broadcast(first), "section").withColumn("position", F.col("_rank") - F.col("_before"))
+    return placed.drop("_file", "_start", "_line", "_rank", "_before")
 
 
 @query
 def q_dashboard_rows(spark, sf_dir):
-    """All section rows of the document the batch has written."""
+    """All section rows of the document the batch has written, with their places."""
     return document_rows(spark, run_batch(spark, sf_dir).document).filter("section <> 'preview'")
 
 
+@query
+def q_section_sizes(spark, sf_dir):
+    """Rows of every mart the batch has written, from the footers of their files in one job."""
+    marts_dir = run_batch(spark, sf_dir).marts
+    return footers.folder_sizes(spark, {name: f"{marts_dir}/{name}" for name in dashboard.SECTION_ORDER})
+
+
 @query
 def q_refresh_counts(spark, sf_dir):
     """L2: the document holds the orders before the split day; a refresh brings all of them."""
@@ -611,3 +748,63 @@ def _refreshed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, batch.Zones
     lines = td.access_log_lines(spark, sf_dir)
     refresh.refresh(spark, data_dir, order_parts(orders)[0], products, lines)
     return refresh.refresh(spark, data_dir, orders, products, lines), batch.Zones(data_dir)
+
+
+# --- refresh of changed periods, quarantine ---------------------------------------------
+
+#: Orders that are cancelled (they vanish) and corrected (their amounts change) between two refreshes.
+CANCELLED, CORRECTED = 1000, 777
+
+
+def changed_orders(orders: DataFrame) -> DataFrame:
+    """Orders without the cancelled ones, the corrected ones with twice the quantity."""
+    left = orders.filter(F.col("order_id") % CANCELLED != 0)
+    twice = F.col("order_id") % CORRECTED == 0
+    return left.withColumns({c: F.when(twice, F.col(c) * 2).otherwise(F.col(c)).cast(left.schema[c].dataType) for c in ("quantity", "amount")})
+
+
+def _incremental(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, str]:
+    """The early orders, then all (late months come in), then some cancelled and corrected; the last refresh's row."""
+    spark = load_session(spark)
+    data_dir = scratch_path(spark, "incremental")
+    orders, products = td.orders(spark, sf_dir), td.customers_as_products(spark, sf_dir)
+    for now in (order_parts(orders)[0], orders):
+        incremental.refresh_periods(spark, data_dir, now, grain="month")
+    return incremental.refresh(spark, data_dir, changed_orders(orders), products, td.access_log_lines(spark, sf_dir), grain="month"), data_dir
+
+
+@query
+def q_incremental_periods(spark, sf_dir):
+    """L2: orders before and after the last refresh, and the months it has computed anew or removed."""
+    return _incremental(spark, sf_dir)[0]
+
+
+@query
+def q_incremental_products(spark, sf_dir):
+    """L2: the product section after refreshes that compute changed months only."""
+    return spark.read.parquet(f"{batch.Zones(_incremental(spark, sf_dir)[1]).marts}/by_product").drop("average_order_amount")
+
+
+def _scanned_raw(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Raw files of which some lines are damaged, scanned: orders, products, log."""
+    raw = scratch_path(spark, "damaged")
+    sources = {"orders.csv": td.damaged_order_csv, "products.jsonl": td.damaged_product_json, "access.log": td.damaged_log_lines}
+    for name, lines in sources.items():
+        exports.copy_text(lines(spark, sf_dir), f"{raw}/{name}")
+    orders = materialize(files.scan_orders_csv(spark, f"{raw}/orders.csv", header=False), "bronze")
+    products = materialize(files.scan_products_jsonl(spark, f"{raw}/products.jsonl"), "bronze")
+    return orders, products, files.scan_access_log(spark, f"{raw}/access.log")
+
+
+@query
+def q_quarantined_lines(spark, sf_dir):
+    """Every line that could not be read whole, with its source and the reason."""
+    orders, products, lines = _scanned_raw(spark, sf_dir)
+    rejects = [quarantine.split_orders(orders)[1], quarantine.split_products(products)[1], quarantine.split_log(lines)[1]]
+    return rejects[0].unionByName(rejects[1]).unionByName(rejects[2]).drop("file")
+
+
+@query
+def q_clean_orders(spark, sf_dir):
+    """The orders that quarantine leaves, refined; an unreadable time is NULL."""
+    return _order_rows(refine_orders(quarantine.split_orders(_scanned_raw(spark, sf_dir)[0])[0]))

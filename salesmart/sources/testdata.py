@@ -26,12 +26,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmart.functions.logs import format_request_line
+from salesmart.functions.logs import ISO_SECONDS, format_request_line
 from salesmart.functions.refine import refine_orders
 
 
+def table_path(sf_dir: str, name: str) -> str:
+    return f"{sf_dir.rstrip('/')}/{name}.parquet"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spark.read.parquet(table_path(sf_dir, name))
 
 
 def cents(column: str) -> Column:
@@ -169,3 +173,18 @@ def menu(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("s_nationkey").cast("string").alias("category"),
         cents("s_acctbal").alias("unit_price"),
     )
+
+
+def damaged_order_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as CSV lines without a header: every 11th has no number for its quantity, every 13th no time."""
+    k = F.col("order_id")
+    quantity = F.when(k % 11 == 0, F.lit("two")).otherwise(F.col("quantity").cast("string"))
+    time = F.when(k % 13 == 0, F.lit("soon")).otherwise(F.date_format("ordered_at", ISO_SECONDS))
+    return raw_orders(spark, sf_dir).select(F.concat_ws(",", k.cast("string"), F.col("product_id").cast("string"), quantity, F.col("unit_price").cast("string"), time).alias("value"))
+
+
+def damaged_product_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Products as JSON lines, every seventh cut off after its name."""
+    line = F.format_string('{"product_id":"%d","name":"%s"', "product_id", "name")
+    rest = F.format_string(',"category":"%s"}', "category")
+    return customers_as_products(spark, sf_dir).select(F.when(F.col("product_id") % 7 == 0, line).otherwise(F.concat(line, rest)).alias("value"))
