@@ -1,4 +1,4 @@
-"""Join helpers: size-checked broadcast, joins that split hot keys, the key-uniqueness check."""
+"""Join helpers: size-checked broadcasts, joins that split hot keys, the key-uniqueness check."""
 
 from __future__ import annotations
 
@@ -11,19 +11,34 @@ from salesmart.session import materialize
 MAX_BROADCAST_BYTES = 64 << 20
 
 
+def _json_bytes(df: DataFrame) -> DataFrame:
+    """One row: the bytes of the rows as JSON text, ``size``."""
+    return df.agg(F.coalesce(F.sum(F.octet_length(F.to_json(F.struct(*df.columns)))), F.lit(0)).alias("size"))
+
+
 def broadcast_bounded(df: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
     """``df`` hinted for broadcast; the query fails when it is larger than ``max_bytes``.
 
     The size is a scalar subquery of the same query, one aggregated row, so no
     job runs while the query is built.  A caller whose dimension may outgrow
-    the bound uses :func:`spread_join`.
+    the bound uses :func:`broadcast_join` or :func:`spread_join`.
     """
-    size = df.agg(F.coalesce(F.sum(F.octet_length(F.to_json(F.struct(*df.columns)))), F.lit(0)).alias("size"))
+    size = _json_bytes(df)
     message = F.concat(F.lit(f"dimension is larger than the {max_bytes} bytes that may be broadcast: "), size.scalar().cast("string"))
     fits = F.when(size.scalar() > max_bytes, F.raise_error(message).cast("boolean")).otherwise(F.lit(True))
     return F.broadcast(df.filter(fits))
 
 
+def broadcast_join(facts: DataFrame, dim: DataFrame, key: str, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """Inner join with the dimension hinted for broadcast up to ``max_bytes``; a larger one is shuffled, with the same rows.
+
+    One scan of the dimension measures it while the query is built.  ``facts``
+    are aggregated by ``key`` before, so no key is hot.
+    """
+    fits = _json_bytes(dim).first()["size"] <= max_bytes
+    return facts.join(F.broadcast(dim) if fits else dim.hint("merge"), key)
+
+
 def hot_keys(facts: DataFrame, key: str) -> DataFrame:
     """Keys with more rows than an even share of a shuffle partition: (``key``, ``_spread``).
 
