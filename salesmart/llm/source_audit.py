@@ -83,6 +83,14 @@ def _rows(batches):
             yield batch, k, batch.column("shard")[k].as_py(), s
 
 
+class _Numbers(dict):
+    """Numbers of terms, from 0 in the order they are first asked for."""
+
+    def __missing__(self, term: bytes) -> int:
+        value = self[term] = len(self)
+        return value
+
+
 def shards(docs: DataFrame, size: int = SHARD) -> DataFrame:
     """One row per shard (written once): its terms sorted by language and bytes, with the documents and counts of each.
 
@@ -96,13 +104,14 @@ def shards(docs: DataFrame, size: int = SHARD) -> DataFrame:
         def close():
             """Terms of all languages in order, with their postings."""
             terms, lang, n_posts, docs, counts = [], [], [], [], []
-            for a, (number, *posts) in enumerate(langs.values()):
-                of, doc, count = (np.array(p, np.int64) for p in posts)
+            for a, (number, *posts, own, n) in enumerate(langs.values()):
+                of, count = (np.array(p, np.int64) for p in posts)
+                doc = np.repeat(np.array(own, np.int64), n)
                 order = sorted(number)
                 place = np.empty(len(order), np.int64)
                 place[[number[t] for t in order]] = np.arange(len(order))
                 at = place[of]
-                sort = np.argsort(at, kind="stable")
+                sort = np.sort(at << 32 | np.arange(len(at))) & 0xFFFFFFFF  # by place, then as they came
                 terms += order
                 lang.append(np.full(len(order), a))
                 n_posts.append(np.bincount(at, minlength=len(order)))
@@ -114,11 +123,14 @@ def shards(docs: DataFrame, size: int = SHARD) -> DataFrame:
 
         for batch in batches:
             for lang, name, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), utf8(batch.column(2))):
-                number, of, doc, count = langs.setdefault(lang, ({}, [], [], []))
+                if lang not in langs:
+                    langs[lang] = _Numbers(), [], [], [], []  # terms; each posting's term and count; documents and their postings
+                number, of, count, own, n = langs[lang]
                 found = Counter(terms_of(text))
-                of += [number.setdefault(t, len(number)) for t in found]
-                doc += [len(source)] * len(found)
-                count += found.values()
+                of.extend(map(number.__getitem__, found))
+                count.extend(found.values())
+                own.append(len(source))
+                n.append(len(found))
                 source.append(sources.setdefault(name, len(sources)))
                 filled += len(text)
                 if filled >= size:
@@ -237,9 +249,9 @@ def refine(now: DataFrame, least: int = LEAST, first: int = FIRST) -> DataFrame:
     """
     found, length = None, first
     while True:
-        seen = materialize(level(now, length), "prefixes")
-        many = seen.groupBy("key").agg(F.sum("docs").alias("_all")).filter(F.col("_all") >= least).select("key")
-        step = refined(now, seen.join(many, "key").select("shard", "no"), length)
+        # One shuffle by key: each row meets its prefix's total beside it (a key has a row in a shard at most, or two).
+        seen = level(now, length).withColumn("_all", F.sum("docs").over(Window.partitionBy("key")))
+        step = refined(now, seen.filter(F.col("_all") >= least).select("shard", "no"), length)
         part = step.select(F.explode("found").alias("_f")).select("_f.*")
         found = part if found is None else found.unionByName(part)
         now = step.drop("found").filter(F.octet_length("terms") > 0)

@@ -113,3 +113,13 @@ def test_exact_beyond_64_bits(spark):
     df = spark.createDataFrame([(n, total, v)], "n long, total long, v long")
     p = df.select(A._share(F.col("n"), F.col("total"), F.col("v"))).first()[0]
     assert p == 1 + 10**9 * (n + 2) // (total + 2 * v)
+
+
+def test_prefixes_are_not_written_before_they_are_counted(spark, monkeypatch):
+    written, keep = [], A.materialize
+    monkeypatch.setattr(A, "materialize", lambda df, name: written.append(name) or keep(df, name))
+    rows = [(f"common{'x' * 20} rare{k}", "en", "a") for k in range(12)]
+    docs = spark.createDataFrame(rows, "text string, lang string, source string")
+    kept = A.kept_terms(A.shards(docs.select("lang", "source", "text")))
+    assert sorted((bytes(r.term), r.all_n) for r in kept.collect()) == [(b"common" + b"x" * 20, 12), (b"rare", 12)]
+    assert set(written) == {"term-shards", "refined", "kept-terms"}
