@@ -1,8 +1,9 @@
 """Order search by an inverted index of trigrams (P20).
 
-The index has one posting (gram, order id) for each distinct trigram of an
-order's search text, in folders by the gram's hash and sorted by gram within
-each file, and the number of orders of every gram.  A search reads the counts
+The index has postings of every distinct trigram of an order's search text: for
+each block of orders and gram, a row with the ids of those that have it, in
+folders by the gram's hash and sorted by gram within each file, and the number
+of orders of every gram.  A search reads the counts
 of the term's trigrams, intersects the postings of the rarest few, and tests
 the candidates' texts.  Terms of one or two characters have no trigram and scan
 the texts, with the same result.
@@ -14,6 +15,8 @@ it is read only when the term has no rarer one.
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,11 +29,22 @@ SIZE = 3
 BUCKETS, RAREST = 64, 3
 
 
-def grams(text: Column) -> Column:
-    """Distinct trigrams of a text, in characters."""
-    starts = F.sequence(F.lit(1), F.greatest(F.length(text) - (SIZE - 1), F.lit(1)))
-    cut = F.transform(starts, lambda k: F.substring(text, k, F.lit(SIZE)))
-    return F.array_distinct(F.filter(cut, lambda g: F.length(g) == SIZE))
+def _posted(batches):
+    """(gram, order_ids) of every distinct trigram, in characters, of a block of orders."""
+    for batch in batches:
+        texts = [t or "" for t in batch.column("search_text").to_pylist()]
+        chars = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32).astype(np.int64)
+        row = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
+        starts = np.flatnonzero(row[:1 - SIZE] == row[SIZE - 1:])  # the others run into the next text
+        gram = chars[starts]
+        for k in range(1, SIZE):
+            gram = gram << 21 | chars[starts + k]
+        found, number = np.unique(gram, return_inverse=True)
+        pairs = np.unique(number << 32 | row[starts])
+        ends = np.searchsorted(pairs >> 32, np.arange(len(found) + 1))
+        names = ["".join(chr(g >> 21 * k & 0x1FFFFF) for k in reversed(range(SIZE))) for g in found.tolist()]
+        ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), batch.column("order_id").take(pa.array(pairs & 0xFFFFFFFF)))
+        yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), ids], ["gram", "order_ids"])
 
 
 def _bucket(gram: Column) -> Column:
@@ -47,17 +61,21 @@ def build_index(orders_with_names: DataFrame, path: str, name: str = "name") ->
     spark = orders_with_names.sparkSession
     tables.overwrite(orders_with_names.withColumn("search_text", labels.search_text("order_id", name)), f"{path}/texts", lookup=("order_id",))
     texts = spark.read.parquet(f"{path}/texts")
-    postings = texts.select("order_id", F.explode(grams(F.col("search_text"))).alias("gram")).withColumn("bucket", _bucket(F.col("gram")))
-    sorted_by = postings.hint("rebalance", "bucket").sortWithinPartitions("bucket", "gram", "order_id")
+    posted = texts.select("order_id", "search_text").mapInArrow(_posted, f"gram string, order_ids array<{_id_type(texts)}>")
+    sorted_by = posted.withColumn("bucket", _bucket(F.col("gram"))).hint("rebalance", "bucket").sortWithinPartitions("bucket", "gram")
     tables.overwrite(sorted_by, f"{path}/postings", ("bucket",))
-    counts = _stored(spark, path, "postings").groupBy("bucket", "gram").agg(F.count(F.lit(1)).alias("n"))
+    counts = _stored(spark, path, "postings").groupBy("bucket", "gram").agg(F.sum(F.size("order_ids")).alias("n"))
     tables.overwrite(counts.sortWithinPartitions("gram"), f"{path}/counts", ("bucket",))
 
 
+def _id_type(texts: DataFrame) -> str:
+    return texts.schema["order_id"].dataType.simpleString()
+
+
 def _stored(spark: SparkSession, path: str, part: str) -> DataFrame:
     """``postings`` or ``counts`` of an index, which have no file where there is no trigram."""
-    order_id = spark.read.parquet(f"{path}/texts").schema["order_id"].dataType.simpleString()
-    columns = {"postings": f"order_id {order_id}", "counts": "n long"}[part]
+    order_id = _id_type(spark.read.parquet(f"{path}/texts"))
+    columns = {"postings": f"order_ids array<{order_id}>", "counts": "n long"}[part]
     return spark.read.schema(f"gram string, {columns}, bucket int").parquet(f"{path}/{part}")
 
 
@@ -80,7 +98,7 @@ def candidates(spark: SparkSession, path: str, term: str, rarest: int = RAREST)
         return None
     known = {r.gram: r.n for r in _of_grams(spark, path, "counts", wanted).groupBy("gram").agg(F.sum("n").alias("n")).collect()}
     few = sorted(wanted, key=lambda g: (known.get(g, 0), g))[:rarest]
-    postings = _of_grams(spark, path, "postings", few)
+    postings = _of_grams(spark, path, "postings", few).select(F.explode("order_ids").alias("order_id"))
     return postings.groupBy("order_id").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= len(few)).select("order_id")
 
 

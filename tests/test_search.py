@@ -56,3 +56,14 @@ def test_only_folders_of_the_rarest_trigrams_are_read(spark, index):
 def test_empty_table(spark, tmp_path):
     search.build_index(spark.createDataFrame([], "order_id long, name string"), str(tmp_path))
     assert search.search(spark, str(tmp_path), "tea").count() == 0 and search.search(spark, str(tmp_path), "").count() == 0
+
+
+def test_postings_are_packed_and_complete(spark, orders, index):
+    stored = search._stored(spark, index, "postings")
+    one = stored.filter("gram = '호밀빵'").selectExpr("explode(order_ids) AS order_id")
+    want = orders.filter("name = '호밀빵'").select("order_id")
+    assert sorted(map(tuple, one.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+    texts = [r[0] for r in orders.select(labels.search_text("order_id", "name")).collect()]
+    n = sum(len(search.term_grams(t)) for t in texts)
+    assert stored.selectExpr("sum(size(order_ids))").first()[0] == n and stored.count() < n
+    assert search._stored(spark, index, "counts").selectExpr("sum(n)").first()[0] == n
