@@ -13,7 +13,10 @@ term, with the documents of each term; a prefix's documents in a shard are
 counted there (documents lie in one shard, so shards add up), and a shuffle
 sees one row of numbers per shard and prefix: its 64-bit key and its place in
 the shard.  What remains is joined back by key and by shard; a shard shrinks
-from level to level and is written each time.  Two prefixes of one key, if they
+from level to level and is written each time.  A shard is written in parts of
+bounded size, cut where the first level's prefix changes, so that each part is
+a shard of its own to all levels and no reader or writer holds many of them at
+once.  Two prefixes of one key, if they
 ever occur, keep each other alive: the terms that reach the end are counted
 once more by their own bytes, which decides.
 
@@ -50,6 +53,12 @@ LEAST, FIRST, TOP = 10, 8, 10
 #: Bytes of text of a shard, at least (the last document may go beyond it).
 SHARD = 16 << 20
 
+#: Bytes of terms and postings of a shard's part, about (the last prefix's terms may go beyond it).
+PART = 256 << 10
+
+#: Documents whose texts are held as bytes at a time.
+TEXTS = 512
+
 #: Scale of a share.
 SCALE = 1_000_000_000
 
@@ -62,11 +71,14 @@ def terms_of(text: bytes) -> list[bytes]:
     return text.translate(LETTERS).split()
 
 
-#: A shard: its languages, sources and terms (joined by blanks), then packed numbers: each document's source, each term's language and the
+#: A part of a shard: its languages, sources and terms (joined by blanks), then packed numbers: each document's source, each term's language and the
 #: end of its postings, and each posting's document and count.
 _STRINGS, _NUMBERS = ("langs", "sources"), ("source", "lang", "ends", "doc", "count")
 _SHARD = "shard long, langs array<string>, sources array<string>, terms binary, " + ", ".join(f"{c} binary" for c in _NUMBERS)
-_FOUND = "array<struct<lang: string, source: string, term: binary, n: long, docs: long>>"
+#: Counts of kept terms in the sources of a part, in lists of bounded length.  Rows of these stand among those of the parts, without terms.
+_FOUND = pa.list_(pa.struct([("lang", pa.string()), ("source", pa.string()), ("term", pa.binary()), ("n", pa.int64()), ("docs", pa.int64())]))
+_EACH = 64
+
 
 
 def _row(shard: int, s: dict, **more: pa.Array) -> pa.RecordBatch:
@@ -91,10 +103,28 @@ class _Numbers(dict):
         return value
 
 
-def shards(docs: DataFrame, size: int = SHARD) -> DataFrame:
-    """One row per shard (written once): its terms sorted by language and bytes, with the documents and counts of each.
-
-    ``docs`` has the string columns lang, source and text, none of them null.
+def _parts(s: dict, length: int, size: int):
+    """A shard in parts of about ``size`` bytes, each with its own documents only; terms of one language and prefix stay together."""
+    terms, lang, per_term = s["terms"], s["lang"], np.diff(s["ends"], prepend=0)
+    if not terms:
+        return
+    cut = np.array([t[:length] for t in terms])
+    place = np.cumsum(np.fromiter(map(len, terms), np.int64, len(terms)) + 4 * per_term) // size
+    new = np.flatnonzero((cut[1:] != cut[:-1]) | (lang[1:] != lang[:-1])) + 1
+    begins = np.concatenate(([0], new[np.diff(place[new - 1], prepend=0) > 0]))
+    for lo, hi in zip(begins.tolist(), [*begins[1:].tolist(), len(terms)]):
+        first, last = s["ends"][lo] - per_term[lo], s["ends"][hi - 1]
+        doc, mine = s["doc"][first:last], np.zeros(len(s["source"]), bool)
+        mine[doc] = True
+        yield s | {"terms": terms[lo:hi], "lang": lang[lo:hi], "ends": s["ends"][lo:hi] - first, "count": s["count"][first:last],
+                   "source": s["source"][mine], "doc": (np.cumsum(mine) - 1)[doc]}
+
+
+def shards(docs: DataFrame, size: int = SHARD, first: int = FIRST, part: int = PART) -> DataFrame:
+    """Rows of a shard's parts (written once): terms sorted by language and bytes, with the documents and counts of each.
+
+    ``docs`` has the string columns lang, source and text, none of them null.  No level may be shorter than ``first``, else
+    a prefix's terms may lie in two parts, and documents that have both count twice.
     """
 
     def cut(batches):
@@ -102,7 +132,8 @@ def shards(docs: DataFrame, size: int = SHARD) -> DataFrame:
         shard = TaskContext.get().partitionId() << 32  # a task's shards are numbered on from here
 
         def close():
-            """Terms of all languages in order, with their postings."""
+            """Terms of all languages in order, with their postings, in parts."""
+            nonlocal shard
             terms, lang, n_posts, docs, counts = [], [], [], [], []
             for a, (number, *posts, own, n) in enumerate(langs.values()):
                 of, count = (np.array(p, np.int64) for p in posts)
@@ -117,11 +148,13 @@ def shards(docs: DataFrame, size: int = SHARD) -> DataFrame:
                 n_posts.append(np.bincount(at, minlength=len(order)))
                 docs.append(doc[sort])
                 counts.append(count[sort])
-            return _row(shard, {
-                "langs": list(langs), "sources": list(sources), "terms": terms, "source": np.array(source), "lang": np.concatenate(lang),
-                "ends": np.cumsum(np.concatenate(n_posts)), "doc": np.concatenate(docs), "count": np.concatenate(counts)})
+            whole = {"langs": list(langs), "sources": list(sources), "terms": terms, "source": np.array(source), "lang": np.concatenate(lang),
+                     "ends": np.cumsum(np.concatenate(n_posts)), "doc": np.concatenate(docs), "count": np.concatenate(counts)}
+            for s in _parts(whole, first, part):
+                yield _row(shard, s)
+                shard += 1
 
-        for batch in batches:
+        for batch in (b.slice(k, TEXTS) for b in batches for k in range(0, b.num_rows, TEXTS)):
             for lang, name, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), utf8(batch.column(2))):
                 if lang not in langs:
                     langs[lang] = _Numbers(), [], [], [], []  # terms; each posting's term and count; documents and their postings
@@ -134,10 +167,10 @@ def shards(docs: DataFrame, size: int = SHARD) -> DataFrame:
                 source.append(sources.setdefault(name, len(sources)))
                 filled += len(text)
                 if filled >= size:
-                    yield close()
-                    langs, sources, source, filled, shard = {}, {}, [], 0, shard + 1
+                    yield from close()
+                    langs, sources, source, filled = {}, {}, [], 0
         if source:
-            yield close()
+            yield from close()
 
     return materialize(docs.select("lang", "source", "text").mapInArrow(cut, _SHARD), "term-shards")
 
@@ -208,8 +241,8 @@ def _narrowed(s: dict, keep: np.ndarray) -> dict:
                 "doc": s["doc"][post], "count": s["count"][post]}
 
 
-def _counts(s: dict) -> pa.Array:
-    """Every term's count and documents in each source of the shard that has it, as a list of one row."""
+def _counts(s: dict) -> pa.RecordBatch:
+    """Every term's count and documents in each source of the shard that has it, ``_EACH`` to a row."""
     width = max(len(s["sources"]), 1)
     key = np.repeat(np.arange(len(s["terms"])), np.diff(s["ends"], prepend=0)) * width + s["source"][s["doc"]]
     keys, place, docs = np.unique(key, return_inverse=True, return_counts=True)
@@ -217,15 +250,17 @@ def _counts(s: dict) -> pa.Array:
     np.add.at(n, place, s["count"])
     term, source = pa.array(keys // width), pa.array(keys % width)
     lang = pa.array(s["lang"]).take(term)
-    found = pa.StructArray.from_arrays(
-        [pa.array(s["langs"], pa.string()).take(lang), pa.array(s["sources"], pa.string()).take(source), pa.array(s["terms"], pa.binary()).take(term), pa.array(n), pa.array(docs)],
-        names=["lang", "source", "term", "n", "docs"])
-    return pa.ListArray.from_arrays(pa.array([0, len(found)], pa.int32()), found)
+    lang = pa.array(s["langs"], pa.string()).take(lang)
+    each = pa.StructArray.from_arrays([lang, pa.array(s["sources"], pa.string()).take(source), pa.array(s["terms"], pa.binary()).take(term), pa.array(n), pa.array(docs)], fields=[*_FOUND.value_type])
+    found = pa.ListArray.from_arrays(pa.array([*range(0, len(n), _EACH), len(n)], pa.int32()), each)
+    none = {"shard": pa.int64()} | {c: pa.list_(pa.string()) for c in _STRINGS} | {c: pa.binary() for c in ("terms", *_NUMBERS)}
+    columns = {c: pa.nulls(len(found), kind) for c, kind in none.items()} | {"terms": pa.repeat(pa.scalar(b"", pa.binary()), len(found)), "found": found}
+    return pa.RecordBatch.from_arrays([*columns.values()], [*columns])
 
 
 def refined(now: DataFrame, live: DataFrame, length: int) -> DataFrame:
-    """The shards with only the longer terms that extend a remaining prefix, and in ``found`` the counts of the kept
-    terms that are complete at this level (written once).
+    """The shards with only the longer terms that extend a remaining prefix, and rows with the counts of the kept
+    terms that are complete at this level (written once); ``terms`` is empty in these.
 
     ``live`` has the numbers (shard, no) of what remains.
     """
@@ -237,9 +272,11 @@ def refined(now: DataFrame, live: DataFrame, length: int) -> DataFrame:
             alive = np.zeros(len(first), bool)
             alive[np.asarray(batch.column("live")[k].values)] = True
             keep = alive[group]
-            yield _row(shard, _narrowed(s, keep & ~done), found=_counts(_narrowed(s, keep & done)))
+            if (keep & ~done).any():
+                yield _row(shard, _narrowed(s, keep & ~done), found=pa.nulls(1, _FOUND))
+            yield _counts(_narrowed(s, keep & done))
 
-    return materialize(now.join(by_shard, "shard").mapInArrow(narrow, f"{_SHARD}, found {_FOUND}"), "refined")
+    return materialize(now.join(by_shard, "shard").mapInArrow(narrow, f"{_SHARD}, found array<struct<lang: string, source: string, term: binary, n: long, docs: long>>"), "refined")
 
 
 def refine(now: DataFrame, least: int = LEAST, first: int = FIRST) -> DataFrame:
@@ -341,7 +378,7 @@ def report(docs: DataFrame, lang_col: str = "lang", source_col: str = "source",
     """The parts ``pair`` (all other sources of the language) and ``term`` (the first ``top`` terms) of every (lang, source)."""
     text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
     given = docs.select(text(lang_col).alias("lang"), text(source_col).alias("source"), text(text_col).alias("text"))
-    by_term = kept_terms(shards(given, size), least, first)
+    by_term = kept_terms(shards(given, size, first), least, first)
     totals = by_term.select("lang", F.explode("seen").alias("_s")).groupBy("lang", "_s.source").agg(F.sum("_s.n").alias("total"))
     of_lang = by_term.groupBy("lang").agg(F.sum("all_n").alias("lang_total"), F.count(F.lit(1)).alias("v"))
     zero = lambda c: F.coalesce(c, F.lit(0)).cast("long").alias(c)

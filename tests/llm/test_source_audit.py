@@ -123,3 +123,22 @@ def test_prefixes_are_not_written_before_they_are_counted(spark, monkeypatch):
     kept = A.kept_terms(A.shards(docs.select("lang", "source", "text")))
     assert sorted((bytes(r.term), r.all_n) for r in kept.collect()) == [(b"common" + b"x" * 20, 12), (b"rare", 12)]
     assert set(written) == {"term-shards", "refined", "kept-terms"}
+
+
+def test_rows_of_a_shard_are_bounded(spark):
+    """A shard's rows, and those of what is kept of it, stay small however large the shard is; prefixes are not parted."""
+    rng = random.Random(10)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    words = ["".join(rng.choices(letters, k=rng.randrange(3, 30))) for _ in range(3_000)]
+    words += [w[:8] + letters[k % 26] * 9 for k, w in enumerate(words)]
+    rows = [(" ".join(rng.choices(words, k=400)), "en", rng.choice("abc")) for _ in range(120)]
+    docs = frame(spark, rows).coalesce(1).select("lang", "source", "text")
+    now = A.shards(docs, part=8 << 10)
+    size = sum((F.octet_length(c) for c in ("terms", *A._NUMBERS)), F.lit(0))
+    sizes = [r[0] for r in now.select(size).collect()]
+    assert len(sizes) > 20 and max(sizes) < 24 << 10
+    prefixes = [{t[:8] for t in bytes(r.terms).split()} for r in now.collect()]
+    assert sum(map(len, prefixes)) == len(set().union(*prefixes))
+    live = A.level(now, 8).select("shard", "no")
+    assert max(len(x or []) if isinstance(x, list) else len(x or b"") for r in A.refined(now, live, 8).collect() for x in r if not isinstance(x, int)) < 24 << 10
+    assert rows_of(A.report(frame(spark, rows))) == brute(rows)
